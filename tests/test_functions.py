@@ -1,0 +1,142 @@
+import datetime as dt
+import hashlib
+import json
+
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from tests.conftest import values
+from tripmart.functions import (
+    as_text,
+    decode_json,
+    default_to,
+    encode_json,
+    epoch_ms,
+    format_ride,
+    from_epoch_ms,
+    month_start,
+    parse_time,
+    safe_cast,
+    safe_int,
+    strict_cast,
+    surrogate_key,
+    trip_duration_minutes,
+    trip_hours,
+    vendor_name,
+)
+from tripmart.schemas import GREEN_TRIP, RIDE
+
+
+def one(spark, column, **given_values):
+    return spark.range(1).select(
+        *[F.lit(v).alias(k) for k, v in given_values.items()]
+    ).select(column).first()[0]
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [("1", 1), ("1.0", 1), ("1.5", 2), ("2.5", 3), ("-1.5", -2), ("x", None), ("", None), (None, None),
+     ("99999999999", None)],
+)
+def test_safe_int_rounds_and_never_fails(spark, text, expected):
+    assert one(spark, safe_int(F.col("t")), t=text) == expected
+
+
+def test_casts(spark):
+    assert one(spark, safe_cast("t", "int"), t="1.0") is None
+    assert one(spark, safe_cast("t", "int"), t="7") == 7
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        one(spark, strict_cast("t", "int"), t="x")
+    assert one(spark, default_to("t", "none"), t=None) == "none"
+
+
+def test_vendor_names(spark):
+    df = spark.createDataFrame([(1,), (2,), (3,), (4,), (None,)], "v int")
+    assert [r[0] for r in df.select(vendor_name("v")).collect()] == [
+        "Creative Mobile Technologies", "VeriFone Inc.", None, "Unknown/Other", None,
+    ]
+
+
+def test_surrogate_key_is_md5_of_joined_text(spark):
+    df = spark.createDataFrame([(1, None, "a-b", dt.datetime(2024, 1, 2, 3, 4, 5))],
+                               "a int, b int, c string, t timestamp_ntz")
+    text = "1-_dbt_utils_surrogate_key_null_-a-b-2024-01-02 03:04:05"
+    key = df.select(surrogate_key(["a", "b", "c", "t"])).first()[0]
+    assert key == hashlib.md5(text.encode()).hexdigest()
+
+
+@pytest.mark.parametrize(
+    "start, end, minutes",
+    [
+        ("2024-01-01 00:00:59", "2024-01-01 00:01:00", 1),
+        ("2024-01-01 00:00:00", "2024-01-01 00:00:59.999999", 0),
+        ("2024-01-01 23:59:30", "2024-01-02 00:00:30", 1),
+        ("2024-01-01 00:01:00", "2024-01-01 00:00:59", -1),
+        ("2024-01-01 00:00:00", None, None),
+    ],
+)
+def test_duration_counts_minute_boundaries(spark, start, end, minutes):
+    for kind in ("timestamp_ntz", "timestamp"):
+        got = one(spark, trip_duration_minutes(F.col("a").cast(kind), F.col("b").cast(kind)), a=start, b=end)
+        assert got == minutes
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 10**6), st.integers(0, 10**6)), min_size=1, max_size=50))
+def test_duration_matches_truncated_difference(spark, pairs):
+    base = dt.datetime(2024, 1, 1)
+    rows = [(base + dt.timedelta(seconds=a), base + dt.timedelta(seconds=b)) for a, b in pairs]
+    df = spark.createDataFrame(rows, "a timestamp_ntz, b timestamp_ntz")
+    got = [r[0] for r in df.select(trip_duration_minutes("a", "b")).collect()]
+    assert got == [b // 60 - a // 60 for a, b in pairs]
+
+
+def test_time_functions(spark):
+    stamp = dt.datetime(2024, 11, 1, 2, 55, 2)
+    df = spark.createDataFrame([(stamp, dt.datetime(2024, 11, 1, 5, 25, 2))], "a timestamp_ntz, b timestamp_ntz")
+    row = df.select(
+        trip_hours("a", "b").alias("hours"),
+        month_start("a").alias("month"),
+        epoch_ms("a").alias("ms"),
+        as_text("a").alias("text"),
+        from_epoch_ms(epoch_ms("a")).cast("timestamp_ntz").alias("back"),
+    ).first()
+    assert tuple(row) == (2.5, dt.date(2024, 11, 1), 1730429702000, "2024-11-01 02:55:02", stamp)
+
+
+def test_bad_time_text_is_null(spark):
+    df = spark.createDataFrame([("2025-10-01 18:00:00",), ("nonsense",), (None,)], "t string")
+    got = [r[0] for r in df.select(parse_time("t").cast("string")).collect()]
+    assert got == ["2025-10-01 18:00:00", None, None]
+
+
+def test_ride_message(spark):
+    text = json.dumps(
+        {"PULocationID": 186, "DOLocationID": 79, "trip_distance": 1.72, "total_amount": 17.31,
+         "tpep_pickup_datetime": 1730429702000}
+    ).encode()
+    ride = decode_json(spark.createDataFrame([(text,)], "value binary"), RIDE)
+    assert tuple(ride.first()) == (186, 79, 1.72, 17.31, 1730429702000)
+    line = ride.select(
+        format_ride("PULocationID", "DOLocationID", "trip_distance", "total_amount",
+                    from_epoch_ms("tpep_pickup_datetime"))
+    ).first()[0]
+    assert line == "Received: PU=186, DO=79, distance=1.72, amount=$17.31, pickup=2024-11-01 02:55:02"
+    assert json.loads(encode_json(ride).first()[0]) == json.loads(text)
+
+
+def test_encoding_keeps_null_fields_and_time_text(spark):
+    df = spark.createDataFrame([(dt.datetime(2025, 10, 1, 18), None, 5)], "lpep_pickup_datetime timestamp_ntz, tip_amount double, PULocationID int")
+    row = encode_json(df, key="PULocationID").first()
+    assert row["key"] == "5"
+    assert json.loads(row["value"]) == {
+        "lpep_pickup_datetime": "2025-10-01 18:00:00", "tip_amount": None, "PULocationID": 5,
+    }
+    decoded = decode_json(spark.createDataFrame([(row["value"],)], "value string"), GREEN_TRIP)
+    assert values(decoded, "PULocationID", "tip_amount", "DOLocationID") == [(5, None, None)]
+
+
+def test_malformed_message_gives_nulls(spark):
+    df = spark.createDataFrame([("{not json",), (None,)], "value string")
+    assert values(decode_json(df, RIDE), "PULocationID") == [(None,), (None,)]

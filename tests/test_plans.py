@@ -1,0 +1,222 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import plan, values
+from tripmart.frames import literal_rows
+from tripmart.operators import high_water
+from tripmart.plans import (
+    best_zone,
+    build_fact,
+    conform_fhv,
+    conform_green,
+    conform_yellow,
+    daily_report,
+    dim_vendors,
+    dim_zones,
+    fact_rows,
+    int_trips,
+    month_total,
+    monthly_zone_revenue,
+    standardise,
+    union_services,
+    zone_pickups,
+)
+from tripmart.quality import check_report, not_null, require_passed, unique_combination
+from tripmart.schemas import FACT, TRIPS, ZONES, payment_lookup
+from tripmart.tables import SnapshotTable
+
+T0 = dt.datetime(2024, 1, 31, 23, 50)
+
+
+def raw(spark, service, rows):
+    """Raw rows given as dicts over defaults."""
+    stamps = {"green": "lpep", "yellow": "tpep"}[service]
+    kinds = {
+        "VendorID": "bigint", f"{stamps}_pickup_datetime": "timestamp_ntz",
+        f"{stamps}_dropoff_datetime": "timestamp_ntz", "RatecodeID": "string",
+        "PULocationID": "bigint", "DOLocationID": "bigint", "payment_type": "string",
+        "passenger_count": "double", "trip_type": "string", "ehail_fee": "double",
+        "store_and_fwd_flag": "string",
+        **{c: "double" for c in ("trip_distance", "fare_amount", "extra", "mta_tax", "tip_amount",
+                                 "tolls_amount", "improvement_surcharge", "total_amount")},
+    }
+    if service == "yellow":
+        del kinds["trip_type"], kinds["ehail_fee"]
+    base = {c: 1.0 if k == "double" else "1" if k == "string" else 1 for c, k in kinds.items()}
+    base[f"{stamps}_pickup_datetime"] = T0
+    base[f"{stamps}_dropoff_datetime"] = T0 + dt.timedelta(minutes=10)
+    data = [tuple({**base, **row}[c] for c in kinds) for row in rows]
+    return spark.createDataFrame(data, ", ".join(f"{c} {k}" for c, k in kinds.items()))
+
+
+@pytest.fixture
+def zones(spark):
+    seed = literal_rows(
+        spark,
+        [(1, "EWR", "Newark Airport", "EWR"), (2, "Queens", "Unknown Zone", "Boro Zone"), (264, "Unknown", "NV", "N/A")],
+        ZONES,
+    )
+    return dim_zones(seed)
+
+
+def trips_of(spark, green=(), yellow=()):
+    return union_services(
+        conform_green(raw(spark, "green", list(green) or [{"VendorID": None}])),
+        conform_yellow(raw(spark, "yellow", list(yellow) or [{"VendorID": None}])),
+    )
+
+
+def test_conform_green(spark):
+    df = conform_green(raw(spark, "green", [
+        {}, {"VendorID": None}, {"RatecodeID": "1.0", "payment_type": "x", "trip_type": ""},
+        {"passenger_count": 1.5, "ehail_fee": None, "trip_distance": 2.5},
+    ]))
+    assert len(df.columns) == 19
+    assert values(df, "rate_code_id", "payment_type", "trip_type", "passenger_count") == [
+        (1, 1, 1, 1), (1, 1, 1, 2), (None, None, None, 1),
+    ]
+    assert dict(df.dtypes)["fare_amount"] == "decimal(38,9)"
+
+
+def test_conform_yellow_rate_code(spark):
+    codes = ["1.0", "x", "", "1.5", "2.5", "-1.5", None]
+    df = conform_yellow(raw(spark, "yellow", [{"RatecodeID": c} for c in codes]))
+    assert len(df.columns) == 17
+    assert [r["rate_code_id"] for r in df.collect()] == [1, None, None, 2, 3, -2, None]
+
+
+def test_strict_columns_fail_on_bad_text(spark):
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        conform_yellow(raw(spark, "yellow", [{"payment_type": "x"}])).collect()
+
+
+def test_conform_fhv(spark):
+    df = spark.createDataFrame([("B1", T0, T0, 1, 2), (None, T0, T0, 1, 2)],
+                               "dispatching_base_num string, pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz, PUlocationID int, DOlocationID int")
+    assert values(conform_fhv(df)) == [("B1", T0, T0, 1, 2)]
+
+
+def test_standardise_keeps_listed_columns(spark):
+    df = standardise(raw(spark, "green", [{}]))
+    assert df.columns[:6] == ["vendor_id", "pickup_datetime", "dropoff_datetime", "passenger_count", "trip_distance", "ratecode_id"]
+    assert "ehail_fee" not in df.columns and len(df.columns) == 17
+
+
+def test_union_fills_yellow(spark):
+    df = trips_of(spark, [{}], [{}])
+    assert df.columns == TRIPS.names
+    assert [f.dataType for f in df.schema.fields] == [f.dataType for f in TRIPS.fields]
+    assert values(df, "service_type", "trip_type", "ehail_fee") == [
+        ("Green", 1, Decimal("1.000000000")), ("Yellow", 1, Decimal("0E-9")),
+    ]
+
+
+def test_enriched_trips(spark):
+    rows = [
+        {"PULocationID": 1, "payment_type": None},
+        {"PULocationID": 2, "payment_type": "0"},
+        {"PULocationID": 3, "payment_type": "5"},
+        {"PULocationID": 4, "payment_type": "9"},
+        {"PULocationID": 5, "payment_type": "1"},
+        # The same key twice: the earlier dropoff stays.
+        {"PULocationID": 5, "payment_type": "2", "tpep_dropoff_datetime": T0},
+    ]
+    df = int_trips(trips_of(spark, yellow=rows), payment_lookup(spark))
+    assert values(df, "pickup_location_id", "payment_type", "payment_type_description") == [
+        (1, 0, "Unknown"), (2, 0, "Unknown"), (3, 5, "Unknown"), (4, 9, "Unknown"), (5, 2, "Cash"),
+    ]
+    assert df.select("trip_id").distinct().count() == 5
+
+
+def test_fact_and_monthly_revenue(spark, zones):
+    rows = [
+        {"PULocationID": None, "fare_amount": 1.0},
+        {"PULocationID": 2, "fare_amount": 2.0},  # literally 'Unknown Zone'
+        {"PULocationID": 999, "fare_amount": 4.0, "passenger_count": None},
+        {"PULocationID": 1, "fare_amount": 8.0, "tpep_pickup_datetime": dt.datetime(2024, 2, 1)},
+        {"PULocationID": 264, "fare_amount": 16.0, "tpep_dropoff_datetime": None},
+    ]
+    fact = fact_rows(int_trips(trips_of(spark, yellow=rows), payment_lookup(spark)), zones)
+    assert fact.columns == FACT.names
+    assert values(fact, "pickup_zone", "trip_duration_minutes") == [
+        ("NV", None), ("Newark Airport", 0), ("Unknown Zone", 10), (None, 10), (None, 10),
+    ]
+    monthly = monthly_zone_revenue(fact)
+    got = values(monthly.select("pickup_zone", "revenue_month", F.col("revenue_monthly_fare").cast("int"), "total_monthly_trips", "avg_monthly_passenger_count"))
+    assert got == [
+        ("NV", dt.date(2024, 1, 1), 16, 1, 1.0),
+        ("Newark Airport", dt.date(2024, 2, 1), 8, 1, 1.0),
+        ("Unknown Zone", dt.date(2024, 1, 1), 7, 3, 1.0),
+    ]
+    require_passed(check_report(monthly, [
+        unique_combination("pickup_zone", "revenue_month", "service_type"), not_null("pickup_zone"),
+    ]))
+    best = best_zone(monthly.withColumn("revenue_monthly_total_amount", F.col("revenue_monthly_fare")), "Yellow", 2024)
+    assert best.first()["pickup_zone"] == "NV"
+    assert values(month_total(monthly, "Yellow", "2024-01-01")) == [(4,)]
+    assert values(dim_vendors(fact)) == [(1, "Creative Mobile Technologies")]
+
+
+def test_fact_plan_has_one_shuffle_and_broadcasts(spark, zones):
+    fact = fact_rows(int_trips(trips_of(spark, [{}], [{}]), payment_lookup(spark)), zones)
+    text = plan(fact)
+    assert text.count("Exchange hashpartitioning") == 1
+    assert text.count("BroadcastHashJoin") == 3
+    assert plan(monthly_zone_revenue(fact)).count("Exchange hashpartitioning") == 2
+
+
+def test_daily_report(spark):
+    rows = [
+        (dt.datetime(2024, 1, 1), "green", 10.0, 1.0, 2.0, 3.0, 1, 7),
+        (dt.datetime(2024, 1, 1, 23), "green", 20.0, 2.0, 3.0, 4.0, None, 7),
+        (dt.datetime(2024, 1, 2), "green", 99.0, 1.0, 1.0, 1.0, 1, 1),
+        (dt.datetime(2023, 12, 31, 23, 59, 59), "green", 99.0, 1.0, 1.0, 1.0, 1, 1),
+    ]
+    df = spark.createDataFrame(rows, "pickup_datetime timestamp_ntz, taxi_type string, total_amount double, trip_distance double, fare_amount double, tip_amount double, passenger_count int, vendor_id int")
+    assert values(daily_report(df, "2024-01-01", "2024-01-02 12:00:00")) == [
+        (dt.date(2024, 1, 1), "green", 2, 30.0, 1.5, 2.5, 1, 3.5, 1),
+    ]
+
+
+def test_zone_pickups_counts_before_joining(spark):
+    trips = spark.createDataFrame([(1,), (1,), (2,), (3,), (None,)], "PULocationID int")
+    seed = literal_rows(spark, [(1, "A", "x", "s"), (2, "A", "x", "s"), (4, "A", "z", "s")], ZONES)
+    counted = zone_pickups(trips, seed)
+    assert values(counted) == [("x", 3)]
+
+
+def test_incremental_fact_equals_full_build(spark, zones, tmp_path):
+    rows = [
+        {"PULocationID": i % 3, "tpep_pickup_datetime": T0 + dt.timedelta(hours=7 * i)} for i in range(60)
+    ]
+    trips = int_trips(trips_of(spark, yellow=rows), payment_lookup(spark)).cache()
+    full = build_fact(trips, zones, SnapshotTable(spark, str(tmp_path / "full"), "pickup_datetime"))
+    parts = SnapshotTable(spark, str(tmp_path / "parts"), "pickup_datetime")
+    for days in (3, 9, 100):
+        end = F.lit(str(T0 + dt.timedelta(days=days))).cast("timestamp_ntz")
+        build_fact(trips.filter(F.col("pickup_datetime") < end), zones, parts)
+    assert values(parts.read()) == values(full.read())
+    assert full.read().schema == FACT
+
+
+def test_incremental_fact_bound_lookback_new_column(spark, zones, tmp_path):
+    def trips(*rows):
+        return int_trips(trips_of(spark, yellow=rows), payment_lookup(spark))
+
+    target = SnapshotTable(spark, str(tmp_path / "fact"), "pickup_datetime")
+    late = {"PULocationID": 2, "tpep_pickup_datetime": T0 - dt.timedelta(days=1)}
+    equal = {"PULocationID": 3}
+    build_fact(trips({}), zones, target)
+    build_fact(trips({}, late, equal), zones, target)
+    assert target.read().count() == 1  # late and equal rows are left out
+    build_fact(trips({}, late, equal), zones, target, lookback=dt.timedelta(days=2))
+    assert target.read().count() == 3
+    newer = trips({"tpep_pickup_datetime": T0 + dt.timedelta(days=1)})
+    build_fact(newer.withColumn("congestion_surcharge", F.lit(2.5)), zones, target)
+    assert values(target.read(), "congestion_surcharge") == [(2.5,), (None,), (None,), (None,)]
+    build_fact(trips({}), zones, target, full_refresh=True)
+    assert target.read().count() == 1
+    assert high_water(target.read_newest("pickup_datetime"), "pickup_datetime") == T0

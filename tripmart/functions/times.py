@@ -15,7 +15,10 @@ def trip_hours(start: ColumnLike, end: ColumnLike) -> Column:
 
 
 def trip_duration_minutes(start: ColumnLike, end: ColumnLike) -> Column:
-    """Number of minute boundaries crossed: 00:00:59 to 00:01:00 is 1."""
+    """Number of minute boundaries crossed: 00:00:59 to 00:01:00 is 1.
+
+    For stamps from 1970 on; independent of the session time zone.
+    """
 
     def minute(c: ColumnLike) -> Column:
         return F.floor(F.unix_timestamp(col(c)) / 60)

@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, types as T
 
+from tripmart.frames import empty_frame
+
 
 def union_aligned(frames: Sequence[DataFrame], columns: Sequence[str]) -> DataFrame:
     """UNION ALL of frames after aligning them to one column list."""
@@ -18,7 +20,7 @@ def concat_all(
 ) -> DataFrame:
     """UNION ALL by name of any number of frames; an empty typed frame if none."""
     if not frames:
-        return spark.createDataFrame([], schema)
+        return empty_frame(spark, schema)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 

@@ -394,8 +394,8 @@ def role_playing_dims(spark, sf):
     """SELECT o_orderkey, o_custkey, c_name, c_mktsegment
     FROM orders LEFT JOIN customer ON o_custkey + 1 = c_custkey"""
 )
-def shuffled_lookup(spark, sf):
-    # The way a lookup takes when it is too large to broadcast.
+def customer_lookup(spark, sf):
+    # A lookup that grows with the data gets no broadcast hint.
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     take = {"c_name": "c_name", "c_mktsegment": "c_mktsegment"}
     customers = table(spark, sf, "customer")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from tripmart.frames import literal_rows
+
 MONEY = T.DecimalType(38, 9)
 TIME = T.TimestampNTZType()
 
@@ -204,5 +206,5 @@ TAXI_TYPES = ["yellow", "green"]
 
 def payment_lookup(spark: SparkSession, values: dict[int, str] | None = None) -> DataFrame:
     """The payment lookup as a frame (7 rows by default)."""
-    rows = list((PAYMENT_DESCRIPTIONS if values is None else values).items())
-    return spark.createDataFrame(rows, PAYMENT_TYPES)
+    rows = (PAYMENT_DESCRIPTIONS if values is None else values).items()
+    return literal_rows(spark, rows, PAYMENT_TYPES)

@@ -20,6 +20,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tripmart.frames import empty_frame
+
 PART = "part_from"  # first day of the period a partition holds
 WHOLE = ""  # the only partition of a table that is not partitioned
 NO_TIME = f"{PART}=__HIVE_DEFAULT_PARTITION__"
@@ -106,7 +108,7 @@ class SnapshotTable:
 
     def read_folders(self, folders: Sequence[str], schema: T.StructType) -> DataFrame:
         if not folders:
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, schema)
         full = schema
         if self.time:
             full = T.StructType([*schema.fields, T.StructField(PART, T.DateType())])
