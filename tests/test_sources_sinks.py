@@ -12,6 +12,7 @@ from tripmart.schemas import INGESTED, YELLOW_RAW, ZONES
 from tripmart.sinks import write_day, write_layout, write_parquet, write_partitioned
 from tripmart.sinks.files import write_bucketed
 from tripmart.sources import (
+    count_from_footers,
     explode_children,
     flatten_structs,
     load_seed,
@@ -88,6 +89,15 @@ def test_parquet_columns(spark, tmp_path):
     assert read_parquet(spark, path).count() == 1
 
 
+def test_count_from_footers(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    write_parquet(spark.range(1000), path, n_files=3)
+    counted = count_from_footers(spark, path)
+    assert "PushedAggregation: [COUNT(*)]" in plan(counted) and values(counted) == [(1000,)]
+    # The caller's session is left as it was.
+    assert "PushedAggregation" not in plan(spark.read.parquet(path).agg(F.count("*")))
+
+
 def test_months():
     assert month_range("2024-11-15", "2025-02-15") == ["2024-11", "2024-12", "2025-01"]
     assert month_range("2024-11-15", "2025-02-16") == ["2024-11", "2024-12", "2025-01", "2025-02"]

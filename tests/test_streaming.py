@@ -1,13 +1,15 @@
 import datetime as dt
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan, values
 from tripmart.schemas import GREEN_TRIP, HOURLY_TIPS, PICKUP_COUNTS, RIDE, SESSION_COUNTS
-from tripmart.sinks import append_sink, upsert_sink
+from tripmart.session import LARGE_STATE
+from tripmart.sinks import append_sink, console_sink, upsert_sink
 from tripmart.sources import read_trip_stream, trip_events
 from tripmart.streaming import running_count, session_count, tumbling_count, tumbling_sum, watermarked
 from tripmart.tables import SnapshotTable, create_keyed_table
@@ -157,6 +159,22 @@ def test_replayed_batch_is_applied_once(spark, feed, tmp_path):
     assert values(table.read(), "PULocationID") == [(1,), (2,)]
 
 
+def test_file_sink_and_console(spark, feed, tmp_path, capfd):
+    feed.add(*[(f"00:00:{n:02d}", n, 1.0) for n in range(20)])
+    out = str(tmp_path / "files")
+    for _ in range(2):
+        append_sink(stream(spark, feed), out, str(tmp_path / "checkpoint")).awaitTermination()
+    assert spark.read.parquet(out).count() == 20
+    console_sink(stream(spark, feed), 10).awaitTermination()
+    printed = ""
+    for _ in range(50):
+        printed += capfd.readouterr().out
+        if "+\n\n" in printed:
+            break
+        time.sleep(0.1)
+    assert printed.count("\n|2025-10-01 00:00:") == 10
+
+
 def test_running_count(spark, feed, tmp_path):
     feed.add(("00:00:10", 1, 9.0), ("00:00:10", 1, None))
     feed.add(("00:00:20", 2, 5.0), ("00:00:21", 2, 5.5))
@@ -212,3 +230,18 @@ def test_hot_zone_is_spread_in_batch_sessions(spark):
     df = spark.createDataFrame([(DAY, 1)], "event_timestamp timestamp, PULocationID int")
     text = plan(session_count(df))
     assert "hashpartitioning(PULocationID" in text and "_slice" in text.split("Exchange hashpartitioning")[2][:60]
+
+
+def test_state_on_disk(spark, feed, tmp_path):
+    feed.add(("00:00:00", 1, 1.0), ("00:05:00", 1, 1.0), ("00:02:00", 2, 1.0))
+    feed.add(("00:04:00", 1, 1.0), ("02:00:00", 9, 1.0))
+    for key, value in LARGE_STATE.items():
+        spark.conf.set(key, value)
+    try:
+        sessions, _ = run(spark, feed, tmp_path, session_count, SESSION_COUNTS, ["session_start", "PULocationID"])
+    finally:
+        for key in LARGE_STATE:
+            spark.conf.unset(key)
+    assert set(values(sessions)) == {
+        (at("00:00:00"), at("00:10:00"), 1, 3), (at("00:02:00"), at("00:07:00"), 2, 1),
+    }

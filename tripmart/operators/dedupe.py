@@ -17,7 +17,8 @@ def dedupe_first(
 
     Rows equal in ``order`` are ordered by the other columns, so the result
     does not depend on the input order. Only one row per key and task is
-    shuffled (window group limit), whatever the size of a group.
+    shuffled (window group limit), whatever the size of a group. Rows are sorted
+    by the keys as listed: give the most selective one first.
     """
     if tie_break is None:
         tie_break = [c for c in df.columns if c not in {*keys, *order}]

@@ -17,6 +17,8 @@ from tripmart.schemas import FACT, MONEY, TRIPS
 from tripmart.tables import SnapshotTable, merge, replace
 
 TRIP_KEY = ["vendor_id", "pickup_datetime", "pickup_location_id", "service_type"]
+# The same, with the most selective column first: sorting compares it first.
+DEDUPE_KEY = ["pickup_datetime", "pickup_location_id", "vendor_id", "service_type"]
 
 
 def union_services(green: DataFrame, yellow: DataFrame) -> DataFrame:
@@ -56,7 +58,7 @@ def int_trips(unioned: DataFrame, payment_types: DataFrame) -> DataFrame:
     Neither the id nor the lookup changes which row is kept, so rows are
     dropped first and only the kept ones are hashed and joined.
     """
-    kept = dedupe_first(unioned, TRIP_KEY, ["dropoff_datetime"])
+    kept = dedupe_first(unioned, DEDUPE_KEY, ["dropoff_datetime"])
     return enrich_payment(kept, payment_types).withColumn("trip_id", surrogate_key(TRIP_KEY))
 
 

@@ -167,39 +167,42 @@ def checked_seed(spark, sf):
     return load_seed(spark, path, schema, checks)
 
 
+MONTHLY_FILLED = (
+    "passenger_count trip_distance fare_amount extra mta_tax tip_amount tolls_amount "
+    "improvement_surcharge"
+).split()
+
+
 @query(
-    f"""WITH {feeds.RAW_CTE},
-    monthly AS (
-      SELECT 'yellow' AS taxi_type, CAST(date_trunc('month', tpep_pickup_datetime) AS DATE) AS month,
-        total_amount FROM raw_yellow
-      UNION ALL
-      SELECT 'green', CAST(date_trunc('month', lpep_pickup_datetime) AS DATE), total_amount
-      FROM raw_green)
-    SELECT taxi_type, month, count(*) AS n,
-      CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS amount
-    FROM monthly WHERE month >= DATE '1998-11-01' AND month < DATE '1999-02-01'
-    GROUP BY taxi_type, month"""
+    """WITH trips AS (
+      SELECT CASE WHEN event_type IN ('click', 'view') THEN 'yellow' ELSE 'green' END AS taxi_type,
+        CAST(date_trunc('month', ts + to_months(CAST(user_id % 3 AS INTEGER))) AS DATE) AS month,
+        value
+      FROM events)
+    SELECT taxi_type, month, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS amount
+    FROM trips GROUP BY taxi_type, month"""
 )
 def monthly_files(spark, sf):
+    # The events as trips of three months and two services, in one file set each.
     base = work_folder(spark, "months")
-    headers = {
-        "vendorid": "VendorID",
-        "ratecodeid": "RatecodeID",
-        "pulocationid": "PULocationID",
-        "dolocationid": "DOLocationID",
-    }
-    for kind, raw, stamps in (
-        ("yellow", feeds.raw_yellow(spark, sf), "tpep"),
-        ("green", feeds.raw_green(spark, sf), "lpep"),
-    ):
-        numbers = raw.withColumnsRenamed(headers).withColumns(
-            {c: F.col(c).try_cast("bigint") for c in ("RatecodeID", "payment_type")}
-        )
-        month = F.trunc(F.to_date(f"{stamps}_pickup_datetime"), "month")
-        for name in ("1998-11", "1998-12", "1999-01"):
-            of_month = numbers.filter(month == F.lit(f"{name}-01").cast("date"))
-            write_parquet(of_month, f"{base}/{kind}_tripdata_{name}.parquet")
-    trips = read_months(spark, base, "1998-11-01", "1999-03-01", on_missing="skip")
+    events = table(spark, sf, "events")
+    is_yellow = F.col("event_type").isin("click", "view")
+    for kind, stamps, of_kind in (("yellow", "tpep", is_yellow), ("green", "lpep", ~is_yellow)):
+        for shift, month in enumerate(("2024-01", "2024-02", "2024-03")):
+            trips = events.filter(of_kind & (F.col("user_id") % 3 == shift)).select(
+                F.col("user_id").alias("VendorID"),
+                (F.col("ts") + F.make_ym_interval(months=F.lit(shift))).alias(
+                    f"{stamps}_pickup_datetime"
+                ),
+                F.col("ts").alias(f"{stamps}_dropoff_datetime"),
+                F.col("value").alias("total_amount"),
+                *[F.lit(0).alias(c) for c in ("RatecodeID", "PULocationID", "DOLocationID")],
+                *[F.lit(0.5).alias(c) for c in MONTHLY_FILLED],
+                F.lit("N").alias("store_and_fwd_flag"),
+                F.lit(1).alias("payment_type"),
+            )
+            write_parquet(trips, f"{base}/{kind}_tripdata_{month}.parquet")
+    trips = read_months(spark, base, "2024-01-01", "2024-05-01", on_missing="skip")
     grouped = trips.groupBy(
         "taxi_type", F.trunc(F.to_date("pickup_datetime"), "month").alias("month")
     )
@@ -274,7 +277,8 @@ def paged_source(spark, sf):
     orders.repartition(8, "o_orderkey").write.json(folder)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(folder)
     names = [row["path"].rsplit("/", 1)[1] for row in files.select("path").collect()]
-    return read_paged(spark, f"file://{folder}/{{key}}", PAGE, "keys", keys=names, pages_per_task=2)
+    base = folder if "://" in folder else f"file://{folder}"
+    return read_paged(spark, f"{base}/{{key}}", PAGE, "keys", keys=names, pages_per_task=2)
 
 
 # -- materialisation ------------------------------------------------------------------

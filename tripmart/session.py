@@ -11,14 +11,27 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 # A lookup side is broadcast only while its estimated size is below this.
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 
+LARGE_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 def build_session(
     app_name: str = "tripmart",
     master: str | None = None,
     shuffle_partitions: int | None = None,
+    large_state: bool = False,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """A session with UTC time, ANSI casts and adaptive execution."""
+    """A session with UTC time, ANSI casts and adaptive execution.
+
+    ``large_state`` keeps the state of streams on disk (RocksDB) and writes
+    only its changes at each batch: use it where windows or sessions do not fit
+    in the executors' memory.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -28,9 +41,10 @@ def build_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
         "spark.ui.enabled": "false",
     }
+    if large_state:
+        settings.update(LARGE_STATE)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(extra or {})

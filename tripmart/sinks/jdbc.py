@@ -18,8 +18,9 @@ def write_jdbc(
 ) -> None:
     """Create or replace a table (``overwrite``) or add rows, in batched inserts.
 
-    Each partition opens a connection, so their number is bounded.
+    Each partition opens a connection, so their number is bounded. The rows are
+    shuffled to that number: coalescing would run the whole query in so few tasks.
     """
-    df.coalesce(connections).write.format("jdbc").options(
+    df.repartition(connections).write.format("jdbc").options(
         **write_options(url, table, batchsize, **more)
     ).mode(mode).save()

@@ -40,20 +40,28 @@ def upsert_sink(
 
 
 def append_sink(
-    df: DataFrame, table: SnapshotTable, checkpoint: str, drain: bool = True
+    df: DataFrame, target: SnapshotTable | str, checkpoint: str, drain: bool = True
 ) -> StreamingQuery:
-    """Add each micro-batch to a table, once."""
+    """Insert each row once, into a table or (given a path) into Parquet files.
+
+    Prefer files for an endless stream of inserts: Spark's file sink keeps a
+    compacted list of its files, where a table gains a folder per micro-batch.
+    """
+    if isinstance(target, str):
+        writer = _writer(df, checkpoint, "append", drain).format("parquet")
+        return writer.option("path", target).start()
 
     def apply(batch: DataFrame, number: int) -> None:
-        append(table, batch, batch=(checkpoint, number))
+        append(target, batch, batch=(checkpoint, number))
 
     return _writer(df, checkpoint, "append", drain).foreachBatch(apply).start()
 
 
 def console_sink(df: DataFrame, n: int = 10) -> StreamingQuery:
-    """Print the first ``n`` rows of each batch; ends when the input is read."""
+    """Print the first ``n`` rows; ends when the input present is read."""
     return (
-        df.writeStream.format("console")
+        df.limit(n)
+        .writeStream.format("console")
         .option("numRows", n)
         .option("truncate", "false")
         .trigger(availableNow=True)

@@ -1,6 +1,12 @@
 """Readers: files, monthly feeds, seeds, JDBC, paged JSON, nested JSON, streams."""
 
-from tripmart.sources.files import load_seed, read_csv_inferred, read_csv_typed, read_parquet
+from tripmart.sources.files import (
+    count_from_footers,
+    load_seed,
+    read_csv_inferred,
+    read_csv_typed,
+    read_parquet,
+)
 from tripmart.sources.jdbc import read_jdbc
 from tripmart.sources.months import month_range, read_months
 from tripmart.sources.nested import explode_children, flatten_structs
@@ -9,6 +15,7 @@ from tripmart.sources.streams import read_bounded_kafka, read_trip_stream, trip_
 
 __all__ = [
     "PagedJsonSource",
+    "count_from_footers",
     "explode_children",
     "flatten_structs",
     "load_seed",

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 TIME = "event_timestamp"
+MERGE_BEFORE_SHUFFLE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 
 
 def watermarked(df: DataFrame, delay: str = "5 seconds", time: str = TIME) -> DataFrame:
@@ -59,6 +60,8 @@ def session_count(
     """
     rows = df.filter(F.col(key).isNotNull())
     if df.isStreaming:
+        # Rows of a session are merged within each task before the shuffle.
+        df.sparkSession.conf.set(MERGE_BEFORE_SHUFFLE, "true")
         return _sessions(rows, gap, time, key)
     sliced = rows.withColumn("_slice", F.window(time, batch_slice).getField("start"))
     return _joined_sessions(_sessions(sliced, gap, time, key, "_slice"), key)
