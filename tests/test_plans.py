@@ -186,6 +186,8 @@ def test_zone_pickups_counts_before_joining(spark):
     seed = literal_rows(spark, [(1, "A", "x", "s"), (2, "A", "x", "s"), (4, "A", "z", "s")], ZONES)
     counted = zone_pickups(trips, seed)
     assert values(counted) == [("x", 3)]
+    same_name = trips.withColumnRenamed("PULocationID", "zone")
+    assert values(zone_pickups(same_name, seed, "zone")) == [("x", 3)]
 
 
 def test_incremental_fact_equals_full_build(spark, zones, tmp_path):

@@ -1,12 +1,12 @@
 import datetime as dt
 import json
 import os
-import time
 
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tests.conftest import plan, values
+from tests.conftest import values
 from tripmart.schemas import GREEN_TRIP, HOURLY_TIPS, PICKUP_COUNTS, RIDE, SESSION_COUNTS
 from tripmart.session import LARGE_STATE
 from tripmart.sinks import append_sink, console_sink, upsert_sink
@@ -159,20 +159,16 @@ def test_replayed_batch_is_applied_once(spark, feed, tmp_path):
     assert values(table.read(), "PULocationID") == [(1,), (2,)]
 
 
-def test_file_sink_and_console(spark, feed, tmp_path, capfd):
+def test_file_sink_and_console(spark, feed, tmp_path):
     feed.add(*[(f"00:00:{n:02d}", n, 1.0) for n in range(20)])
     out = str(tmp_path / "files")
     for _ in range(2):
         append_sink(stream(spark, feed), out, str(tmp_path / "checkpoint")).awaitTermination()
     assert spark.read.parquet(out).count() == 20
-    console_sink(stream(spark, feed), 10).awaitTermination()
-    printed = ""
-    for _ in range(50):
-        printed += capfd.readouterr().out
-        if "+\n\n" in printed:
-            break
-        time.sleep(0.1)
-    assert printed.count("\n|2025-10-01 00:00:") == 10
+    query = console_sink(stream(spark, feed), 10)
+    query.awaitTermination()
+    assert "console" in query.lastProgress["sink"]["description"].lower()
+    assert sum(p["sink"]["numOutputRows"] for p in query.recentProgress) == 10
 
 
 def test_running_count(spark, feed, tmp_path):
@@ -210,26 +206,41 @@ def test_batch_and_stream_agree_on_closed_windows(spark, feed, tmp_path):
         assert values(streamed) == values(whole.filter(end <= F.lit(closed)))
 
 
-@pytest.mark.parametrize("slice_width", ["1 minute", "1 hour", "10 hours"])
-def test_batch_sessions_do_not_depend_on_the_slices(spark, slice_width):
-    steps = [0, 300, 301, 5, 0, 900, 300, 299, 3600, 60, 301]
+def sessions_of(seconds, gap=300):
+    """Sessions of sorted seconds as (start, end, rows)."""
+    found = []
+    for s in seconds:
+        if found and s - found[-1][1] <= gap:
+            found[-1] = (found[-1][0], s, found[-1][2] + 1)
+        else:
+            found.append((s, s, 1))
+    return [(a, b + gap, n) for a, b, n in found]
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.sampled_from([0, 1, 60, 299, 300, 301, 600, 3600]), min_size=1, max_size=40))
+def test_batch_sessions(spark, steps):
     seconds = [sum(steps[: i + 1]) for i in range(len(steps))]
     rows = [(DAY + dt.timedelta(seconds=s), key) for key in (1, 2) for s in seconds]
     df = spark.createDataFrame(rows, "event_timestamp timestamp, PULocationID int")
-    expected, current = [], []
-    for s in [*seconds, None]:
-        if current and (s is None or s - current[-1] > 300):
-            start, end = (DAY + dt.timedelta(seconds=x) for x in (current[0], current[-1] + 300))
-            expected += [(start, end, key, len(current)) for key in (1, 2)]
-            current = []
-        current.append(s)
-    assert values(session_count(df, batch_slice=slice_width)) == sorted(expected, key=repr)
-
-
-def test_hot_zone_is_spread_in_batch_sessions(spark):
-    df = spark.createDataFrame([(DAY, 1)], "event_timestamp timestamp, PULocationID int")
-    text = plan(session_count(df))
-    assert "hashpartitioning(PULocationID" in text and "_slice" in text.split("Exchange hashpartitioning")[2][:60]
+    expected = {
+        (DAY + dt.timedelta(seconds=a), DAY + dt.timedelta(seconds=b), key, n)
+        for a, b, n in sessions_of(seconds)
+        for key in (1, 2)
+    }
+    assert set(values(session_count(df))) == expected
+
+
+def test_hot_zone_is_counted_before_the_shuffle(spark):
+    df = spark.range(0, 200_000, 1, 8).selectExpr(
+        "1 AS PULocationID", "timestamp_seconds(id % 3600) AS event_timestamp"
+    )
+    sessions = session_count(df)
+    assert values(sessions, "num_trips") == [(200_000,)]
+    sessions.collect()
+    # 12 bins from each of 8 tasks are all that is shuffled.
+    shuffles = sessions._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count(1)" in shuffles and "session_window" not in shuffles
 
 
 def test_state_on_disk(spark, feed, tmp_path):

@@ -112,6 +112,7 @@ def zone_pickups(
     Trips are counted per zone id before the join, so the join sees one row
     per id and no hot zone.
     """
-    per_id = count_by(trips, trip_key, name="_n")
-    named = join_zone(per_id, zones.select(zone_key, zone_name), trip_key, zone_key)
-    return named.groupBy(F.col(zone_name).alias("zone")).agg(total("_n").alias("pickup_count"))
+    per_id = count_by(trips, F.col(trip_key).alias("_zone_id"), name="_n")
+    names = zones.select(F.col(zone_key).alias("_id"), F.col(zone_name).alias("_name"))
+    named = join_zone(per_id, names, "_zone_id", "_id")
+    return named.groupBy(F.col("_name").alias("zone")).agg(total("_n").alias("pickup_count"))

@@ -46,52 +46,48 @@ def tumbling_sum(
 
 
 def session_count(
-    df: DataFrame,
-    gap: str = "5 minutes",
-    key: str = "PULocationID",
-    time: str = TIME,
-    batch_slice: str = "1 hour",
+    df: DataFrame, gap: str = "5 minutes", key: str = "PULocationID", time: str = TIME
 ) -> DataFrame:
     """Rows per key and session; a session ends ``gap`` after its last row.
 
-    Rows exactly ``gap`` apart share a session. In a batch, a key's rows are
-    first turned into sessions per ``batch_slice`` of time and these are then
-    joined up, so a key with very many rows is spread over its slices.
+    Rows exactly ``gap`` apart share a session.
     """
     rows = df.filter(F.col(key).isNotNull())
-    if df.isStreaming:
-        # Rows of a session are merged within each task before the shuffle.
-        df.sparkSession.conf.set(MERGE_BEFORE_SHUFFLE, "true")
-        return _sessions(rows, gap, time, key)
-    sliced = rows.withColumn("_slice", F.window(time, batch_slice).getField("start"))
-    return _joined_sessions(_sessions(sliced, gap, time, key, "_slice"), key)
-
-
-def _sessions(df: DataFrame, gap: str, time: str, *keys: str) -> DataFrame:
-    found = df.groupBy(F.session_window(time, gap).alias("_session"), *keys)
+    if not df.isStreaming:
+        return _batch_sessions(rows, gap, time, key)
+    # Rows of a session are merged within each task before the shuffle.
+    df.sparkSession.conf.set(MERGE_BEFORE_SHUFFLE, "true")
+    found = rows.groupBy(F.session_window(time, gap).alias("_session"), key)
     return found.agg(F.count("*").alias("num_trips")).select(
         F.col("_session.start").alias("session_start"),
         F.col("_session.end").alias("session_end"),
-        *keys,
+        key,
         "num_trips",
     )
 
 
-def _joined_sessions(parts: DataFrame, key: str) -> DataFrame:
-    # Slices do not overlap, so within a key starts and ends rise together and
-    # only neighbours can touch. Per key there is at most one row per slice
-    # and gap: the length of time, not the number of trips, bounds it.
-    order = Window.partitionBy(key).orderBy("session_start")
-    is_new = F.coalesce(
-        F.col("session_start") > F.lag("session_end").over(order), F.lit(True)
-    ).cast("int")
-    numbered = parts.withColumn("_new", is_new).withColumn("_no", F.sum("_new").over(order))
+def _batch_sessions(rows: DataFrame, gap: str, time: str, key: str) -> DataFrame:
+    """Sessions of a batch, from counts per key and ``gap``-wide bin.
+
+    Rows of one bin are less than ``gap`` apart, so a bin lies in one session
+    and is counted before the shuffle, however many rows a key has. What is
+    left per key is bounded by the length of time, not by its rows.
+    """
+    step = F.expr(f"INTERVAL {gap}")
+    bins = rows.groupBy(key, F.window(time, gap)).agg(
+        F.min(time).alias("_first"), F.max(time).alias("_last"), F.count("*").alias("_n")
+    )
+    order = Window.partitionBy(key).orderBy("_first")
+    is_new = F.coalesce(F.col("_first") > F.lag("_last").over(order) + step, F.lit(True))
+    numbered = bins.withColumn("_new", is_new.cast("int")).withColumn(
+        "_no", F.sum("_new").over(order)
+    )
     return (
         numbered.groupBy(key, "_no")
         .agg(
-            F.min("session_start").alias("session_start"),
-            F.max("session_end").alias("session_end"),
-            F.sum("num_trips").alias("num_trips"),
+            F.min("_first").alias("session_start"),
+            (F.max("_last") + step).alias("session_end"),
+            F.sum("_n").alias("num_trips"),
         )
         .select("session_start", "session_end", key, "num_trips")
     )
