@@ -16,6 +16,7 @@ from tripmart.operators import (
     dev_sample,
     distinct_rows,
     having_count,
+    head,
     high_water,
     in_interval,
     join_zone,
@@ -196,6 +197,7 @@ def test_rankings(spark):
     assert [r["zone"] for r in least_frequent(counts, "n", "zone").collect()] == ["a"]
     assert [r["zone"] for r in top_windows(counts, "n", 2, ["zone"]).collect()] == ["c", "a"]
     assert "TakeOrderedAndProject" in plan(top_windows(counts, "n", 2))
+    assert head(counts, 2).count() == 2
     trips = spark.createDataFrame(
         [(at(2024, 1, 1), at(2024, 1, 2)), (at(2024, 1, 1), None), (at(2024, 1, 1), at(2024, 1, 1, 1))],
         "tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz",

@@ -23,6 +23,7 @@ from tripmart.operators.filters import (
 )
 from tripmart.operators.joins import join_zone, left_lookup, matched, orphans, unmatched
 from tripmart.operators.ranking import (
+    head,
     least_frequent,
     longest_trips,
     rank_ascending,
@@ -42,6 +43,7 @@ __all__ = [
     "dev_sample",
     "distinct_rows",
     "having_count",
+    "head",
     "high_water",
     "in_interval",
     "join_zone",

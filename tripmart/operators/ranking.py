@@ -9,6 +9,11 @@ from pyspark.sql import DataFrame, functions as F
 from tripmart.functions.times import trip_hours
 
 
+def head(df: DataFrame, n: int) -> DataFrame:
+    """Any ``n`` rows (which ones is not defined)."""
+    return df.limit(n)
+
+
 def longest_trips(
     df: DataFrame,
     n: int = 5,

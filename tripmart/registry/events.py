@@ -6,6 +6,8 @@ into a keyed table, and returns that table.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tripmart.functions import encode_json
@@ -14,7 +16,13 @@ from tripmart.registry.feeds import plain, table
 from tripmart.session import work_folder
 from tripmart.sinks import append_sink, upsert_sink
 from tripmart.sources import read_trip_stream, trip_events
-from tripmart.streaming import session_count, tumbling_count, tumbling_sum, watermarked
+from tripmart.streaming import (
+    running_count,
+    session_count,
+    tumbling_count,
+    tumbling_sum,
+    watermarked,
+)
 from tripmart.tables import SnapshotTable
 
 QUERIES: dict = {}
@@ -145,6 +153,18 @@ def stream_hourly(spark, sf):
     return plain(_drain(sums, "hourly", ["window_start"], "window_start"))
 
 
+@query(
+    """SELECT count(*) AS total_count, count(*) FILTER (value > 5) AS matching_count FROM events"""
+)
+def stream_running_count(spark, sf):
+    counts = running_count(_event_stream(spark, sf), F.col("value") > 5)
+    name = f"running_{uuid.uuid4().hex}"
+    stream = counts.writeStream.outputMode("complete").format("memory").queryName(name)
+    checkpoint = work_folder(spark, "running-checkpoint")
+    stream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return spark.table(name)
+
+
 @query(
     """SELECT count(*) AS total_count, count(*) FILTER (value > 5) AS matching_count FROM events"""
 )

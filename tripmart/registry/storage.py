@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tripmart.operators import between_dates_inclusive, count_by, row_count
 from tripmart.plans import build_fact
-from tripmart.quality import file_stats, not_null, unique
+from tripmart.quality import file_stats, not_null, partition_sizes, unique
 from tripmart.registry import feeds
 from tripmart.registry.feeds import plain, table
 from tripmart.session import work_folder
@@ -26,6 +26,8 @@ from tripmart.sources import (
 from tripmart.tables import (
     SnapshotTable,
     append,
+    as_table,
+    as_view,
     create_keyed_table,
     delete_insert,
     merge,
@@ -216,6 +218,20 @@ def external_table(spark, sf):
     return count_by(external, "l_returnflag")
 
 
+@query("SELECT c_nationkey, count(*) AS n FROM customer GROUP BY c_nationkey")
+def saved_table(spark, sf):
+    counts = count_by(table(spark, sf, "customer"), "c_nationkey")
+    saved = as_table(counts, "saved_counts", work_folder(spark, "saved"))
+    as_view(saved, "saved_counts_view")
+    return spark.sql("SELECT c_nationkey, n FROM saved_counts_view")
+
+
+@query("SELECT count(*) AS n_rows FROM lineitem")
+def partition_rows(spark, sf):
+    sizes = partition_sizes(table(spark, sf, "lineitem"))
+    return sizes.agg(F.sum("n_rows").alias("n_rows"))
+
+
 # -- JSON documents -----------------------------------------------------------------
 
 

@@ -5,6 +5,7 @@ from tripmart.sinks.jdbc import write_jdbc
 from tripmart.sinks.streams import (
     append_sink,
     console_sink,
+    jdbc_sink,
     publish_stream,
     to_kafka,
     upsert_sink,
@@ -13,6 +14,7 @@ from tripmart.sinks.streams import (
 __all__ = [
     "append_sink",
     "console_sink",
+    "jdbc_sink",
     "publish_stream",
     "to_kafka",
     "upsert_sink",

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from tripmart.functions import encode_json
+from tripmart.sinks.jdbc import write_jdbc
 from tripmart.tables import SnapshotTable, append, merge
 
 
@@ -57,6 +58,21 @@ def append_sink(
     return _writer(df, checkpoint, "append", drain).foreachBatch(apply).start()
 
 
+def jdbc_sink(
+    df: DataFrame, url: str, table: str, checkpoint: str, drain: bool = True, **more: str
+) -> StreamingQuery:
+    """Insert each micro-batch into a database table.
+
+    A batch repeated after a failure is inserted again: give the table a key,
+    or insert into one that is merged later.
+    """
+
+    def apply(batch: DataFrame, number: int) -> None:
+        write_jdbc(batch, url, table, **more)
+
+    return _writer(df, checkpoint, "append", drain).foreachBatch(apply).start()
+
+
 def console_sink(df: DataFrame, n: int = 10) -> StreamingQuery:
     """Print the first ``n`` rows; ends when the input present is read."""
     return (

@@ -22,9 +22,12 @@ def register_views(frames: Mapping[str, DataFrame]) -> None:
         as_view(df, name)
 
 
-def as_table(df: DataFrame, name: str) -> DataFrame:
-    """Drop and recreate a catalog table from a frame."""
-    df.write.format("parquet").mode("overwrite").saveAsTable(name)
+def as_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Drop and recreate a catalog table from a frame (its files at ``path`` if given)."""
+    writer = df.write.format("parquet").mode("overwrite")
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
     return df.sparkSession.table(name)
 
 
