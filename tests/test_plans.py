@@ -20,6 +20,9 @@ from tripmart.plans import (
     int_trips,
     month_total,
     monthly_zone_revenue,
+    refresh_report,
+    refresh_staging,
+    rules,
     standardise,
     union_services,
     zone_pickups,
@@ -181,6 +184,47 @@ def test_daily_report(spark):
     ]
 
 
+def test_rules_of_every_table(spark, zones):
+    trips = int_trips(trips_of(spark, [{}], [{}]), payment_lookup(spark))
+    fact = fact_rows(trips, zones)
+    for df, wanted in (
+        (payment_lookup(spark), rules.payment_rules()),
+        (trips, rules.trip_rules()),
+        (fact, rules.fact_rules(zones)),
+        (zones, rules.zone_rules()),
+        (dim_vendors(fact), rules.vendor_rules()),
+        (monthly_zone_revenue(fact), rules.monthly_rules()),
+    ):
+        require_passed(check_report(df, wanted))
+    lost = fact.withColumn("pickup_location_id", F.lit(77))
+    failed = check_report(lost, rules.fact_rules(zones)).filter("NOT passed")
+    assert values(failed, "check_name", "column_name", "failures") == [
+        ("relationships", "pickup_location_id", 2)
+    ]
+
+
+def test_interval_runs(spark, tmp_path):
+    stamps = [dt.datetime(2024, 1, d, h) for d in range(1, 6) for h in (0, 12)]
+
+    def ingested(amount):
+        rows = [(t, "green", amount, 1.0, 2.0, 3.0, 1, 7, T0) for t in stamps]
+        return spark.createDataFrame(rows, "pickup_datetime timestamp_ntz, taxi_type string, total_amount double, trip_distance double, fare_amount double, tip_amount double, passenger_count int, vendor_id int, extracted_at timestamp_ntz")
+
+    staging = SnapshotTable(spark, str(tmp_path / "staging"), "pickup_datetime")
+    report = SnapshotTable(spark, str(tmp_path / "report"), "report_date")
+    for amount, start, end in ((1.0, "2024-01-01", "2024-01-05"), (5.0, "2024-01-03 12:00:00", "2024-01-06")):
+        refresh_staging(ingested(amount), staging, start, end)
+        refresh_report(staging, report, start, end)
+    assert values(report.read(), "report_date", "total_revenue") == [
+        (dt.date(2024, 1, 1), 2.0), (dt.date(2024, 1, 2), 2.0), (dt.date(2024, 1, 3), 6.0),
+        (dt.date(2024, 1, 4), 10.0), (dt.date(2024, 1, 5), 10.0),
+    ]
+    require_passed(check_report(staging.read(), rules.staging_rules()))
+    require_passed(check_report(report.read(), rules.report_rules()))
+    text = plan(staging.read_between(dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 3)))
+    assert "InMemoryFileIndex(1 paths)" in text
+
+
 def test_zone_pickups_counts_before_joining(spark):
     trips = spark.createDataFrame([(1,), (1,), (2,), (3,), (None,)], "PULocationID int")
     seed = literal_rows(spark, [(1, "A", "x", "s"), (2, "A", "x", "s"), (4, "A", "z", "s")], ZONES)

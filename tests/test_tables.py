@@ -185,6 +185,11 @@ def test_expire_keeps_what_is_named(spark, table):
     assert len(os.listdir(f"{table.root}/data")) == 2
 
 
+def test_reserved_names_are_refused(spark, table):
+    with pytest.raises(ValueError, match="part_from"):
+        replace(table, rows(spark, (1, "a", day(1))).withColumn("part_from", F.lit(1)))
+
+
 def test_keyed_table(spark, root):
     schema = T._parse_datatype_string(SCHEMA)
     table = create_keyed_table(spark, root, schema, ["k"], time="t")

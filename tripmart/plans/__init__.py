@@ -9,6 +9,7 @@ from tripmart.plans.marts import (
     monthly_zone_revenue,
     zone_pickups,
 )
+from tripmart.plans.refresh import refresh_report, refresh_staging
 from tripmart.plans.staging import conform_fhv, conform_green, conform_yellow, standardise
 from tripmart.plans.trips import build_fact, enrich_payment, enrich_zones, fact_rows, int_trips, union_services
 
@@ -27,6 +28,8 @@ __all__ = [
     "int_trips",
     "month_total",
     "monthly_zone_revenue",
+    "refresh_report",
+    "refresh_staging",
     "standardise",
     "union_services",
     "zone_pickups",

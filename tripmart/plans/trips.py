@@ -107,7 +107,7 @@ def build_fact(
         replace(target, fact_rows(trips.read() if stored else trips, zones))
         return target
     bound = newest - (lookback or dt.timedelta(0))
-    source = trips.read_since(bound) if stored else trips
+    source = trips.read_between(bound) if stored else trips
     newer = source.filter(F.col("pickup_datetime") > F.lit(str(bound)).cast("timestamp_ntz"))
     merge(target, fact_rows(newer, zones), ["trip_id"], key_fixes_partition=True, widen=True)
     return target

@@ -45,6 +45,7 @@ from tripmart.operators import (
 )
 from tripmart.plans import (
     best_zone,
+    build_fact,
     conform_fhv,
     daily_report,
     dim_vendors,
@@ -55,6 +56,7 @@ from tripmart.plans import (
     standardise,
     zone_pickups,
 )
+from tripmart.plans.rules import fact_rules
 from tripmart.plans.staging import with_lineage
 from tripmart.quality import (
     accepted_values,
@@ -75,7 +77,8 @@ from tripmart.registry import feeds
 from tripmart.registry.feeds import plain, table
 from tripmart.schemas import FACT, RIDE, payment_lookup
 from tripmart.sources import count_from_footers
-from tripmart.tables import register_views
+from tripmart.session import work_folder
+from tripmart.tables import SnapshotTable, register_views
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -629,6 +632,37 @@ def check_results(spark, sf):
     )
 
 
+@query(
+    f"""WITH {feeds.FACT_CTE},
+    counts AS (
+      SELECT count(*) FILTER (trip_id IS NULL) AS a, count(*) FILTER (vendor_id IS NULL) AS b,
+        count(*) FILTER (service_type IS NULL) AS c, count(*) FILTER (pickup_datetime IS NULL) AS d,
+        count(*) FILTER (total_amount IS NULL) AS e,
+        count(*) FILTER (service_type NOT IN ('Green', 'Yellow')) AS f,
+        count(*) FILTER (pickup_location_id NOT IN (SELECT location_id FROM zones)) AS g,
+        count(*) FILTER (dropoff_location_id NOT IN (SELECT location_id FROM zones)) AS h
+      FROM fact),
+    report AS (
+      SELECT 'unique' AS check_name, 'trip_id' AS column_name, count(*) AS failures
+        FROM (SELECT trip_id FROM fact GROUP BY trip_id HAVING count(*) > 1)
+      UNION ALL SELECT 'not_null', 'trip_id', a FROM counts
+      UNION ALL SELECT 'not_null', 'vendor_id', b FROM counts
+      UNION ALL SELECT 'not_null', 'service_type', c FROM counts
+      UNION ALL SELECT 'not_null', 'pickup_datetime', d FROM counts
+      UNION ALL SELECT 'not_null', 'total_amount', e FROM counts
+      UNION ALL SELECT 'accepted_values', 'service_type', f FROM counts
+      UNION ALL SELECT 'relationships', 'pickup_location_id', g FROM counts
+      UNION ALL SELECT 'relationships', 'dropoff_location_id', h FROM counts)
+    SELECT *, failures = 0 AS passed FROM report"""
+)
+def fact_checks(spark, sf):
+    # Several checks look at the fact: it is a table, not computed for each.
+    target = SnapshotTable(spark, work_folder(spark, "checked-fact"))
+    zones = feeds.zones(spark, sf)
+    build_fact(feeds.trips(spark, sf), zones, target)
+    return check_report(target.read(), fact_rules(zones))
+
+
 @query(
     """SELECT max(ts) AS newest_at,
       round(date_diff('second', date_trunc('second', max(ts)), TIMESTAMP '2024-02-01 12:00:00')
@@ -681,6 +715,22 @@ def json_round_trip(spark, sf):
     )
 
 
+@query(
+    """SELECT CAST(o_custkey AS VARCHAR) AS key, CAST(json_object(
+        'o_orderkey', o_orderkey, 'o_custkey', o_custkey, 'status', nullif(o_orderstatus, 'F'),
+        'at', strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')) AS VARCHAR) AS value
+    FROM orders"""
+)
+def encoded_messages(spark, sf):
+    trips = table(spark, sf, "orders").select(
+        "o_orderkey",
+        "o_custkey",
+        F.nullif("o_orderstatus", F.lit("F")).alias("status"),
+        F.col("o_orderdate").alias("at"),
+    )
+    return encode_json(trips, key="o_custkey")
+
+
 @query(
     """SELECT o_orderkey, 'Received: PU=' || o_custkey || ', DO=' || o_orderkey || ', distance='
       || o_orderstatus || ', amount=$' || CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tripmart.operators import between_dates_inclusive, count_by, row_count
-from tripmart.plans import build_fact
+from tripmart.plans import build_fact, refresh_report, refresh_staging
 from tripmart.quality import file_stats, not_null, partition_sizes, unique
 from tripmart.registry import feeds
 from tripmart.registry.feeds import plain, table
@@ -109,16 +109,16 @@ def file_layout(spark, sf):
 
 @query(
     """SELECT o_orderstatus, DATE '2024-05-01' AS day, count(*) AS n FROM orders
-      WHERE o_custkey % 2 = 1 GROUP BY o_orderstatus
+      WHERE o_totalprice > 250000 GROUP BY o_orderstatus
     UNION ALL
     SELECT o_orderstatus, DATE '2024-05-02', count(*) FROM orders GROUP BY o_orderstatus"""
 )
 def run_days(spark, sf):
     path = work_folder(spark, "run-days")
-    orders = table(spark, sf, "orders").select("o_orderstatus", "o_custkey")
+    orders = table(spark, sf, "orders").select("o_orderstatus", "o_totalprice")
     write_day(orders, path, "2024-05-01")
     write_day(orders, path, "2024-05-02")
-    write_day(orders.filter("o_custkey % 2 = 1"), path, "2024-05-01")
+    write_day(orders.filter("o_totalprice > 250000"), path, "2024-05-01")
     return count_by(spark.read.parquet(path), "o_orderstatus", "day")
 
 
@@ -178,7 +178,8 @@ MONTHLY_FILLED = (
 @query(
     """WITH trips AS (
       SELECT CASE WHEN event_type IN ('click', 'view') THEN 'yellow' ELSE 'green' END AS taxi_type,
-        CAST(date_trunc('month', ts + to_months(CAST(user_id % 3 AS INTEGER))) AS DATE) AS month,
+        CAST(date_trunc('month', ts + to_months(
+          CASE WHEN value < 3 THEN 0 WHEN value < 15 THEN 1 ELSE 2 END)) AS DATE) AS month,
         value
       FROM events)
     SELECT taxi_type, month, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS amount
@@ -189,9 +190,10 @@ def monthly_files(spark, sf):
     base = work_folder(spark, "months")
     events = table(spark, sf, "events")
     is_yellow = F.col("event_type").isin("click", "view")
+    later = F.when(F.col("value") < 3, 0).when(F.col("value") < 15, 1).otherwise(2)
     for kind, stamps, of_kind in (("yellow", "tpep", is_yellow), ("green", "lpep", ~is_yellow)):
         for shift, month in enumerate(("2024-01", "2024-02", "2024-03")):
-            trips = events.filter(of_kind & (F.col("user_id") % 3 == shift)).select(
+            trips = events.filter(of_kind & (later == shift)).select(
                 F.col("user_id").alias("VendorID"),
                 (F.col("ts") + F.make_ym_interval(months=F.lit(shift))).alias(
                     f"{stamps}_pickup_datetime"
@@ -299,19 +301,18 @@ def paged_source(spark, sf):
 
 # -- materialisation ------------------------------------------------------------------
 
-_UPDATED = "event_id % 7 = 0"
-
 
 @query(
-    f"""SELECT event_id, ts, user_id, event_type,
-      CASE WHEN {_UPDATED} THEN value + 1000 ELSE value END AS value
+    """SELECT event_id, ts, user_id, event_type,
+      CASE WHEN event_type = 'purchase' THEN value + 1000 ELSE value END AS value
     FROM events"""
 )
 def merge_upsert(spark, sf):
+    # Purchases are updated, sign-ups are new, the others stay.
     events = _events(spark, sf)
-    target = _event_table(spark, "merge", events.filter("event_id % 5 <> 0"))
-    changed = events.filter(f"{_UPDATED} OR event_id % 5 = 0").withColumn(
-        "value", F.expr(f"CASE WHEN {_UPDATED} THEN value + 1000 ELSE value END")
+    target = _event_table(spark, "merge", events.filter("event_type <> 'signup'"))
+    changed = events.filter("event_type IN ('purchase', 'signup')").withColumn(
+        "value", F.expr("CASE WHEN event_type = 'purchase' THEN value + 1000 ELSE value END")
     )
     merge(target, changed, ["event_id"])
     merge(target, changed, ["event_id"])
@@ -319,36 +320,31 @@ def merge_upsert(spark, sf):
 
 
 @query(
-    """SELECT event_id, ts, user_id, event_type, value, CAST(NULL AS VARCHAR) AS note
-    FROM events WHERE event_id % 3 <> 0
-    UNION ALL
-    SELECT event_id, ts, user_id, event_type, value, 'new' FROM events WHERE event_id % 3 = 0"""
+    """SELECT event_id, ts, user_id, event_type, value,
+      CASE WHEN event_type IN ('purchase', 'signup') THEN 'new' END AS note
+    FROM events"""
 )
 def widen(spark, sf):
     events = _events(spark, sf)
-    target = _event_table(spark, "widen", events.filter("event_id % 6 <> 0"))
-    noted = events.filter("event_id % 3 = 0").withColumn("note", F.lit("new"))
+    target = _event_table(spark, "widen", events.filter("event_type <> 'signup'"))
+    noted = events.filter("event_type IN ('purchase', 'signup')").withColumn("note", F.lit("new"))
     merge(target, noted, ["event_id"], widen=True)
     return target.read()
 
 
 @query(
-    """SELECT event_id, ts, user_id, event_type, value FROM events WHERE user_id % 4 <> 0
+    """SELECT event_id, ts, user_id, event_type, value FROM events
+      WHERE event_type NOT IN ('click', 'view')
     UNION ALL
-    SELECT event_id, ts, user_id, 'kept', value FROM events
-    WHERE user_id % 4 = 0 AND event_type IN ('click', 'view')"""
+    SELECT event_id, ts, user_id, event_type, value * 2 FROM events
+      WHERE event_type IN ('click', 'view') AND value > 5"""
 )
 def delete_and_insert(spark, sf):
+    # Each of the two types holds a large share of the rows.
     events = _events(spark, sf)
     target = _event_table(spark, "delete-insert", events)
-    some = events.filter("user_id % 4 = 0")
-    # Every user that is replaced must occur in the new rows.
-    recomputed = some.filter("event_type IN ('click', 'view')").withColumn(
-        "event_type", F.lit("kept")
-    )
-    keys = recomputed.select("user_id").distinct()
-    replace(target, events.filter("user_id % 4 <> 0").unionByName(some.join(keys, "user_id", "left_semi")))
-    delete_insert(target, recomputed, ["user_id"])
+    recomputed = events.filter("event_type IN ('click', 'view') AND value > 5")
+    delete_insert(target, recomputed.withColumn("value", F.col("value") * 2), ["event_type"])
     return target.read()
 
 
@@ -390,6 +386,37 @@ def append_rows(spark, sf):
     return target.read()
 
 
+@query(
+    """SELECT CAST(ts AS DATE) AS report_date, event_type AS taxi_type, count(*) AS total_trips,
+      CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
+      CAST(sum(user_id) AS BIGINT) AS total_passengers, count(DISTINCT user_id) AS unique_vendors
+    FROM events
+    WHERE ts >= TIMESTAMP '2024-01-03' AND ts < TIMESTAMP '2024-01-29'
+    GROUP BY CAST(ts AS DATE), event_type"""
+)
+def rebuild_report(spark, sf):
+    # Ingested trips to staging to report, in two overlapping interval runs.
+    money = F.col("value").cast("decimal(18,2)")
+    ingested = table(spark, sf, "events").select(
+        F.col("ts").alias("pickup_datetime"),
+        F.col("event_type").alias("taxi_type"),
+        *[money.alias(c) for c in ("total_amount", "trip_distance", "fare_amount", "tip_amount")],
+        F.col("user_id").alias("passenger_count"),
+        F.col("user_id").alias("vendor_id"),
+    )
+    staging = SnapshotTable(spark, work_folder(spark, "staging"), time="pickup_datetime")
+    report = SnapshotTable(spark, work_folder(spark, "report"), time="report_date", grain="month")
+    for start, end in (("2024-01-03", "2024-01-20"), ("2024-01-15", "2024-01-29")):
+        refresh_staging(ingested, staging, start, end)
+        refresh_report(staging, report, start, end)
+    return plain(
+        report.read().select(
+            "report_date", "taxi_type", "total_trips", "total_revenue", "total_passengers",
+            "unique_vendors",
+        )
+    )
+
+
 @query(
     f"""WITH {feeds.FACT_CTE}
     SELECT * REPLACE ({feeds.as_doubles(*feeds.MONEY_LIST)}) FROM fact"""

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tripmart.frames import empty_frame
 
+SNAPSHOT = "snapshot"  # folder level of one write
 PART = "part_from"  # first day of the period a partition holds
 WHOLE = ""  # the only partition of a table that is not partitioned
 NO_TIME = f"{PART}=__HIVE_DEFAULT_PARTITION__"
@@ -127,11 +128,25 @@ class SnapshotTable:
             return self.read()
         return self.read([max(periods, key=partition_start)])
 
-    def read_since(self, moment: dt.datetime) -> DataFrame:
-        """The partitions with rows at or after a moment (or without a time)."""
-        manifest = self.manifest()
-        periods = {p: self.period(p) for p in manifest.folders} if manifest else {}
-        return self.read([p for p, period in periods.items() if not period or period[1] > moment])
+    def read_between(
+        self, start: dt.datetime | None = None, end: dt.datetime | None = None
+    ) -> DataFrame:
+        """Rows with ``start <= time < end``; partitions outside are not opened."""
+
+        def overlaps(partition: str) -> bool:
+            period = self.period(partition)
+            if period is None:
+                return partition == WHOLE
+            return (start is None or period[1] > start) and (end is None or period[0] < end)
+
+        rows = self.read([p for p in self.manifest().folders if overlaps(p)])
+        kind = rows.schema[self.time].dataType
+        stamp = F.col(self.time)
+        if start is not None:
+            rows = rows.filter(stamp >= F.lit(str(start)).cast(kind))
+        if end is not None:
+            rows = rows.filter(stamp < F.lit(str(end)).cast(kind))
+        return rows
 
     def partition_column(self) -> Column:
         """First day of the period a row falls into."""
@@ -153,7 +168,10 @@ class SnapshotTable:
 
     def write_folder(self, df: DataFrame) -> dict[str, list[str]]:
         """Write rows to a new folder; they are not part of the table yet."""
-        snapshot = f"snapshot={uuid.uuid4().hex}"
+        reserved = {SNAPSHOT, PART} & set(df.columns)
+        if reserved:
+            raise ValueError(f"column names used by the table itself: {sorted(reserved)}")
+        snapshot = f"{SNAPSHOT}={uuid.uuid4().hex}"
         target = f"{self.root}/data/{snapshot}"
         if self.time:
             dated = df.withColumn(PART, self.partition_column())
@@ -168,7 +186,7 @@ class SnapshotTable:
 
     def park(self, df: DataFrame) -> DataFrame:
         """Write an intermediate result beside the table and read it back."""
-        folder = f"snapshot={uuid.uuid4().hex}"
+        folder = f"{SNAPSHOT}={uuid.uuid4().hex}"
         df.write.parquet(f"{self.root}/data/{folder}")
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/data/{folder}")
 
