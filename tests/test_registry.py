@@ -3,7 +3,6 @@
 import glob
 import math
 import os
-import sys
 
 import duckdb
 import pytest

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 from tripmart.functions import default_to, surrogate_key, trip_duration_minutes
 from tripmart.operators.aggregates import high_water
 from tripmart.operators.dedupe import dedupe_first
-from tripmart.operators.filters import in_interval
 from tripmart.operators.joins import left_lookup
 from tripmart.operators.sets import union_aligned
 from tripmart.quality.contract import enforce_contract
