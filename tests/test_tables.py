@@ -90,6 +90,17 @@ def test_merge_rewrites_only_days_with_known_keys(spark, root):
     assert values(table.read().filter("k = 5")) == [(5, "moved", day(20))]
 
 
+def test_key_with_the_time_looks_at_its_own_day_only(spark, root):
+    table = SnapshotTable(spark, root, time="t")
+    replace(table, rows(spark, *[(n, "a", day(n)) for n in range(1, 4)]))
+    folder = table.manifest().folders["part_from=2024-01-02"][0]
+    for name in os.listdir(f"{root}/data/{folder}"):
+        with open(f"{root}/data/{folder}/{name}", "wb") as file:
+            file.write(b"broken")
+    merge(table, rows(spark, (3, "b", day(3)), (9, "new", day(3))), ["k", "t"])
+    assert values(table.read(["part_from=2024-01-03"]), "k", "v") == [(3, "b"), (9, "new")]
+
+
 def test_widening(spark, table):
     replace(table, rows(spark, (1, "a", day(1)), (2, "b", day(1))))
     wider = rows(spark, (2, "c", day(1))).withColumn("x", F.lit(7))

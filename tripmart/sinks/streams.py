@@ -25,7 +25,6 @@ def upsert_sink(
     keys: Sequence[str] | None = None,
     output_mode: str = "append",
     drain: bool = True,
-    key_fixes_partition: bool = True,
 ) -> StreamingQuery:
     """Merge each micro-batch into a keyed table.
 
@@ -35,7 +34,7 @@ def upsert_sink(
     """
 
     def apply(batch: DataFrame, number: int) -> None:
-        merge(table, batch, keys, key_fixes_partition, batch=(checkpoint, number))
+        merge(table, batch, keys, batch=(checkpoint, number))
 
     return _writer(df, checkpoint, output_mode, drain).foreachBatch(apply).start()
 

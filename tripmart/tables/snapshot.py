@@ -205,7 +205,12 @@ class SnapshotTable:
             raise RuntimeError(f"could not publish {final.toString()}")
 
     def expire(self, keep: int = 2) -> int:
-        """Delete folders that the last ``keep`` manifests do not name."""
+        """Delete folders that the last ``keep`` manifests do not name.
+
+        For the writer to call between its changes: rows written but not yet
+        published are in no manifest. A reader must not be slower than ``keep``
+        changes.
+        """
         versions = self._versions()
         used = {
             folder.split("/", 1)[0]

@@ -122,7 +122,9 @@ def _put(
     if unique:
         _require_unique(staged, keys)
 
-    candidates = [p for p in old.folders if p in new or not key_fixes_partition]
+    # With the time in the key, or a key made from it, equal keys share a partition.
+    fixed = key_fixes_partition or target.time in keys
+    candidates = [p for p in old.folders if p in new or not fixed]
     hit: set[str] = set()
     if candidates and not unique:
         # One row per key, written so that the joins below have no aggregate in
@@ -151,9 +153,9 @@ def merge(
     """Update rows with a known key, insert the others.
 
     A key that occurs twice in ``rows`` fails the merge and leaves the table as
-    it was. Set ``key_fixes_partition`` where equal keys always fall on the
-    same day: then other partitions are not searched for the key. ``widen`` adds new
-    columns to the table. ``batch`` (stream, number) makes a repeat a no-op.
+    it was. Where the key holds the table's time, only partitions that receive
+    rows are searched for it; set ``key_fixes_partition`` where the key is made
+    from the time (a hash of it, say). ``widen`` adds new columns to the table. ``batch`` (stream, number) makes a repeat a no-op.
     """
     keys = keys or target.manifest().keys
     _put(target, rows, keys, True, key_fixes_partition, widen, batch)
