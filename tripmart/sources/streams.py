@@ -21,7 +21,7 @@ def read_trip_stream(
     source: str,
     schema: T.StructType,
     topic: str | None = None,
-    max_files: int | None = None,
+    per_trigger: int | None = None,
     pattern: str | None = None,
 ) -> DataFrame:
     """A stream of JSON trips, read from the beginning.
@@ -29,13 +29,18 @@ def read_trip_stream(
     With ``topic`` the source is a broker list (the Kafka connector must be on
     the class path); otherwise a folder of files with one JSON text per line.
     Offsets are kept in the checkpoint of the query that writes the result.
+    ``per_trigger`` bounds a micro-batch (messages or files), so that a large
+    backlog is worked off in pieces.
     """
     if topic:
-        raw = spark.readStream.format("kafka").options(**_kafka_options(source, topic)).load()
+        options = _kafka_options(source, topic)
+        if per_trigger:
+            options["maxOffsetsPerTrigger"] = str(per_trigger)
+        raw = spark.readStream.format("kafka").options(**options).load()
     else:
         reader = spark.readStream.format("text")
-        if max_files:
-            reader = reader.option("maxFilesPerTrigger", max_files)
+        if per_trigger:
+            reader = reader.option("maxFilesPerTrigger", per_trigger)
         if pattern:
             reader = reader.option("pathGlobFilter", pattern)
         raw = reader.load(source)

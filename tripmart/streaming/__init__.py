@@ -1,6 +1,7 @@
 """Event-time aggregates, for streams and for batches alike."""
 
 from tripmart.streaming.windows import (
+    late_rows,
     running_count,
     session_count,
     tumbling_count,
@@ -9,6 +10,7 @@ from tripmart.streaming.windows import (
 )
 
 __all__ = [
+    "late_rows",
     "running_count",
     "session_count",
     "tumbling_count",

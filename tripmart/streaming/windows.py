@@ -8,6 +8,7 @@ window appears when the watermark passes its end.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 TIME = "event_timestamp"
 MERGE_BEFORE_SHUFFLE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
@@ -20,6 +21,15 @@ def watermarked(df: DataFrame, delay: str = "5 seconds", time: str = TIME) -> Da
     return df.withWatermark(time, delay)
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows dropped as too late, over the batches the query still reports."""
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )
+
+
 def tumbling_count(
     df: DataFrame, width: str = "5 minutes", key: str = "PULocationID", time: str = TIME
 ) -> DataFrame:
