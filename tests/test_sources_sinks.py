@@ -24,6 +24,7 @@ from tripmart.sources import (
     read_paged,
     read_parquet,
 )
+from tripmart.sources.streams import kafka_options
 from tripmart.sources.jdbc import KeyRange, read_options, write_options
 
 ZONE_CSV = '''"LocationID","Borough","Zone","service_zone"
@@ -133,6 +134,13 @@ def test_jdbc_options():
     assert write_options("jdbc:x", "t")["batchsize"] == "2000"
 
 
+def test_kafka_options():
+    assert kafka_options("host:9092", "green-trips", 500, {"kafka.group.id": "hourly"}) == {
+        "kafka.bootstrap.servers": "host:9092", "subscribe": "green-trips", "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": "500", "kafka.group.id": "hourly",
+    }
+
+
 def test_nested_documents(spark, tmp_path):
     path = tmp_path / "docs.json"
     docs = [

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -84,16 +84,25 @@ def console_sink(df: DataFrame, n: int = 10) -> StreamingQuery:
     )
 
 
+def _topic(servers: str, topic: str, more: Mapping[str, str] | None) -> dict[str, str]:
+    return {"kafka.bootstrap.servers": servers, "topic": topic, **(more or {})}
+
+
 def to_kafka(
-    df: DataFrame, servers: str, topic: str, columns: Sequence[str] | None = None, key: str | None = None
+    df: DataFrame,
+    servers: str,
+    topic: str,
+    columns: Sequence[str] | None = None,
+    key: str | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> None:
-    """Publish rows as JSON (needs the Kafka connector). A key column fixes the partition."""
-    (
-        encode_json(df, columns, key)
-        .write.format("kafka")
-        .options(**{"kafka.bootstrap.servers": servers, "topic": topic})
-        .save()
-    )
+    """Publish rows as JSON (needs the Kafka connector).
+
+    A key column decides the partition of a message; without one they are
+    spread evenly, which a hot key would not be.
+    """
+    messages = encode_json(df, columns, key)
+    messages.write.format("kafka").options(**_topic(servers, topic, options)).save()
 
 
 def publish_stream(
@@ -103,7 +112,8 @@ def publish_stream(
     checkpoint: str,
     columns: Sequence[str] | None = None,
     drain: bool = True,
+    options: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Publish a stream as JSON (needs the Kafka connector)."""
     out = _writer(encode_json(df, columns), checkpoint, "append", drain).format("kafka")
-    return out.options(**{"kafka.bootstrap.servers": servers, "topic": topic}).start()
+    return out.options(**_topic(servers, topic, options)).start()

@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tripmart.functions import decode_json, from_epoch_ms, parse_time
 from tripmart.functions.times import TEXT_FORMAT
 
 
-def _kafka_options(servers: str, topic: str) -> dict[str, str]:
-    return {
+def kafka_options(
+    servers: str, topic: str, per_trigger: int | None = None, more: Mapping[str, str] | None = None
+) -> dict[str, str]:
+    """Reader options: from the earliest offset, with further ones (security, group id)."""
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "earliest",
     }
+    if per_trigger:
+        options["maxOffsetsPerTrigger"] = str(per_trigger)
+    return {**options, **(more or {})}
 
 
 def read_trip_stream(
@@ -23,6 +31,7 @@ def read_trip_stream(
     topic: str | None = None,
     per_trigger: int | None = None,
     pattern: str | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """A stream of JSON trips, read from the beginning.
 
@@ -33,10 +42,8 @@ def read_trip_stream(
     backlog is worked off in pieces.
     """
     if topic:
-        options = _kafka_options(source, topic)
-        if per_trigger:
-            options["maxOffsetsPerTrigger"] = str(per_trigger)
-        raw = spark.readStream.format("kafka").options(**options).load()
+        settings = kafka_options(source, topic, per_trigger, options)
+        raw = spark.readStream.format("kafka").options(**settings).load()
     else:
         reader = spark.readStream.format("text")
         if per_trigger:
@@ -48,15 +55,15 @@ def read_trip_stream(
 
 
 def read_bounded_kafka(
-    spark: SparkSession, servers: str, topic: str, schema: T.StructType
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    schema: T.StructType,
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """What a topic holds now, as a batch."""
-    raw = (
-        spark.read.format("kafka")
-        .options(**_kafka_options(servers, topic), endingOffsets="latest")
-        .load()
-    )
-    return decode_json(raw, schema)
+    settings = {**kafka_options(servers, topic, more=options), "endingOffsets": "latest"}
+    return decode_json(spark.read.format("kafka").options(**settings).load(), schema)
 
 
 def trip_events(
