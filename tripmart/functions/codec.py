@@ -10,6 +10,10 @@ from tripmart.functions.casts import ColumnLike, col
 from tripmart.functions.times import TEXT_FORMAT
 
 
+# Fixed value: the display format of a ride.
+RIDE_FORMAT = "Received: PU=%s, DO=%s, distance=%s, amount=$%.2f, pickup=%s"
+
+
 def decode_json(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """Typed columns of a JSON payload (text or bytes) column."""
     parsed = F.from_json(F.col(value).cast("string"), schema).alias("_m")
@@ -34,7 +38,7 @@ def format_ride(
 ) -> Column:
     """One display line per ride, the amount with two decimals."""
     return F.format_string(
-        "Received: PU=%s, DO=%s, distance=%s, amount=$%.2f, pickup=%s",
+        RIDE_FORMAT,
         col(pickup),
         col(dropoff),
         col(distance).cast("string"),

@@ -155,7 +155,8 @@ def merge(
     A key that occurs twice in ``rows`` fails the merge and leaves the table as
     it was. Where the key holds the table's time, only partitions that receive
     rows are searched for it; set ``key_fixes_partition`` where the key is made
-    from the time (a hash of it, say). ``widen`` adds new columns to the table. ``batch`` (stream, number) makes a repeat a no-op.
+    from the time (a hash of it, say). ``widen`` adds new columns to the table.
+    ``batch`` (stream, number) makes a repeat a no-op.
     """
     keys = keys or target.manifest().keys
     _put(target, rows, keys, True, key_fixes_partition, widen, batch)
