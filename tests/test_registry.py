@@ -8,11 +8,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from tripmart import registry
 
 SMALL = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test tables")
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = {k: v for k, v in entry_points.queries().items() if k in registry.QUERIES}
+SQL = {k: v for k, v in entry_points.oracle_sql().items() if k in registry.QUERIES}
 
 
 @pytest.fixture(scope="module")
