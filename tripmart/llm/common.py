@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import contextlib
-import functools
 import math
 
 import numpy as np
@@ -122,24 +121,27 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@functools.lru_cache(maxsize=1)
 def _byte_values() -> np.ndarray:
     values = mix(np.arange(1, 257, dtype=np.uint64)) | np.uint64(1)
     values[list(SPACE_BYTES)] = 0
     return values
 
 
-_POWERS: dict[str, np.ndarray] = {}
+class HashTables:
+    """Byte values and powers of the word hash; a task makes them once."""
 
+    def __init__(self):
+        self.values = _byte_values()
+        self.up = self.down = np.empty(0, np.uint64)
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS.get("up", ())) < n:
-        size = max(n, 2 * PIECE_BYTES)
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _POWERS[name] = np.multiply.accumulate(steps)
-    return _POWERS["up"], _POWERS["down"]
+    def powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            size = max(n, 2 * PIECE_BYTES)
+            self.up, self.down = (
+                np.multiply.accumulate(np.r_[np.uint64(1), np.full(size - 1, base, np.uint64)])
+                for base in (_BASE, pow(_BASE, -1, 1 << 64))
+            )
+        return self.up, self.down
 
 
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -162,7 +164,7 @@ def pieces(offsets: np.ndarray, limit: int = PIECE_BYTES):
         first = last
 
 
-def word_hashes(offsets: np.ndarray, data: np.ndarray, first: int, last: int):
+def word_hashes(offsets: np.ndarray, data: np.ndarray, first: int, last: int, tables: HashTables):
     """Word hashes of texts ``first`` to ``last``; their rows; their start and end bytes.
 
     The hash is a polynomial over byte values, taken from one running sum, and
@@ -170,7 +172,7 @@ def word_hashes(offsets: np.ndarray, data: np.ndarray, first: int, last: int):
     """
     low, high = int(offsets[first]), int(offsets[last])
     part = data[low:high]
-    values = _byte_values()[part]
+    values = tables.values[part]
     inside = values != 0
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -186,7 +188,7 @@ def word_hashes(offsets: np.ndarray, data: np.ndarray, first: int, last: int):
     cut = edges[edges > 0] - 1
     ends_here[cut] = inside[cut]
     ends = np.flatnonzero(ends_here) + 1
-    up, down = _powers(len(part))
+    up, down = tables.powers(len(part))
     values *= up[: len(part)]
     sums = np.cumsum(values)
     ahead = np.where(starts > 0, sums[np.maximum(starts, 1) - 1], np.uint64(0))

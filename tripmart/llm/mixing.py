@@ -18,7 +18,7 @@ from tripmart.llm.common import crc_of, hash_buckets, row_key, running_totals
 WEIGHTS = (5, 2, 1)
 BUDGET_SHARE = 1.5
 MAX_EPOCHS = 2
-ROWS_PER_SLICE = 20_000
+ROWS_PER_SLICE = 4_000
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 

@@ -12,6 +12,7 @@ from tripmart.llm.licenses import license_digest, scan_licenses
 from tripmart.llm.mixing import fair_queue
 from tripmart.llm.sharding import shard_rows
 from tripmart.llm.sql import ORACLES
+from tripmart.llm.substrings import remove_repeats
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -25,6 +26,12 @@ def query(function):
     return function
 
 
+@query
+def op1_substring_dedup(spark, sf_dir):
+    trimmed = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return trimmed.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query
 def op3_license_scan(spark, sf_dir):
     return license_digest(scan_licenses(table(spark, sf_dir, "documents")))

@@ -34,3 +34,25 @@ SELECT doc_id, size, source_size, target,
        greatest(0, least(goal - ahead, size)) + greatest(0, least(goal - ahead - source_size, size)) AS taken
 FROM queued
 """
+
+ORACLES["op1_substring_dedup"] = f"""
+WITH docs AS (SELECT doc_id, {WORDS} AS words FROM documents),
+windows AS (
+    SELECT doc_id, start, sha256(array_to_string(words[start:start + 12], ' ')) AS gram
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS start FROM docs)),
+firsts AS (SELECT gram, min(doc_id) AS low FROM windows GROUP BY gram HAVING min(doc_id) < max(doc_id)),
+cuts AS (
+    SELECT doc_id, list(start) AS starts
+    FROM windows JOIN firsts USING (gram) WHERE low < doc_id GROUP BY doc_id),
+covered AS (
+    SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS place FROM (SELECT doc_id, unnest(starts) AS s FROM cuts)),
+lists AS (SELECT doc_id, list(place) AS places FROM covered GROUP BY doc_id),
+kept AS (
+    SELECT doc_id, words, coalesce(len(places), 0) AS n_removed,
+           CASE WHEN places IS NULL THEN words
+                ELSE [words[i] FOR i IN range(1, len(words) + 1) IF NOT list_contains(places, i)] END AS rest
+    FROM docs LEFT JOIN lists USING (doc_id))
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed,
+       sha256(coalesce(array_to_string(rest, ' '), '')) AS kept_sha256
+FROM kept
+"""
