@@ -10,6 +10,7 @@ from tripmart.llm.common import crc_of, table
 from tripmart.llm.decontamination import contaminations
 from tripmart.llm.licenses import license_digest, scan_licenses
 from tripmart.llm.mixing import fair_queue
+from tripmart.llm.quality import THRESHOLD, held_out, score_documents, train
 from tripmart.llm.sharding import shard_rows
 from tripmart.llm.sql import ORACLES
 from tripmart.llm.substrings import remove_repeats
@@ -32,6 +33,14 @@ def op1_substring_dedup(spark, sf_dir):
     return trimmed.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query
+def op2_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    scored = score_documents(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "score")
+    return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
 @query
 def op3_license_scan(spark, sf_dir):
     return license_digest(scan_licenses(table(spark, sf_dir, "documents")))
