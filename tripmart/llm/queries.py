@@ -10,6 +10,7 @@ from tripmart.llm.common import crc_of, table
 from tripmart.llm.decontamination import contaminations
 from tripmart.llm.licenses import license_digest, scan_licenses
 from tripmart.llm.mixing import fair_queue
+from tripmart.llm.ngram_join import similarity_classes
 from tripmart.llm.quality import THRESHOLD, held_out, score_documents, train
 from tripmart.llm.sharding import shard_rows
 from tripmart.llm.sql import ORACLES
@@ -71,3 +72,8 @@ def op8_source_mix(spark, sf_dir):
 @query
 def op9_decontamination(spark, sf_dir):
     return contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op10_ngram_jaccard(spark, sf_dir):
+    return similarity_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
