@@ -109,11 +109,11 @@ def benchmark_items(benchmark: DataFrame, id_column: str, text_column: str, shin
 
 
 def multi_index(items: DataFrame, radius: int) -> DataFrame:
-    """(block, value, item columns): every block value within the block's share of the radius."""
+    """(block, value, item_id, fingerprint): every block value within the block's share of the radius."""
     share = radius // BLOCKS
     masks = F.filter(F.sequence(F.lit(0), F.lit((1 << BLOCK_BITS) - 1)), lambda m: F.bit_count(m) <= share)
     blocks = F.array(*[F.struct(F.lit(b).alias("block"), _block(F.col("fingerprint"), b).alias("own")) for b in range(BLOCKS)])
-    keyed = items.select("item_id", "n", "shingles", "fingerprint", F.inline(blocks))
+    keyed = items.select("item_id", "fingerprint", F.inline(blocks))
     masked = keyed.withColumn("mask", F.explode(masks))
     return masked.withColumn("value", F.col("own").bitwiseXOR(F.col("mask").cast("long"))).drop("mask", "own")
 
@@ -171,11 +171,15 @@ def contaminations(
         .withColumn("_f", simhash(F.col("_s")))
     )
     keys = F.array(*[F.struct(F.lit(b).alias("block"), _block(F.col("_f"), b).alias("value")) for b in range(BLOCKS)])
-    index = multi_index(items, radius).withColumnRenamed("n", "item_words")
-    near = (
+    # Merge join: the index is far larger than its estimate, so it must not be broadcast.
+    met = (
         windows.select("_id", "start", "n", "_s", "_f", F.inline(keys))
-        .join(index, ["block", "value"])
+        .join(multi_index(items, radius).hint("merge"), ["block", "value"])
         .filter(F.bit_count(F.col("_f").bitwiseXOR(F.col("fingerprint"))) <= radius)
+        .select("_id", "start", "n", "_s", "item_id")
+    )
+    near = (
+        met.join(items.select("item_id", "shingles"), "item_id")
         .withColumn("similarity", weighted_jaccard(F.col("_s"), F.col("shingles")))
         .filter(F.col("similarity") >= similarity)
     )
