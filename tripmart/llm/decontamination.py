@@ -99,21 +99,22 @@ def weighted_jaccard(a: Column, b: Column) -> Column:
 
 
 def benchmark_items(benchmark: DataFrame, id_column: str, text_column: str, shingle: int) -> DataFrame:
-    """(item_id, n, shingles, fingerprint) of all items that have words."""
+    """(item_id, n, shingles, fingerprint, text_key) of all items that have words."""
     return (
         benchmark.select(F.col(id_column).alias("item_id"), plain_words(F.col(text_column)).alias("_w"))
         .filter(F.size("_w") > 0)
         .select("item_id", F.size("_w").alias("n"), window_shingles(F.col("_w"), shingle).alias("shingles"))
         .withColumn("fingerprint", simhash(F.col("shingles")))
+        .withColumn("text_key", F.xxhash64("n", "shingles"))
     )
 
 
 def multi_index(items: DataFrame, radius: int) -> DataFrame:
-    """(block, value, item_id, fingerprint): every block value within the block's share of the radius."""
+    """(block, value, text_key, fingerprint): every block value within the block's share of the radius."""
     share = radius // BLOCKS
     masks = F.filter(F.sequence(F.lit(0), F.lit((1 << BLOCK_BITS) - 1)), lambda m: F.bit_count(m) <= share)
     blocks = F.array(*[F.struct(F.lit(b).alias("block"), _block(F.col("fingerprint"), b).alias("own")) for b in range(BLOCKS)])
-    keyed = items.select("item_id", "fingerprint", F.inline(blocks))
+    keyed = items.dropDuplicates(["text_key"]).select("text_key", "fingerprint", F.inline(blocks))
     masked = keyed.withColumn("mask", F.explode(masks))
     return masked.withColumn("value", F.col("own").bitwiseXOR(F.col("mask").cast("long"))).drop("mask", "own")
 
@@ -135,7 +136,7 @@ def contaminations(
     similar window (the first, among equals). NULL and empty texts have no
     window; items without words match nothing; a text shorter than an item is
     compared whole. Repeated rows of a document count once; repeated items are
-    reported under each id. Empty tables give an empty result. Other columns are
+    reported under each id, NULL included. Empty tables give an empty result. Other columns are
     ignored.
     """
     items = benchmark_items(benchmark, item_id, item_text, shingle)
@@ -176,10 +177,10 @@ def contaminations(
         windows.select("_id", "start", "n", "_s", "_f", F.inline(keys))
         .join(multi_index(items, radius).hint("merge"), ["block", "value"])
         .filter(F.bit_count(F.col("_f").bitwiseXOR(F.col("fingerprint"))) <= radius)
-        .select("_id", "start", "n", "_s", "item_id")
+        .select("_id", "start", "n", "_s", "text_key")
     )
     near = (
-        met.join(items.select("item_id", "shingles"), "item_id")
+        met.join(items.select("text_key", "item_id", "shingles"), "text_key")
         .withColumn("similarity", weighted_jaccard(F.col("_s"), F.col("shingles")))
         .filter(F.col("similarity") >= similarity)
     )
