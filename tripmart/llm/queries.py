@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tripmart.llm.common import crc_of, table
 from tripmart.llm.decontamination import contaminations
 from tripmart.llm.licenses import license_digest, scan_licenses
+from tripmart.llm.lm_score import score_texts
 from tripmart.llm.mixing import fair_queue
 from tripmart.llm.ngram_join import similarity_classes
 from tripmart.llm.quality import THRESHOLD, held_out, score_documents, train
@@ -47,6 +48,12 @@ def op3_license_scan(spark, sf_dir):
     return license_digest(scan_licenses(table(spark, sf_dir, "documents")))
 
 
+@query
+def op5_lm_score(spark, sf_dir):
+    scored = score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return scored.withColumn("log_score", F.round("log_score", 6))
+
+
 @query
 def op6_sharding(spark, sf_dir):
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1

@@ -56,3 +56,39 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(n_removed AS BIGINT)
        sha256(coalesce(array_to_string(rest, ' '), '')) AS kept_sha256
 FROM kept
 """
+
+ORACLES["op5_lm_score"] = f"""
+WITH docs AS (SELECT doc_id, {WORDS} AS words FROM documents),
+places AS (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM docs),
+tokens AS (
+    SELECT doc_id, i, words[i] AS w, CASE WHEN i > 1 THEN words[i - 1] END AS v FROM places),
+own1 AS (SELECT doc_id, w, count(*) AS n FROM tokens GROUP BY ALL),
+own2 AS (SELECT doc_id, v, w, count(*) AS n FROM tokens WHERE i > 1 GROUP BY ALL),
+all1 AS (SELECT w, sum(n) AS n FROM own1 GROUP BY w),
+all2 AS (SELECT v, w, sum(n) AS n FROM own2 GROUP BY ALL),
+total AS (SELECT sum(n) AS n FROM all1),
+lengths AS (SELECT doc_id, len(words) AS n_words FROM docs),
+joined AS (
+    SELECT t.doc_id, t.i, greatest(total.n - l.n_words, 1) AS others,
+           a.n - o.n AS word, b.n - p.n AS pair, c.n - q.n AS history
+    FROM tokens t
+    JOIN lengths l ON t.doc_id = l.doc_id
+    CROSS JOIN total
+    JOIN all1 a ON a.w = t.w
+    JOIN own1 o ON o.doc_id = t.doc_id AND o.w = t.w
+    LEFT JOIN all2 b ON b.v = t.v AND b.w = t.w
+    LEFT JOIN own2 p ON p.doc_id = t.doc_id AND p.v = t.v AND p.w = t.w
+    LEFT JOIN all1 c ON c.w = t.v
+    LEFT JOIN own1 q ON q.doc_id = t.doc_id AND q.w = t.v),
+scored AS (
+    SELECT doc_id,
+           CASE WHEN i > 1 AND pair > 0 THEN ln(pair / history)
+                WHEN word > 0 THEN ln(word / others) + CASE WHEN i > 1 THEN ln(0.4) ELSE 0 END
+                ELSE -ln(others + 1) + CASE WHEN i > 1 THEN 2 ELSE 1 END * ln(0.4) END AS term,
+           CASE WHEN (i > 1 AND pair > 0) OR (i = 1 AND word > 0) THEN 0 ELSE 1 END AS backed
+    FROM joined)
+SELECT l.doc_id, CAST(l.n_words AS BIGINT) AS n_words, CAST(coalesce(sum(backed), 0) AS BIGINT) AS n_backoff,
+       round(avg(term), 6) AS log_score
+FROM lengths l LEFT JOIN scored s ON l.doc_id = s.doc_id
+GROUP BY l.doc_id, l.n_words
+"""
