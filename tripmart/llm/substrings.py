@@ -50,19 +50,17 @@ def _windows(offsets, data, first, last, window, seed, tables):
 
 
 def _seed_rows(batches: Iterator[pa.RecordBatch], window: int, seed: int) -> Iterator[pa.RecordBatch]:
-    """Distinct (anchor, key, document) of the texts of a batch (key, document, text)."""
+    """(anchor, key) of the texts of a batch (key, text), without repeats in a row."""
     tables = HashTables()
     for batch in batches:
-        offsets, data = buffers(batch.column(2))
-        key, document = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        offsets, data = buffers(batch.column(1))
+        key = batch.column(0).to_numpy(zero_copy_only=False)
         for first, last in pieces(offsets):
             rows, _, anchors, _ = _windows(offsets, data, first, last, window, seed, tables)
             fresh = np.ones(len(rows), bool)
             fresh[1:] = (anchors[1:] != anchors[:-1]) | (rows[1:] != rows[:-1])
-            rows, anchors = rows[fresh], anchors[fresh]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(anchors.view(np.int64)), pa.array(key[rows]), pa.array(document[rows])],
-                names=["anchor", "key", "document"],
+                [pa.array(anchors[fresh].view(np.int64)), pa.array(key[rows[fresh]])], names=["anchor", "key"]
             )
 
 
@@ -93,17 +91,20 @@ def _window_rows(batches: Iterator[pa.RecordBatch], window: int, seed: int) -> I
             )
 
 
-def _trimmed_rows(batches: Iterator[pa.RecordBatch], window: int, text_at: int, cuts_at: int) -> Iterator[pa.RecordBatch]:
-    """Replace the last column, window starts, by n_words, n_removed, kept_text and removed spans."""
+def _trimmed_rows(batches: Iterator[pa.RecordBatch], window: int, text_at: int, kept: int) -> Iterator[pa.RecordBatch]:
+    """Replace the last two columns, window starts and whether the text is a copy, by
+    n_words, n_removed, kept_text and removed spans."""
     for batch in batches:
         n_words, n_removed, kept_text, spans = [], [], [], []
-        for text, cuts in zip(batch.column(text_at).to_pylist(), batch.column(cuts_at), strict=True):
+        texts, places, copies = batch.column(text_at).to_pylist(), batch.column(kept), batch.column(kept + 1)
+        for text, cuts, copy in zip(texts, places, copies.to_pylist(), strict=True):
             words = (text or "").encode().split()
             n_words.append(len(words))
-            if not cuts.is_valid or not len(cuts.values):
-                n_removed.append(0)
-                spans.append([])
-            else:
+            if copy and len(words) >= window:
+                n_removed.append(len(words))
+                spans.append([{"start": 0, "end": len(words)}])
+                words = []
+            elif not copy and cuts.is_valid:
                 starts = np.unique(cuts.values.to_numpy(zero_copy_only=False))
                 steps = np.zeros(len(words) + 1, np.int64)
                 steps[starts] += 1
@@ -113,37 +114,46 @@ def _trimmed_rows(batches: Iterator[pa.RecordBatch], window: int, text_at: int,
                 spans.append([{"start": int(a), "end": int(b)} for a, b in edges.reshape(-1, 2)])
                 n_removed.append(int(covered.sum()))
                 words = list(compress(words, (~covered).tolist()))
+            else:
+                n_removed.append(0)
+                spans.append([])
             kept_text.append(b" ".join(words).decode())
-        kept = [batch.column(i) for i in range(cuts_at)]
         added = [
             pa.array(n_words, pa.int64()),
             pa.array(n_removed, pa.int64()),
             pa.array(kept_text, pa.string()),
             pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
         ]
-        names = batch.schema.names[:cuts_at] + ["n_words", "n_removed", "kept_text", "removed"]
-        yield pa.RecordBatch.from_arrays(kept + added, names=names)
+        names = batch.schema.names[:kept] + ["n_words", "n_removed", "kept_text", "removed"]
+        yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(kept)] + added, names=names)
+
+
+def _text_keys(text: str) -> list:
+    """Two independent hashes of a text."""
+    return [F.xxhash64(text).alias("key"), F.xxhash64(F.lit(1), text).alias("second")]
 
 
 def repeated_windows(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW, seed: int = SEED
 ) -> DataFrame:
-    """(document, key, places): per text the starts of its windows that a smaller id has too.
+    """(key, second, original, places): a row per distinct text of rows with an id.
 
-    ``key`` is ``xxhash64(id, text)``: it tells apart texts that share an id.
+    ``key`` and ``second`` are hashes of the text, ``original`` is its smallest id, ``places``
+    are the starts of the original's windows that a smaller id has too, NULL if none.
     """
-    key = F.xxhash64(F.col(id_column), F.col(text_column))
     texts = docs.filter(F.col(id_column).isNotNull() & F.col(text_column).isNotNull()).select(
-        key.alias("key"), F.col(id_column).alias("document"), F.col(text_column).alias("text")
+        *_text_keys(text_column), F.col(id_column).alias("document"), F.col(text_column).alias("text")
     )
-    options = {"window": window, "seed": seed}
     kind = texts.schema["document"].dataType.simpleString()
-    seeds = texts.mapInArrow(functools.partial(_seed_rows, **options), f"anchor long, key long, document {kind}")
-    span = seeds.groupBy("anchor").agg(F.min("document").alias("low"), F.max("document").alias("high"))
+    options = {"window": window, "seed": seed}
+    originals = staged(texts.groupBy("key", "second").agg(F.min("document").alias("document")), "originals")
+    seeds = texts.select("key", "text").mapInArrow(functools.partial(_seed_rows, **options), "anchor long, key long")
+    # An anchor counts if different texts have it: copies of one text are whole repeats anyway.
+    span = seeds.groupBy("anchor").agg(F.min("key").alias("low"), F.max("key").alias("high"))
     shared = staged(span.filter("low < high").select("anchor"), "shared-anchors")
-    lists = seeds.select("anchor", "key").join(shared, "anchor").groupBy("key").agg(F.collect_set("anchor").alias("anchors"))
+    lists = seeds.join(shared, "anchor").groupBy("key").agg(F.collect_set("anchor").alias("anchors"))
     extended = (
-        texts.join(lists, "key")
+        texts.join(originals.join(lists, "key"), ["key", "second", "document"])
         .select("key", "document", "anchors", "text")
         .mapInArrow(
             functools.partial(_window_rows, **options),
@@ -154,7 +164,9 @@ def repeated_windows(
     firsts = windows.groupBy("anchor", "gram").agg(F.min("document").alias("low"), F.max("document").alias("high"))
     firsts = staged(firsts.filter("low < high").select("anchor", "gram", "low"), "first-windows")
     repeated = windows.join(firsts, ["anchor", "gram"]).filter("low < document")
-    return repeated.groupBy("document", "key").agg(F.collect_list("place").alias("places"))
+    places = repeated.groupBy("key").agg(F.collect_list("place").alias("places"))
+    found = originals.join(places, "key", "left").withColumnRenamed("document", "original")
+    return staged(found, "repeated-windows")
 
 
 def remove_repeats(
@@ -172,13 +184,20 @@ def remove_repeats(
     """
     added = ["n_words", "n_removed", "kept_text", "removed"]
     docs = docs.drop(*[c for c in docs.columns if c in added and c not in (id_column, text_column)])
-    cuts = repeated_windows(docs, id_column, text_column, window, seed)
-    cuts = cuts.select(F.col("key").alias("_key"), F.col("document").alias("_document"), F.col("places").alias("_places"))
-    keyed = docs.withColumn("_key", F.xxhash64(F.col(id_column), F.col(text_column)))
-    same = (keyed["_key"] == cuts["_key"]) & (keyed[id_column] == cuts["_document"])
-    joined = keyed.join(cuts, same, "left").select(*docs.columns, "_places")
+    found = repeated_windows(docs, id_column, text_column, window, seed).select(
+        F.col("key").alias("_key"), F.col("second").alias("_second"), F.col("original").alias("_original"), F.col("places").alias("_places")
+    )
+    key, second = _text_keys(text_column)
+    same = (F.col("_own") == F.col("_key")) & (F.col("_other") == F.col("_second"))
+    joined = docs.withColumn("_own", key).withColumn("_other", second).join(found, same, "left")
+    original, document = F.col("_original"), F.col(id_column)
+    joined = joined.select(
+        *docs.columns,
+        F.when(document == original, F.col("_places")).alias("_places"),
+        F.coalesce(document > original, F.lit(False)).alias("_copy"),
+    )
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return joined.mapInArrow(
-        functools.partial(_trimmed_rows, window=window, text_at=docs.columns.index(text_column), cuts_at=len(docs.columns)),
+        functools.partial(_trimmed_rows, window=window, text_at=docs.columns.index(text_column), kept=len(docs.columns)),
         f"{fields}, n_words long, n_removed long, kept_text string, removed array<struct<start:int,end:int>>",
     )
