@@ -11,6 +11,7 @@ from tripmart.llm.decontamination import contaminations
 from tripmart.llm.licenses import license_digest, scan_licenses
 from tripmart.llm.lm_score import score_texts
 from tripmart.llm.mixing import fair_queue
+from tripmart.llm.neighbours import nearest
 from tripmart.llm.ngram_join import similarity_classes
 from tripmart.llm.quality import THRESHOLD, held_out, score_documents, train
 from tripmart.llm.sharding import shard_rows
@@ -70,6 +71,13 @@ def op6_sharding(spark, sf_dir):
     )
 
 
+@query
+def op7_nearest_neighbours(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+    return found.withColumn("rank", F.col("rank").cast("int"))
+
+
 @query
 def op8_source_mix(spark, sf_dir):
     mix = fair_queue(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
