@@ -7,9 +7,21 @@ from pyspark.sql import DataFrame, SparkSession
 from tripmart.llm.common import staged, table
 from tripmart.llm.decontamination import clean_documents
 from tripmart.llm.mixing import mixed
+from tripmart.llm.ngram_join import one_of_each
+from tripmart.llm.quality import good_documents
 from tripmart.llm.sharding import shard_rows
 
 
+def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line field, fitted on ``labels``, scores as good."""
+    return good_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every class of similar documents."""
+    return one_of_each(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     return clean_documents(docs, table(spark, sf_dir, "benchmark"))
@@ -26,12 +38,14 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality_classifier", classify_quality),
+    ("ngram_jaccard_join", join_near_copies),
     ("benchmark_decontamination", decontaminate),
     ("source_mix", mix_sources),
     ("sharding", shard),
 ]
 
-# The classifier's training and the signatures are not expressible in SQL.
+# The classifier's training and the MinHash signatures are not expressible in SQL.
 ORACLE_SQL = None
 
 

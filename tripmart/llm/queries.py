@@ -14,6 +14,7 @@ from tripmart.llm.mixing import fair_queue
 from tripmart.llm.neighbours import nearest
 from tripmart.llm.ngram_join import similarity_classes
 from tripmart.llm.quality import THRESHOLD, held_out, score_documents, train
+from tripmart.llm.secrets import scan_secrets
 from tripmart.llm.sharding import shard_rows
 from tripmart.llm.sql import ORACLES
 from tripmart.llm.substrings import remove_repeats
@@ -49,6 +50,11 @@ def op3_license_scan(spark, sf_dir):
     return license_digest(scan_licenses(table(spark, sf_dir, "documents")))
 
 
+@query
+def op4_secret_scan(spark, sf_dir):
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_lm_score(spark, sf_dir):
     scored = score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
