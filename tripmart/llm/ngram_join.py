@@ -7,7 +7,8 @@ band hash. Within a bucket no pairs are multiplied out: each text is compared wi
 bucket's leader and with the next few texts in an order that differs from bucket
 to bucket. So small buckets are compared completely, and in a large group every
 text still meets different partners in every band. Pairs are verified on the
-full n-gram sets. Classes are the connected components of verified links.
+full n-gram sets. Classes are the connected components of verified links. A second
+round looks again at the buckets that still hold different classes, with more partners.
 """
 
 from __future__ import annotations
@@ -27,8 +28,9 @@ WORD = "[^\\x20\\x09-\\x0D]"
 SIMILARITY = 0.8
 RECALL = 0.999
 MAX_HASHES = 144
-# Neighbours each text is compared with in a bucket, beside the leader.
-NEIGHBOURS = 4
+# Neighbours each text is compared with in a bucket, beside the leader: in the first
+# round, then in the second, which compares texts of different classes only.
+ROUNDS = (2, 16)
 # Buckets with more texts are ordered in parts of this size.
 PART = 1_000
 
@@ -113,25 +115,39 @@ def _set_rows(batches: Iterator[pa.RecordBatch], ngram: int) -> Iterator[pa.Reco
             )
 
 
-def candidate_pairs(reps: DataFrame, neighbours: int = NEIGHBOURS, part: int = PART) -> DataFrame:
-    """Distinct pairs (a, b), a < b, of ids whose texts share a band; ``reps`` has (id, bands)."""
-    places = reps.select("id", F.explode("bands").alias("bucket"))
+def candidate_pairs(places: DataFrame, neighbours: int, part: int = PART) -> DataFrame:
+    """Distinct pairs (a, b), a < b, of texts of different classes that share a bucket.
+
+    ``places`` has (id, class, bucket).
+    """
     buckets = places.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("texts"), F.min_by("id", F.struct(F.xxhash64("id", "bucket"), "id")).alias("leader")
+        F.count(F.lit(1)).alias("texts"),
+        F.min("class").alias("low"),
+        F.max("class").alias("high"),
+        F.min_by(F.struct("id", "class"), F.struct(F.xxhash64("id", "bucket"), "id")).alias("leader"),
     )
-    buckets = staged(buckets.filter("texts > 1"), "buckets")
+    buckets = staged(buckets.filter("low < high").select("bucket", "texts", "leader"), "buckets")
     met = (
         places.join(buckets, "bucket")
-        .withColumn("order", F.xxhash64("id", "bucket"))
+        .withColumn("order", F.xxhash64("id", "bucket", F.lit(neighbours)))
         .withColumn("part", F.pmod(F.xxhash64("order"), F.ceil(F.col("texts") / part)))
     )
     line = Window.partitionBy("bucket", "part").orderBy("order", "id")
-    others = F.array("leader", *[F.lead("id", k).over(line) for k in range(1, neighbours + 1)])
-    pairs = met.select("id", others.alias("others")).select("id", F.explode("others").alias("other"))
+    after = [F.lead(F.struct("id", "class"), k).over(line) for k in range(1, neighbours + 1)]
+    others = met.select("id", "class", F.array("leader", *after).alias("others"))
+    different = F.filter("others", lambda o: o["class"] != F.col("class"))
+    pairs = others.select("id", F.explode(F.transform(different, lambda o: o["id"])).alias("other"))
+    return pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b, similarity) of the pairs that are similar enough; ``sets`` has (name, grams)."""
     return (
-        pairs.filter("id <> other")
-        .select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
-        .distinct()
+        pairs.join(sets.select(F.col("name").alias("a"), F.col("grams").alias("x")), "a")
+        .join(sets.select(F.col("name").alias("b"), F.col("grams").alias("y")), "b")
+        .select("a", "b", F.size(F.array_intersect("x", "y")).alias("both"), (F.size("x") + F.size("y")).alias("sum"))
+        .select("a", "b", (F.col("both") / (F.col("sum") - F.col("both"))).alias("similarity"))
+        .filter(F.col("similarity") >= similarity)
     )
 
 
@@ -170,13 +186,14 @@ def similarity_join(
     ngram: int = NGRAM,
     similarity: float = SIMILARITY,
     recall: float = RECALL,
-) -> tuple[DataFrame, DataFrame]:
-    """(members, links).
+    rounds: tuple[int, ...] = ROUNDS,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(members, links, classes).
 
     A text is named by a struct of its smallest id and a hash of its words.
     ``members`` has a row (id, text) per row of ``docs`` that has an id and words.
     ``links`` has verified pairs of texts (a, b, similarity), a < b, with at least
-    ``similarity``.
+    ``similarity``. ``classes`` has (id, class) of the linked texts.
     """
     bands, rows = choose_bands(similarity, recall)
     docs = docs.filter(F.col(id_column).isNotNull()).select(
@@ -192,19 +209,27 @@ def similarity_join(
     reps = staged(reps.select("high", "low", F.struct(F.col("least").alias("id"), F.col("high").alias("text")).alias("text"), "bands"), "texts")
     members = signed.select("id", "high", "low").join(reps.select("high", "low", "text"), ["high", "low"])
     members = staged(members.select("id", "text"), "members")
-    pairs = staged(candidate_pairs(reps.select(F.col("text").alias("id"), "bands")), "pairs")
+    places = reps.select(F.col("text").alias("id"), F.col("text").alias("class"), F.explode("bands").alias("bucket"))
+    pairs = staged(candidate_pairs(places, rounds[0]), "pairs")
     wanted = pairs.select(F.col("a.id").alias("id")).union(pairs.select(F.col("b.id").alias("id"))).distinct()
-    sets = docs.join(wanted, "id", "left_semi").mapInArrow(
+    # One plan at every size: the wanted ids grow with the corpus, so they are never broadcast.
+    sets = docs.join(wanted.hint("merge"), "id", "left_semi").mapInArrow(
         functools.partial(_set_rows, ngram=ngram), f"id {kind}, text long, grams array<long>"
     )
     sets = staged(sets.groupBy(F.struct("id", "text").alias("name")).agg(F.first("grams").alias("grams")), "gram-sets")
-    compared = (
-        pairs.join(sets.select(F.col("name").alias("a"), F.col("grams").alias("x")), "a")
-        .join(sets.select(F.col("name").alias("b"), F.col("grams").alias("y")), "b")
-        .select("a", "b", F.size(F.array_intersect("x", "y")).alias("both"), (F.size("x") + F.size("y")).alias("sum"))
-        .select("a", "b", (F.col("both") / (F.col("sum") - F.col("both"))).alias("similarity"))
-    )
-    return members, staged(compared.filter(F.col("similarity") >= similarity), "links")
+    links = staged(verified(pairs, sets, similarity), "links")
+    classes = components(links)
+    for neighbours in rounds[1:]:
+        places = (
+            reps.select(F.col("text").alias("id"), F.explode("bands").alias("bucket"))
+            .join(classes, "id", "left")
+            .select("id", F.coalesce("class", "id").alias("class"), "bucket")
+        )
+        # Most of these were compared before: only new pairs are verified.
+        more = candidate_pairs(places, neighbours).join(pairs, ["a", "b"], "left_anti")
+        links = staged(links.unionByName(verified(more, sets, similarity)), "links")
+        classes = components(links)
+    return members, links, classes
 
 
 def similarity_classes(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
@@ -216,10 +241,10 @@ def similarity_classes(docs: DataFrame, id_column: str = "doc_id", **options) ->
     to nothing: their class is their own id, if any. Repeated rows are members of one
     text. An empty table gives an empty result. Other columns are ignored.
     """
-    members, links = similarity_join(docs, id_column, **options)
+    members, links, found = similarity_join(docs, id_column, **options)
     ends = links.select(F.col("a").alias("text")).union(links.select(F.col("b").alias("text")))
     degrees = ends.groupBy("text").agg(F.count(F.lit(1)).alias("n_links"))
-    classes = components(links).select(F.col("id").alias("text"), "class")
+    classes = found.select(F.col("id").alias("text"), "class")
     known = staged(classes.join(degrees, "text"), "classes")
     placed = members.join(known, "text", "left").select(
         F.col("id").alias(id_column),
