@@ -1,0 +1,136 @@
+"""Mixing and sharding against plain computations and their laws."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.conftest import frame, prose
+from tripmart.llm.mixing import fair_queue, mixed, source_targets
+from tripmart.llm.sharding import place, ring, shard_rows
+
+
+def targets(sizes):
+    """Share out 150 % by weight, round after round, until no source is above twice its size."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weights = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    budget, open_, fixed = 1.5 * sum(sizes.values()), set(order), {}
+    while open_:
+        level = (budget - sum(fixed.values())) / sum(weights[s] for s in open_)
+        above = {s for s in open_ if weights[s] * level > 2 * sizes[s]}
+        if not above:
+            return fixed | {s: weights[s] * level for s in open_}
+        fixed |= {s: 2.0 * sizes[s] for s in above}
+        open_ -= above
+    return fixed
+
+
+def spread(spark):
+    texts = [(i, prose(i, 1 + i * 7 % 50)) for i in range(120)] + [(500, None), (501, ""), (None, "a b"), (None, "a b"), (7, "x")]
+    return frame(spark, texts, sources=["b", "a", None, "é", "b", "b", "z"])
+
+
+def test_targets_stop_at_twice_the_size(spark):
+    sizes = {"a": 10, "b": 1000, "c": 300, "d": 5, None: 77, "é": 0}
+    df = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    found = {r.source: r.target for r in source_targets(df).collect()}
+    assert found == pytest.approx(targets(sizes))
+    assert sum(found.values()) == pytest.approx(1.5 * sum(sizes.values()))
+
+
+@pytest.mark.parametrize("rows_per_slice", [5, 10_000])
+def test_taken_words(spark, rows_per_slice):
+    docs = spread(spark)
+    rows = fair_queue(docs, rows_per_slice=rows_per_slice).collect()
+    assert len(rows) == docs.count()
+    sizes, taken = Counter(), Counter()
+    for r in rows:
+        assert r.size == len(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))
+        assert 0 <= r.taken <= 2 * r.size
+        sizes[r.source] += r.size
+        taken[r.source] += r.taken
+    wanted = targets(sizes)
+    for r in rows:
+        assert r.source_size == sizes[r.source] and r.target == pytest.approx(wanted[r.source])
+    assert all(taken[s] == int(wanted[s] + 1e-6) for s in sizes)
+
+
+def test_queue_order_is_the_order_of_hashes(spark):
+    rows = fair_queue(frame(spark, [prose(i, 10) for i in range(30)], ["b", "a"]), rows_per_slice=3).collect()
+    ahead = defaultdict(int)
+    for r in sorted(rows, key=lambda r: int(hashlib.md5(str(r.doc_id).encode()).hexdigest()[:15], 16)):
+        assert r.start == pytest.approx(ahead[r.source] / r.target)
+        ahead[r.source] += r.size
+
+
+def test_mix_repeats_whole_documents(spark):
+    docs = spread(spark).withColumn("size", F.lit("mine"))
+    copies = Counter()
+    for r in fair_queue(docs).collect():
+        copies[(r.doc_id, r.text)] += r.copies
+    mix = mixed(spread(spark))
+    assert mix.columns == spread(spark).columns
+    assert Counter((r.doc_id, r.text) for r in mix.collect()) == +copies
+
+
+def test_mix_of_an_empty_table(spark):
+    assert fair_queue(frame(spark, [])).count() == 0 and mixed(frame(spark, [])).count() == 0
+    only = fair_queue(frame(spark, [None, ""])).collect()
+    assert [(r.size, r.taken, r.target) for r in only] == [(0, 0, 0.0)] * 2
+
+
+@pytest.mark.parametrize("rows_per_slice", [3, 20_000])
+def test_shards_are_balanced_and_gapless(spark, odd_texts, rows_per_slice):
+    docs = frame(spark, odd_texts + [(i, f"t{i}") for i in range(100, 500)])
+    rows = shard_rows(docs, 16, rows_per_slice=rows_per_slice).collect()
+    assert Counter((r.doc_id, r.text) for r in rows) == Counter((r.doc_id, r.text) for r in docs.collect())
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+    counts = [len(slots[s]) for s in range(16)]
+    assert max(counts) - min(counts) <= 1
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_rows_with_room_stay_at_home(spark):
+    docs = frame(spark, [f"t{i}" for i in range(800)])
+    rows = shard_rows(docs, 8).collect()
+    at_home = Counter(r.home_shard for r in rows)
+    moved = Counter(r.home_shard for r in rows if r.shard != r.home_shard)
+    room = {s: 100 for s in range(8)}
+    assert all(moved[s] == max(0, at_home[s] - room[s]) for s in range(8))
+
+
+def test_few_rows_move_when_a_shard_is_added(spark):
+    docs = frame(spark, [f"t{i}" for i in range(3000)])
+    before = {r.doc_id: r.shard for r in shard_rows(docs, 15).collect()}
+    after = {r.doc_id: r.shard for r in shard_rows(docs, 16).collect()}
+    assert sum(before[i] != after[i] for i in before) < 0.35 * len(before)
+
+
+def test_overflow_continues_clockwise():
+    cells = 64
+    places = ring(4, 4, cells)
+    segments = place({places[0][0]: 40}, 4, 4, cells)
+    assert sum(s.last - s.first for s in segments) == 40
+    order = list(dict.fromkeys(shard for _, shard in places))
+    assert [s.shard for s in segments] == order
+    assert {s.last - s.first for s in segments} == {10}
+
+
+def test_few_documents_and_none(spark):
+    assert shard_rows(frame(spark, []), 4).count() == 0
+    docs = frame(spark, ["a", "b"]).withColumn("shard", F.lit("mine"))
+    assert sorted(r.slot for r in shard_rows(docs, 4).collect()) == [0, 0]
+    with pytest.raises(ValueError):
+        shard_rows(docs, 0)
+
+
+def test_key_is_independent_of_the_text(spark):
+    assert zlib.crc32("".encode()) == 0
+    docs = frame(spark, [f"t{i}" for i in range(50)])
+    other = docs.withColumn("text", F.lit("same"))
+    assert {r.doc_id: r.shard for r in shard_rows(docs).collect()} == {r.doc_id: r.shard for r in shard_rows(other).collect()}

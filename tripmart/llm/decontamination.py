@@ -198,7 +198,8 @@ def _joined(size: int):
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
-    """The documents without any contamination. Rows without an id are compared by their text."""
-    marked = docs.withColumn("_key", F.coalesce(F.col(id_column).cast("string"), F.concat(F.lit("text "), F.sha2("text", 256)), F.lit("none")))
+    """The documents without any contamination; each row is judged by its own text."""
+    name = F.concat_ws(" ", F.coalesce(F.col(id_column).cast("string"), F.lit("none")), F.xxhash64("text"))
+    marked = docs.withColumn("_key", name)
     found = contaminations(marked.select("_key", "text"), benchmark, id_column="_key", **options)
     return marked.join(found.select("_key").distinct(), "_key", "left_anti").select(*docs.columns)
