@@ -24,7 +24,7 @@ from tripmart.llm.common import HashTables, buffers, gram_hashes, mix, pieces, s
 
 ORDER = 2
 BACKOFF = 0.4
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 
 _ENTRIES = "part long, size int, block long, grams array<long>, counts array<long>"
 _COUNTED = "block long, size int, part long, totals array<long>, own long"
