@@ -41,7 +41,7 @@ def test_line_features():
     offsets = np.cumsum([0] + [len(t) for t in texts])
     rows, length, features = line_features(offsets, data, 0, 4, HashTables())
     assert rows.tolist() == [0, 1, 1, 1, 2, 3]
-    assert length.tolist() == [0, 6, 0, 13, 0, 1]
+    assert length.tolist() == [0, 6, 0, 11, 0, 1]
     column = dict(zip(NAMES, features.T, strict=True))
     assert column["upper"].tolist() == [0, 0.5, 0, 0.5, 0, 0]
     assert column["empty"].tolist() == [1, 0, 1, 0, 1, 0]
