@@ -30,7 +30,7 @@ RECALL = 0.999
 MAX_HASHES = 144
 # Neighbours each text is compared with in a bucket, beside the leader: in the first
 # round, then in the second, which compares texts of different classes only.
-ROUNDS = (2, 16)
+ROUNDS = (1, 8)
 # Buckets with more texts are ordered in parts of this size.
 PART = 1_000
 
