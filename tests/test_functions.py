@@ -4,12 +4,14 @@ import json
 
 import pytest
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tests.conftest import values
 from tripmart.functions import (
     as_text,
+    bad_messages,
     decode_json,
+    good_messages,
     default_to,
     encode_json,
     epoch_ms,
@@ -137,6 +139,39 @@ def test_encoding_keeps_null_fields_and_time_text(spark):
     assert values(decoded, "PULocationID", "tip_amount", "DOLocationID") == [(5, None, None)]
 
 
-def test_malformed_message_gives_nulls(spark):
-    df = spark.createDataFrame([("{not json",), (None,)], "value string")
-    assert values(decode_json(df, RIDE), "PULocationID") == [(None,), (None,)]
+BROKEN = ["{not json", None, "", '{"PULocationID": "many"}', "[]x"]
+
+
+def test_malformed_message_stops_the_query(spark):
+    for text in BROKEN:
+        df = spark.createDataFrame([(text,), ('{"PULocationID": 1}',)], "value string")
+        with pytest.raises(Exception, match="bad message"):
+            decode_json(df, RIDE).collect()
+    nulls = decode_json(spark.createDataFrame([(t,) for t in BROKEN], "value string"), RIDE, on_bad="null")
+    assert values(nulls, "PULocationID") == [(None,)] * len(BROKEN)
+
+
+def test_malformed_messages_are_diverted(spark):
+    df = spark.createDataFrame([(t,) for t in [*BROKEN, '{"PULocationID": 1}', "{}"]], "value string")
+    decoded = decode_json(df, RIDE, on_bad="divert")
+    assert values(good_messages(decoded), "PULocationID") == [(1,), (None,)]
+    assert values(bad_messages(decoded)) == sorted([(t if t is not None else "NULL",) for t in BROKEN], key=repr)
+
+
+def test_stamps_keep_their_fraction(spark):
+    stamps = [dt.datetime(2025, 10, 1, 18, 0, 1, 123456), dt.datetime(2025, 10, 1, 18), dt.datetime(2025, 1, 1, 0, 0, 0, 500000), None]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(stamps)], "i int, at timestamp_ntz")
+    schema = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("at", T.StringType())])
+    for kind in ("timestamp_ntz", "timestamp"):
+        decoded = decode_json(encode_json(df.withColumn("at", F.col("at").cast(kind))), schema)
+        back = decoded.select("i", parse_time("at").cast("timestamp_ntz").alias("at"))
+        assert values(back) == sorted(enumerate(stamps), key=repr)
+    short = encode_json(df.filter("i = 0"), whole_seconds=True).first()[0]
+    assert json.loads(short)["at"] == "2025-10-01 18:00:01"
+
+
+def test_stamp_forms(spark):
+    texts = ["2025-10-01T00:00:11", "2025-10-01 00:00:12.5", "2025-10-01", "2025-10-01 00:00:12+01:00", "12:00:00"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(parse_time("t").cast("string")).collect()]
+    assert got == ["2025-10-01 00:00:11", "2025-10-01 00:00:12.5", None, None, None]

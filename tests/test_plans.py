@@ -23,11 +23,12 @@ from tripmart.plans import (
     refresh_report,
     refresh_staging,
     rules,
+    run_interval,
     standardise,
     union_services,
     zone_pickups,
 )
-from tripmart.quality import check_report, not_null, require_passed, unique_combination
+from tripmart.quality import CheckFailed, check_report, not_null, require_passed, unique_combination
 from tripmart.schemas import FACT, TRIPS, ZONES, payment_lookup
 from tripmart.tables import SnapshotTable
 
@@ -225,6 +226,28 @@ def test_interval_runs(spark, tmp_path):
     assert "InMemoryFileIndex(1 paths)" in text
 
 
+def test_checked_interval_runs(spark, tmp_path):
+    columns = "pickup_datetime timestamp_ntz, taxi_type string, total_amount double, trip_distance double, fare_amount double, tip_amount double, passenger_count int, vendor_id int, extracted_at timestamp_ntz"
+    trips = spark.createDataFrame([(dt.datetime(2024, 1, 2, 3), "green", 1.0, 1.0, 2.0, 3.0, 1, 7, T0)], columns)
+    staging = SnapshotTable(spark, str(tmp_path / "staging"), "pickup_datetime")
+    report = SnapshotTable(spark, str(tmp_path / "report"), "report_date")
+    rows = run_interval(trips, staging, report, "2024-01-01", "2024-01-05")
+    assert rows.filter("passed").count() == rows.count() == 11
+    with pytest.raises(CheckFailed, match="row_count_positive"):
+        run_interval(trips, staging, report, "2024-02-01", "2024-02-05")
+    with pytest.raises(CheckFailed, match="trip_distance"):
+        run_interval(trips.withColumn("trip_distance", F.lit(-1.0)), staging, report, "2024-01-01", "2024-01-05")
+
+
+def test_fact_rows_without_a_time_are_kept(spark, zones, tmp_path):
+    target = SnapshotTable(spark, str(tmp_path / "fact"), "pickup_datetime")
+    trips = int_trips(trips_of(spark, yellow=[{}]), payment_lookup(spark))
+    build_fact(trips.withColumn("pickup_datetime", F.lit(None).cast("timestamp_ntz")), zones, target)
+    before = values(target.read())
+    build_fact(trips, zones, target)
+    assert len(before) == 1 and values(target.read()) == before
+
+
 def test_zone_pickups_counts_before_joining(spark):
     trips = spark.createDataFrame([(1,), (1,), (2,), (3,), (None,)], "PULocationID int")
     seed = literal_rows(spark, [(1, "A", "x", "s"), (2, "A", "x", "s"), (4, "A", "z", "s")], ZONES)

@@ -136,3 +136,15 @@ def test_parity(spark):
     assert parity(a, a.select("k")).count() == 0
     b = spark.createDataFrame([(1,), (3,), (None,)], "k int")
     assert values(parity(a, b)) == [(1, "left", 1), (2, "left", 1), (3, "right", 1)]
+
+
+def test_no_checks_give_an_empty_report(spark, table):
+    report = check_report(table, [])
+    assert report.count() == 0 and report.columns == ["check_name", "column_name", "failures", "passed"]
+    require_passed(report)
+
+
+def test_unknown_sizes_are_an_error(spark, table):
+    assert scan_estimate(spark.range(5).toDF("k")) == 0
+    with pytest.raises(ValueError, match="not known"):
+        scan_estimate(spark.createDataFrame(table.rdd, table.schema))

@@ -180,6 +180,32 @@ def test_paged_keys(spark, tmp_path):
     assert values(df) == [(1, "m"), (2, None), (3, None)]
 
 
+def test_missing_pages_fail_or_are_skipped(spark, tmp_path):
+    for key in (1, 2, 3):
+        (tmp_path / f"{key}.json").write_text(json.dumps({"id": key}))
+    url = f"file://{tmp_path}/{{key}}.json"
+    with pytest.raises(Exception, match="PageMissing"):
+        read_paged(spark, url, PAGE, "keys", keys=["1", "2", "missing", "3"]).collect()
+    some = read_paged(spark, url, PAGE, "keys", keys=["1", "2", "missing", "3"], on_missing="skip")
+    assert values(some, "id") == [(1,), (2,), (3,)]
+    # In number mode a missing page ends the search.
+    assert values(read_paged(spark, f"file://{tmp_path}/{{page}}.json", PAGE), "id") == [(1,), (2,), (3,)]
+
+
+def test_records_inside_an_object(spark, tmp_path):
+    (tmp_path / "1.json").write_text(json.dumps({"data": {"items": [{"id": 1}, {"id": 2}]}, "n": 2}))
+    url = f"file://{tmp_path}/{{page}}.json"
+    assert values(read_paged(spark, url, PAGE, records_path="data.items"), "id") == [(1,), (2,)]
+    for path in ("", "data", "items"):
+        with pytest.raises(Exception, match="records_path|has no"):
+            read_paged(spark, url, PAGE, records_path=path).collect()
+
+
+def test_pages_without_an_end():
+    with pytest.raises(ValueError):
+        paged.last_page(lambda n: True, 1)
+
+
 def test_paged_links(monkeypatch):
     pages = {
         "http://x/?page=1": ([{"id": 1}], '<http://x/?page=2>; rel="next", <http://x/?page=3>; rel="last"'),
@@ -188,7 +214,7 @@ def test_paged_links(monkeypatch):
         "http://x/?cursor=a": ([{"id": 4}], '<http://x/?cursor=b>; rel="next"'),
         "http://x/?cursor=b": ([{"id": 5}], ""),
     }
-    monkeypatch.setattr(paged, "fetch", lambda url, headers=None: pages[url])
+    monkeypatch.setattr(paged, "fetch", lambda url, headers=None, records_path="": pages[url])
 
     def read(url):
         reader = paged.PagedReader(PAGE, {"url": url, "mode": "link", "pages_per_task": "2"})

@@ -11,7 +11,7 @@ from tripmart.schemas import GREEN_TRIP, HOURLY_TIPS, PICKUP_COUNTS, RIDE, SESSI
 from tripmart.session import LARGE_STATE
 from tripmart.sinks import append_sink, console_sink, upsert_sink
 from tripmart.sources import read_trip_stream, trip_events
-from tripmart.streaming import late_rows, running_count, session_count, tumbling_count, tumbling_sum, watermarked
+from tripmart.streaming import LateRows, late_rows, running_count, session_count, tumbling_count, tumbling_sum, watermarked
 from tripmart.tables import SnapshotTable, create_keyed_table
 
 DAY = dt.datetime(2025, 10, 1)
@@ -60,7 +60,14 @@ def run(spark, feed, tmp_path, function, schema, keys, **options):
 def test_tumbling_edges_nulls_and_bad_times(spark, feed, tmp_path):
     feed.add(("00:00:00", 74, 1.0), ("00:04:59", 74, 1.0), ("00:05:00", 74, 1.0), ("00:01:00", None, 1.0), ("bad", 74, 1.0))
     feed.add(("00:20:00", 75, 1.0))
-    counts, _ = run(spark, feed, tmp_path, tumbling_count, PICKUP_COUNTS, ["window_start", "PULocationID"])
+    with pytest.raises(Exception, match="bad time"):
+        run(spark, feed, tmp_path, tumbling_count, PICKUP_COUNTS, ["window_start", "PULocationID"])
+
+    def lenient(rows):
+        trips = read_trip_stream(spark, feed.folder, GREEN_TRIP, per_trigger=1)
+        return tumbling_count(watermarked(trip_events(trips, on_bad="null")))
+
+    counts, _ = run(spark, feed, tmp_path / "again", lenient, PICKUP_COUNTS, ["window_start", "PULocationID"])
     # The window of the newest row is still open.
     assert values(counts) == [(at("00:00:00"), 74, 2), (at("00:05:00"), 74, 1)]
 
@@ -84,6 +91,26 @@ def test_late_rows_are_dropped_one_batch_after_the_watermark_moved(spark, feed,
     assert late_rows(query) == 1
 
 
+def test_late_rows_of_all_batches(spark, feed, tmp_path):
+    """Spark reports the last batches only (100, here 5); the listener counts all."""
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "5")
+    feed.add(("10:00:00", 9, 1.0))
+    for _ in range(13):
+        feed.add(("00:02:00", 1, 1.0))
+    counter = LateRows()
+    spark.streams.addListener(counter)
+    try:
+        counts = tumbling_count(stream(spark, feed)).writeStream.format("noop").outputMode("append")
+        query = counts.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        total = counter.total(query)
+    finally:
+        spark.streams.removeListener(counter)
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    # The first late batch comes before the watermark has moved.
+    assert total == 12 and late_rows(query) <= 5
+
+
 def test_all_late_batch_leaves_the_table_unchanged(spark, feed, tmp_path):
     feed.add(("00:00:10", 1, 1.0), ("01:00:00", 9, 1.0))
     counts, _ = run(spark, feed, tmp_path, tumbling_count, PICKUP_COUNTS, ["window_start", "PULocationID"])
@@ -96,6 +123,22 @@ def test_all_late_batch_leaves_the_table_unchanged(spark, feed, tmp_path):
     assert table.manifest().version == version and late_rows(query) == 2
 
 
+def test_a_long_stream_leaves_little_behind(spark, feed, tmp_path, monkeypatch):
+    """Folders and manifests stay bounded over many small batches."""
+    from tripmart.tables import strategies
+
+    monkeypatch.setattr(strategies, "MAX_FOLDERS_PER_PARTITION", 5)
+    for i in range(40):
+        feed.add((f"00:{i:02d}:00", i, 1.0))
+    rows = SnapshotTable(spark, str(tmp_path / "rows"))
+    trips = trip_events(read_trip_stream(spark, feed.folder, GREEN_TRIP, per_trigger=1))
+    append_sink(trips, rows, str(tmp_path / "c")).awaitTermination()
+    assert sorted(r.PULocationID for r in rows.read().collect()) == list(range(40))
+    assert len(rows.manifest().folders[""]) <= 6
+    assert len(os.listdir(tmp_path / "rows" / "manifest")) <= 2 * 8 + 2
+    assert len([n for n in os.listdir(tmp_path / "rows" / "data") if "=" in n]) <= 16
+
+
 def test_empty_feed(spark, feed, tmp_path):
     feed.add()
     counts, _ = run(spark, feed, tmp_path, tumbling_count, PICKUP_COUNTS, ["window_start", "PULocationID"])

@@ -6,7 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F, types as T
 
-from tests.conftest import values
+from tests.conftest import plan, values
 from tripmart.tables import (
     SnapshotTable,
     append,
@@ -285,3 +285,33 @@ def test_manifest_is_plain_json(spark, table):
     name = os.listdir(f"{table.root}/manifest")
     with open(f"{table.root}/manifest/{[n for n in name if n.endswith('.json') and n[0] != '.'][0]}") as file:
         assert json.load(file)["version"] == 1
+
+
+def test_partitioned_external_table(spark, tmp_path):
+    path = str(tmp_path / "external")
+    rows(spark, (1, "a", day(1)), (2, "b", day(1)), (3, "b", None)).write.partitionBy("v").parquet(path)
+    found = register_external(spark, "external_by_v", path)
+    assert values(found, "k", "v") == [(1, "a"), (2, "b"), (3, "b")]
+    assert "PartitionFilters: [isnotnull(v" in plan(found.filter("v = 'a'"))
+
+
+def test_append_packs_crowded_partitions(spark, table, monkeypatch):
+    from tripmart.tables import strategies
+
+    monkeypatch.setattr(strategies, "MAX_FOLDERS_PER_PARTITION", 3)
+    for k in range(11):
+        append(table, rows(spark, (k, "a", day(1)), (k, "b", day(1 + k % 2))))
+    assert sorted(r.k for r in table.read().collect()) == sorted(2 * list(range(11)))
+    assert all(len(folders) <= 4 for folders in table.manifest().folders.values())
+
+
+def test_merge_bounds_the_search_by_key(spark, root):
+    from tripmart.tables.strategies import _within_bounds
+
+    target = SnapshotTable(spark, root, time="t")
+    replace(target, spark.range(100).selectExpr("cast(id as int) AS k", "'a' AS v", "TIMESTAMP_NTZ '2024-01-01' AS t"))
+    new = rows(spark, (7, "new", day(2)), (9, "new", day(2)), (200, "new", day(2)))
+    assert "GreaterThanOrEqual(k,7)" in plan(target.read().filter(_within_bounds(new, ["k"])))
+    merge(target, new, ["k"])
+    assert target.read().count() == 101
+    assert values(target.read().filter("v = 'new'"), "k") == [(200,), (7,), (9,)]

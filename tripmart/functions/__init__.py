@@ -1,7 +1,14 @@
 """Column builders: every function takes columns and returns a column."""
 
 from tripmart.functions.casts import default_to, safe_cast, safe_int, strict_cast
-from tripmart.functions.codec import decode_json, encode_json, format_ride
+from tripmart.functions.codec import (
+    bad_messages,
+    decode_json,
+    encode_json,
+    format_ride,
+    good_messages,
+    message_faults,
+)
 from tripmart.functions.keys import surrogate_key, vendor_name
 from tripmart.functions.times import (
     as_text,
@@ -15,7 +22,10 @@ from tripmart.functions.times import (
 
 __all__ = [
     "as_text",
+    "bad_messages",
     "decode_json",
+    "good_messages",
+    "message_faults",
     "default_to",
     "encode_json",
     "epoch_ms",

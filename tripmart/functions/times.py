@@ -31,8 +31,17 @@ def month_start(c: ColumnLike) -> Column:
     return F.trunc(col(c).cast("date"), "month")
 
 
+# A stamp with a space or T, and up to six digits of the second.
+STAMP = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(\.\d{1,6})?$"
+
+
 def parse_time(c: ColumnLike, fmt: str = TEXT_FORMAT) -> Column:
-    """Text to timestamp; bad text is NULL."""
+    """Text to timestamp; bad text is NULL.
+
+    The default format also takes ``T`` in the middle and a fraction of the second.
+    """
+    if fmt == TEXT_FORMAT:
+        return F.when(col(c).rlike(STAMP), col(c).try_cast("timestamp"))
     return F.try_to_timestamp(col(c), F.lit(fmt))
 
 

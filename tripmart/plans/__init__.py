@@ -9,7 +9,7 @@ from tripmart.plans.marts import (
     monthly_zone_revenue,
     zone_pickups,
 )
-from tripmart.plans.refresh import refresh_report, refresh_staging
+from tripmart.plans.refresh import refresh_report, refresh_staging, run_interval
 from tripmart.plans.staging import conform_fhv, conform_green, conform_yellow, standardise
 from tripmart.plans.trips import build_fact, enrich_payment, enrich_zones, fact_rows, int_trips, union_services
 
@@ -30,6 +30,7 @@ __all__ = [
     "monthly_zone_revenue",
     "refresh_report",
     "refresh_staging",
+    "run_interval",
     "standardise",
     "union_services",
     "zone_pickups",

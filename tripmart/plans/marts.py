@@ -59,7 +59,9 @@ def monthly_zone_revenue(fact: DataFrame) -> DataFrame:
 def best_zone(monthly: DataFrame, service: str, year: int) -> DataFrame:
     """The pickup zone with the highest revenue of a service in a year."""
     of_year = monthly.filter(
-        (F.col("service_type") == service) & (F.year("revenue_month") == year)
+        (F.col("service_type") == service)
+        & (F.col("revenue_month") >= F.lit(dt.date(year, 1, 1)))
+        & (F.col("revenue_month") < F.lit(dt.date(year + 1, 1, 1)))
     )
     revenue = of_year.groupBy("pickup_zone").agg(
         total("revenue_monthly_total_amount").alias("revenue")

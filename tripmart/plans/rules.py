@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame
 from tripmart.quality.checks import (
     Check,
     accepted_values,
+    has_rows,
     non_negative,
     not_null,
+    positive_total,
     relationships,
     unique,
     unique_combination,
@@ -62,8 +64,12 @@ def monthly_rules() -> list[Check]:
 
 
 def staging_rules() -> list[Check]:
-    """Staged trips."""
-    return [*_filled("taxi_type", "pickup_datetime", "extracted_at"), non_negative("trip_distance")]
+    """Staged trips of an interval: it may not be empty."""
+    return [
+        *_filled("taxi_type", "pickup_datetime", "extracted_at"),
+        non_negative("trip_distance"),
+        has_rows(),
+    ]
 
 
 def report_rules() -> list[Check]:
@@ -71,4 +77,5 @@ def report_rules() -> list[Check]:
     return [
         *_filled("report_date", "taxi_type"),
         *[non_negative(c) for c in ("total_trips", "total_revenue", "total_passengers")],
+        positive_total("total_trips", "trips_count_positive"),
     ]

@@ -98,13 +98,13 @@ def build_fact(
     The trip id fixes the pickup time, so the merge looks for known ids only
     in the partitions that receive rows.
     """
-    newest = None
-    if target.exists() and not full_refresh:
-        newest = high_water(target.read_newest("pickup_datetime"), "pickup_datetime")
     stored = isinstance(trips, SnapshotTable)
-    if newest is None:
+    if full_refresh or not target.exists() or target.read().isEmpty():
         replace(target, fact_rows(trips.read() if stored else trips, zones))
         return target
+    newest = high_water(target.read_newest("pickup_datetime"), "pickup_datetime")
+    if newest is None:
+        return target  # stored trips without a time: nothing is known to be newer
     bound = newest - (lookback or dt.timedelta(0))
     source = trips.read_between(bound) if stored else trips
     newer = source.filter(F.col("pickup_datetime") > F.lit(str(bound)).cast("timestamp_ntz"))

@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tripmart.frames import empty_frame
 from tripmart.operators.joins import orphans
 
 
@@ -47,7 +48,25 @@ class QueryCheck:
     expected: object
 
 
-Check = RowCheck | KeyCheck | ReferenceCheck | QueryCheck
+@dataclass(frozen=True)
+class TableCheck:
+    """A rule on the table as a whole; ``fails`` is an aggregate that is true if it is broken."""
+
+    name: str
+    column: str
+    fails: Column
+
+
+Check = RowCheck | KeyCheck | ReferenceCheck | QueryCheck | TableCheck
+
+
+REPORT = T.StructType(
+    [
+        T.StructField("check_name", T.StringType()),
+        T.StructField("column_name", T.StringType()),
+        T.StructField("failures", T.LongType()),
+    ]
+)
 
 
 class CheckFailed(Exception):
@@ -92,9 +111,26 @@ def custom_check(name: str, query: str, expected: object) -> QueryCheck:
     return QueryCheck(name, query, expected)
 
 
+def has_rows() -> TableCheck:
+    return TableCheck("row_count_positive", "", F.count("*") == 0)
+
+
+def positive_total(column: str, name: str) -> TableCheck:
+    return TableCheck(name, column, F.coalesce(F.sum(column), F.lit(0)) <= 0)
+
+
+def _table_results(df: DataFrame, checks: Sequence[TableCheck]) -> DataFrame:
+    counts = df.agg(*[c.fails.cast("bigint").alias(f"c{i}") for i, c in enumerate(checks)])
+    return _stacked(counts, checks)
+
+
 def _row_results(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
     # All row rules share one pass over the table.
     counts = df.agg(*[F.count_if(c.fails).alias(f"c{i}") for i, c in enumerate(checks)])
+    return _stacked(counts, checks)
+
+
+def _stacked(counts: DataFrame, checks: Sequence[RowCheck | TableCheck]) -> DataFrame:
     results = [
         F.struct(
             F.lit(c.name).alias("check_name"),
@@ -138,11 +174,18 @@ def _query_result(spark: SparkSession, check: QueryCheck) -> DataFrame:
 
 
 def check_report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """One row per check: what it is, how often it fails, whether it passed."""
-    parts = []
+    """One row per check: what it is, how often it fails, whether it passed.
+
+    Row checks share one pass over ``df``; every key, reference or custom check is a pass
+    of its own, so write an expensive frame before checking it.
+    """
+    parts = [empty_frame(df.sparkSession, REPORT)]
     row_checks = [c for c in checks if isinstance(c, RowCheck)]
     if row_checks:
         parts.append(_row_results(df, row_checks))
+    table_checks = [c for c in checks if isinstance(c, TableCheck)]
+    if table_checks:
+        parts.append(_table_results(df, table_checks))
     for check in checks:
         if isinstance(check, KeyCheck):
             parts.append(_key_result(df, check))

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
+# Leaves of a plan that read no files.
+NO_FILES = ("LocalTableScanExec", "RangeExec", "OneRowRelationExec", "EmptyRelationExec")
+
+
 def describe_table(df: DataFrame) -> list[tuple[str, str, bool]]:
     """Name, type and nullability of each column."""
     return [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields]
@@ -40,14 +44,18 @@ def file_stats(spark: SparkSession, path: str, pattern: str = "*.parquet") -> Da
 def scan_estimate(df: DataFrame) -> int:
     """Bytes the scans of a query would read, after partition pruning.
 
-    File sizes from the plan, scaled by the width of the columns read.
+    File sizes from the plan, scaled by the width of the columns read. Rows made in
+    the program count as nothing; any other leaf whose size is not known is an error.
     """
     leaves = df._jdf.queryExecution().sparkPlan().collectLeaves()
     scans = [leaves.apply(i) for i in range(leaves.size())]
     total = 0
     for scan in scans:
-        if scan.getClass().getSimpleName() != "FileSourceScanExec":
+        kind = scan.getClass().getSimpleName()
+        if kind in NO_FILES:
             continue
+        if kind != "FileSourceScanExec":
+            raise ValueError(f"the size of a {kind} is not known")
         stored = scan.relation().dataSchema().defaultSize()
         needed = scan.requiredSchema().defaultSize() if scan.requiredSchema().size() else 0
         total += int(scan.selectedPartitions().totalFileSize()) * needed // max(stored, 1)

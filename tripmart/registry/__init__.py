@@ -1,10 +1,10 @@
 """Named queries over the test tables, with the SQL that checks them."""
 
-from tripmart.registry.batch import ORACLES as _BATCH_SQL, QUERIES as _BATCH
-from tripmart.registry.events import ORACLES as _EVENT_SQL, QUERIES as _EVENTS
-from tripmart.registry.storage import ORACLES as _STORAGE_SQL, QUERIES as _STORAGE
+from tripmart.registry import batch, events, messages, storage
+from tripmart.registry.base import joined
 
-QUERIES = {**_BATCH, **_STORAGE, **_EVENTS}
-ORACLES = {**_BATCH_SQL, **_STORAGE_SQL, **_EVENT_SQL}
+_PARTS = (batch, storage, events, messages)
+QUERIES = joined(*[part.QUERIES for part in _PARTS])
+ORACLES = joined(*[part.ORACLES for part in _PARTS])
 
 __all__ = ["ORACLES", "QUERIES"]

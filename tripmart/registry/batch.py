@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripmart.functions import (
@@ -74,26 +76,14 @@ from tripmart.quality import (
     unique_combination,
 )
 from tripmart.registry import feeds
+from tripmart.registry.base import registry
 from tripmart.registry.feeds import plain, table
 from tripmart.schemas import FACT, RIDE, payment_lookup
 from tripmart.sources import count_from_footers
 from tripmart.session import work_folder
 from tripmart.tables import SnapshotTable, register_views
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Register a function under its name, with its checking SQL."""
-
-    def keep(function):
-        QUERIES[function.__name__] = function
-        if sql is not None:
-            ORACLES[function.__name__] = sql
-        return function
-
-    return keep
+QUERIES, ORACLES, query = registry()
 
 
 # -- zones ------------------------------------------------------------------
@@ -145,19 +135,36 @@ def zone_singletons(spark, sf):
 
 @query("SELECT CAST(0 AS BIGINT) AS rows_that_differ")
 def zone_parity(spark, sf):
+    end = uuid.uuid4().hex
     register_views(
         {
-            "parity_trips": table(spark, sf, "orders"),
-            "parity_zones": _customer_zones(spark, sf),
+            f"parity_trips_{end}": table(spark, sf, "orders"),
+            f"parity_zones_{end}": _customer_zones(spark, sf),
         }
     )
     by_sql = spark.sql(
-        """SELECT n_name AS zone, count(*) AS pickup_count FROM parity_trips
-        JOIN parity_zones ON o_custkey = c_custkey GROUP BY n_name"""
+        f"""SELECT n_name AS zone, count(*) AS pickup_count FROM parity_trips_{end}
+        JOIN parity_zones_{end} ON o_custkey = c_custkey GROUP BY n_name"""
     )
     return row_count(parity(_pickups(spark, sf), by_sql), "rows_that_differ")
 
 
+@query(
+    """SELECT o_custkey, 'left' AS only_in, count(*) AS n_rows FROM orders
+      WHERE o_orderstatus = 'F' GROUP BY o_custkey
+    UNION ALL
+    SELECT o_custkey, 'right', count(*) FROM orders WHERE o_orderstatus = 'P' GROUP BY o_custkey"""
+)
+def known_differences(spark, sf):
+    # Finished orders are only on one side, pending ones twice on the other.
+    orders = table(spark, sf, "orders")
+    twice = orders.unionByName(orders.filter("o_orderstatus = 'P'"))
+    left = orders.select("o_custkey", "o_orderstatus")
+    right = twice.filter("o_orderstatus <> 'F'").select("o_custkey", "o_orderstatus")
+    differing = parity(left, right)
+    return differing.groupBy("o_custkey", "only_in").agg(total("n_rows").alias("n_rows"))
+
+
 # -- filters and single-table aggregates -------------------------------------
 
 
@@ -174,12 +181,17 @@ def trips_on_date(spark, sf):
     f"""WITH {feeds.RAW_CTE}
     SELECT tpep_pickup_datetime, tpep_dropoff_datetime,
       date_diff('second', tpep_pickup_datetime, tpep_dropoff_datetime) / 3600.0 AS trip_hours
-    FROM raw_yellow
+    FROM (SELECT tpep_pickup_datetime, tpep_dropoff_datetime FROM raw_yellow
+      UNION ALL SELECT lpep_pickup_datetime, lpep_dropoff_datetime FROM raw_green)
     ORDER BY trip_hours DESC NULLS LAST, tpep_pickup_datetime, tpep_dropoff_datetime LIMIT 5"""
 )
 def longest_gap(spark, sf):
+    yellow, green = (
+        feed(spark, sf).select(f"{p}_pickup_datetime", f"{p}_dropoff_datetime")
+        for feed, p in ((feeds.raw_yellow, "tpep"), (feeds.raw_green, "lpep"))
+    )
     return longest_trips(
-        feeds.raw_yellow(spark, sf), 5, tie_break=["tpep_pickup_datetime"]
+        yellow.union(green), 5, tie_break=["tpep_pickup_datetime"]
     ).select("tpep_pickup_datetime", "tpep_dropoff_datetime", "trip_hours")
 
 
@@ -733,10 +745,11 @@ def encoded_messages(spark, sf):
 
 @query(
     """SELECT o_orderkey, 'Received: PU=' || o_custkey || ', DO=' || o_orderkey || ', distance='
-      || o_orderstatus || ', amount=$' || CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)
+      || CAST(o_custkey % 7 AS DOUBLE) || ', amount=$' || CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)
       || ', pickup=' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS line
     FROM orders"""
 )
 def ride_lines(spark, sf):
-    line = format_ride("o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    distance = (F.col("o_custkey") % 7).cast("double")
+    line = format_ride("o_custkey", "o_orderkey", distance, "o_totalprice", "o_orderdate")
     return table(spark, sf, "orders").select("o_orderkey", line.alias("line"))

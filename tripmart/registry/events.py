@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tripmart.functions import encode_json
 from tripmart.operators import conditional_count, top_windows
+from tripmart.registry.base import registry
 from tripmart.registry.feeds import plain, table
 from tripmart.session import work_folder
 from tripmart.sinks import append_sink, upsert_sink
@@ -25,20 +26,7 @@ from tripmart.streaming import (
 )
 from tripmart.tables import SnapshotTable
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Register a function under its name, with its checking SQL."""
-
-    def keep(function):
-        QUERIES[function.__name__] = function
-        if sql is not None:
-            ORACLES[function.__name__] = sql
-        return function
-
-    return keep
+QUERIES, ORACLES, query = registry()
 
 
 PAYLOAD = T.StructType(

@@ -5,12 +5,15 @@ Each run writes to a fresh folder below the shared work folder.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tripmart.operators import between_dates_inclusive, count_by, row_count
 from tripmart.plans import build_fact, refresh_report, refresh_staging
 from tripmart.quality import file_stats, not_null, partition_sizes, unique
 from tripmart.registry import feeds
+from tripmart.registry.base import registry
 from tripmart.registry.feeds import plain, table
 from tripmart.session import work_folder
 from tripmart.sinks import write_day, write_layout, write_parquet, write_partitioned
@@ -36,20 +39,7 @@ from tripmart.tables import (
     time_interval,
 )
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Register a function under its name, with its checking SQL."""
-
-    def keep(function):
-        QUERIES[function.__name__] = function
-        if sql is not None:
-            ORACLES[function.__name__] = sql
-        return function
-
-    return keep
+QUERIES, ORACLES, query = registry()
 
 
 def _at(text: str):
@@ -216,22 +206,39 @@ def monthly_files(spark, sf):
 
 @query("SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY l_returnflag")
 def external_table(spark, sf):
-    external = register_external(spark, "external_lines", f"{sf}/lineitem.parquet")
+    external = register_external(spark, f"external_{uuid.uuid4().hex}", f"{sf}/lineitem.parquet")
     return count_by(external, "l_returnflag")
 
 
+@query("SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY ALL")
+def external_partitioned(spark, sf):
+    path = work_folder(spark, "external")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus")
+    lines.write.partitionBy("l_returnflag").parquet(path)
+    external = register_external(spark, f"external_{uuid.uuid4().hex}", path)
+    return count_by(external, "l_returnflag", "l_linestatus")
+
+
 @query("SELECT c_nationkey, count(*) AS n FROM customer GROUP BY c_nationkey")
 def saved_table(spark, sf):
     counts = count_by(table(spark, sf, "customer"), "c_nationkey")
-    saved = as_table(counts, "saved_counts", work_folder(spark, "saved"))
-    as_view(saved, "saved_counts_view")
-    return spark.sql("SELECT c_nationkey, n FROM saved_counts_view")
+    name = f"saved_counts_{uuid.uuid4().hex}"
+    saved = as_table(counts, name, work_folder(spark, "saved"))
+    as_view(saved, f"{name}_view")
+    return spark.sql(f"SELECT c_nationkey, n FROM {name}_view")
 
 
-@query("SELECT count(*) AS n_rows FROM lineitem")
+@query(
+    """SELECT CAST(sum(c) AS BIGINT) AS n_rows, count(*) AS n_partitions, max(c) AS largest
+    FROM (SELECT count(*) AS c FROM lineitem GROUP BY l_linenumber % 5)"""
+)
 def partition_rows(spark, sf):
-    sizes = partition_sizes(table(spark, sf, "lineitem"))
-    return sizes.agg(F.sum("n_rows").alias("n_rows"))
+    # One partition per remainder of the line number.
+    remainder = (F.col("l_linenumber") % 5).cast("int")
+    sizes = partition_sizes(table(spark, sf, "lineitem").repartitionById(5, remainder))
+    return sizes.agg(
+        F.sum("n_rows").alias("n_rows"), F.count("*").alias("n_partitions"), F.max("n_rows").alias("largest")
+    )
 
 
 # -- JSON documents -----------------------------------------------------------------
@@ -429,7 +436,9 @@ def incremental_fact(spark, sf):
         for name in ("trips", "fact")
     )
     zones = feeds.zones(spark, sf)
-    enriched = feeds.trips(spark, sf)
+    path = work_folder(spark, "enriched")
+    feeds.trips(spark, sf).write.parquet(path)
+    enriched = spark.read.parquet(path)
     cut = _at("1998-06-15 12:00:00")
     replace(trips, enriched.filter(F.col("pickup_datetime") < cut))
     build_fact(trips, zones, target)

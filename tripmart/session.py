@@ -8,8 +8,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# A lookup side is broadcast only while its estimated size is below this.
+# A lookup side is broadcast only while its estimated size in memory is below this.
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
+# The estimate of a scan is the size of its files; rows in memory take several times that.
+MEMORY_PER_FILE_BYTE = 8
 
 LARGE_STATE = {
     "spark.sql.streaming.stateStore.providerClass": (
@@ -41,6 +43,8 @@ def build_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        # Rows of a streaming session are merged within each task before the shuffle.
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
         "spark.ui.enabled": "false",
     }
     if large_state:
@@ -75,9 +79,9 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Hint a broadcast when the size estimate is within ``limit``.
+    """Hint a broadcast when the size estimate for memory is within ``limit``.
 
     A larger side is left without a hint: Catalyst then shuffles both sides
     and adaptive execution splits skewed partitions at run time.
     """
-    return F.broadcast(df) if estimated_bytes(df) <= limit else df
+    return F.broadcast(df) if estimated_bytes(df) * MEMORY_PER_FILE_BYTE <= limit else df

@@ -13,6 +13,10 @@ from tripmart.sinks.jdbc import write_jdbc
 from tripmart.tables import SnapshotTable, append, merge
 
 
+# Versions of a table that its stream leaves for slow readers.
+KEEP_VERSIONS = 8
+
+
 def _writer(df: DataFrame, checkpoint: str, output_mode: str, drain: bool) -> DataStreamWriter:
     writer = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True) if drain else writer
@@ -30,11 +34,13 @@ def upsert_sink(
 
     The table's manifest records the last batch, published together with its
     rows: a batch repeated after a failure changes nothing. ``drain`` stops
-    when all input present at the start is read.
+    when all input present at the start is read. Versions of the table before the last
+    ``KEEP_VERSIONS`` are removed, so a stream leaves no more behind the longer it runs.
     """
 
     def apply(batch: DataFrame, number: int) -> None:
         merge(table, batch, keys, batch=(checkpoint, number))
+        table.expire(KEEP_VERSIONS)
 
     return _writer(df, checkpoint, output_mode, drain).foreachBatch(apply).start()
 
@@ -44,8 +50,9 @@ def append_sink(
 ) -> StreamingQuery:
     """Insert each row once, into a table or (given a path) into Parquet files.
 
-    Prefer files for an endless stream of inserts: Spark's file sink keeps a
-    compacted list of its files, where a table gains a folder per micro-batch.
+    A table packs a partition's folders when they become many and keeps its last
+    ``KEEP_VERSIONS`` versions. For an endless stream into few partitions prefer files:
+    packing reads the partition again, Spark's file sink does not.
     """
     if isinstance(target, str):
         writer = _writer(df, checkpoint, "append", drain).format("parquet")
@@ -53,6 +60,7 @@ def append_sink(
 
     def apply(batch: DataFrame, number: int) -> None:
         append(target, batch, batch=(checkpoint, number))
+        target.expire(KEEP_VERSIONS)
 
     return _writer(df, checkpoint, "append", drain).foreachBatch(apply).start()
 

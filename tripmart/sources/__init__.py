@@ -8,7 +8,7 @@ from tripmart.sources.files import (
     read_parquet,
 )
 from tripmart.sources.jdbc import read_jdbc
-from tripmart.sources.months import month_range, read_months
+from tripmart.sources.months import ingest_months, month_range, read_months
 from tripmart.sources.nested import explode_children, flatten_structs
 from tripmart.sources.paged import PagedJsonSource, read_paged
 from tripmart.sources.streams import read_bounded_kafka, read_trip_stream, trip_events
@@ -24,6 +24,7 @@ __all__ = [
     "read_csv_inferred",
     "read_csv_typed",
     "read_jdbc",
+    "ingest_months",
     "read_months",
     "read_paged",
     "read_parquet",

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from tripmart.operators.sets import concat_all
 from tripmart.plans.staging import standardise, with_lineage
 from tripmart.schemas import INGESTED, TAXI_TYPES
+from tripmart.tables import SnapshotTable, append
 
 log = logging.getLogger(__name__)
 
@@ -74,3 +75,16 @@ def read_months(
             typed = trips.select(*[trips[c].cast(kinds[c]).alias(c) for c in trips.columns])
             frames.append(with_lineage(typed, kind).select(*INGESTED.names))
     return concat_all(spark, frames, INGESTED)
+
+
+def ingest_months(
+    spark: SparkSession,
+    base: str,
+    ingested: SnapshotTable,
+    start: str | dt.date,
+    end: str | dt.date,
+    types: Sequence[str] = tuple(TAXI_TYPES),
+) -> SnapshotTable:
+    """Append the monthly files of ``[start, end)`` to the table of ingested trips."""
+    append(ingested, read_months(spark, base, start, end, types))
+    return ingested

@@ -9,6 +9,7 @@ over any URL that Python can open, ``file:`` included.
 from __future__ import annotations
 
 import json
+import logging
 import re
 import urllib.error
 import urllib.parse
@@ -20,9 +21,20 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 FORMAT = "paged_json"
 
+log = logging.getLogger(__name__)
 
-def fetch(url: str, headers: dict[str, str] | None = None) -> tuple[list[dict], str]:
-    """Records of a page and its ``Link`` header. A page that is not there is empty."""
+# Asking for a page beyond this number means that the source never ends.
+MAX_PAGES = 1 << 32
+
+
+class PageMissing(OSError):
+    """The server or file system has no such page."""
+
+
+def fetch(
+    url: str, headers: dict[str, str] | None = None, records_path: str = ""
+) -> tuple[list[dict], str]:
+    """Records of a page and its ``Link`` header."""
     request = urllib.request.Request(url, headers=headers or {})
     try:
         with urllib.request.urlopen(request, timeout=60) as response:
@@ -30,22 +42,32 @@ def fetch(url: str, headers: dict[str, str] | None = None) -> tuple[list[dict],
             link = response.headers.get("Link") or ""
     except urllib.error.HTTPError as error:
         if error.code == 404:
-            return [], ""
+            raise PageMissing(url) from error
         raise
     except urllib.error.URLError as error:
         if isinstance(error.reason, FileNotFoundError):
-            return [], ""
+            raise PageMissing(url) from error
         raise
-    return records_of(text), link
+    return records_of(text, records_path), link
+
 
+def records_of(text: str, records_path: str = "") -> list[dict]:
+    """Records of a JSON array, a single JSON object, or one object per line.
 
-def records_of(text: str) -> list[dict]:
-    """Records of a JSON array, a single JSON object, or one object per line."""
+    ``records_path`` (``data.items``) names the array inside an object.
+    """
     try:
         body = json.loads(text or "[]")
     except json.JSONDecodeError:
         body = [json.loads(line) for line in text.splitlines() if line.strip()]
-    return body if isinstance(body, list) else [body]
+    for step in records_path.split(".") if records_path else ():
+        if not isinstance(body, dict) or step not in body:
+            raise ValueError(f"a page has no '{records_path}'")
+        body = body[step]
+    records = body if isinstance(body, list) else [body]
+    if not all(isinstance(record, dict) for record in records):
+        raise ValueError("a page holds values that are not JSON objects")
+    return records
 
 
 def link_target(link: str, relation: str) -> str | None:
@@ -62,6 +84,8 @@ def last_page(has_rows, base: int) -> int:
     step = 1
     while has_rows(base + step - 1):
         step *= 2
+        if step > MAX_PAGES:
+            raise ValueError(f"page {base + step // 2 - 1} still has rows: do the pages depend on their number?")
     low, high = base + step // 2 - 1, base + step - 1  # low has rows, high has none
     while high - low > 1:
         middle = (low + high) // 2
@@ -87,6 +111,8 @@ class PagedReader(DataSourceReader):
         self.pages_per_task = int(options.get("pages_per_task", "16"))
         self.keys = json.loads(options.get("keys", "[]"))
         self.headers = json.loads(options.get("headers", "{}"))
+        self.records_path = options.get("records_path", "")
+        self.skip_missing = options.get("on_missing", "fail") == "skip"
 
     def _ranges(self, urls: list[str]) -> list[UrlRange]:
         size = self.pages_per_task
@@ -97,7 +123,7 @@ class PagedReader(DataSourceReader):
             quoted = [urllib.parse.quote(str(k), safe="") for k in self.keys]
             return self._ranges([self.url.replace("{key}", k) for k in quoted])
         if self.mode == "link":
-            _, link = fetch(self.url, self.headers)
+            _, link = fetch(self.url, self.headers, self.records_path)
             last = link_target(link, "last")
             found = re.search(r"([?&]page=)(\d+)", last) if last else None
             if not found:
@@ -110,15 +136,34 @@ class PagedReader(DataSourceReader):
         def page(n: int) -> str:
             return self.url.replace("{page}", str(n))
 
-        last = last_page(lambda n: bool(fetch(page(n), self.headers)[0]), self.base_page)
+        def has_rows(n: int) -> bool:
+            try:
+                return bool(self._records(page(n))[0])
+            except PageMissing:
+                return False  # a page after the last one may be missing as well as empty
+
+        last = last_page(has_rows, self.base_page)
         return self._ranges([page(n) for n in range(self.base_page, last + 1)])
 
+    def _records(self, url: str) -> tuple[list[dict], str]:
+        records, link = fetch(url, self.headers, self.records_path)
+        names = set(self.schema.names)
+        if records and not any(names & record.keys() for record in records):
+            raise ValueError(f"no record of {url} has a column of the schema: set records_path?")
+        return records, link
+
     def read(self, partition: UrlRange) -> Iterator[tuple]:
         names = self.schema.names
         for url in partition.urls:
             following: str | None = url
             while following:
-                records, link = fetch(following, self.headers)
+                try:
+                    records, link = self._records(following)
+                except PageMissing:
+                    if not self.skip_missing:
+                        raise
+                    log.warning("skipped the missing page %s", following)
+                    break
                 for record in records:
                     yield tuple(record.get(name) for name in names)
                 following = link_target(link, "next") if partition.follow else None
@@ -144,9 +189,17 @@ def read_paged(
     keys: Sequence[str] = (),
     headers: dict[str, str] | None = None,
     pages_per_task: int = 16,
+    records_path: str = "",
+    on_missing: str = "fail",
 ) -> DataFrame:
     """Records of a paged API.
 
+    A page or key that is not there fails the read; with ``on_missing='skip'`` it is
+    logged by its task. In mode ``number`` a missing page ends the search for the
+    last one. ``records_path`` names the array of records inside each body. A record without any
+    column of the schema on a whole page is an error. Every executor must be able to open the URLs.
+    Without a ``last`` link, mode ``link`` reads all pages in one task.
+
     ``url`` holds ``{page}`` (mode ``number``: pages until an empty one) or
     ``{key}`` (mode ``keys``: one call per key); mode ``link`` follows the
     ``Link`` header, in parallel where it names the last page.
@@ -159,5 +212,7 @@ def read_paged(
         "keys": json.dumps(list(keys)),
         "headers": json.dumps(headers or {}),
         "pages_per_task": str(pages_per_task),
+        "records_path": records_path,
+        "on_missing": on_missing,
     }
     return spark.read.format(FORMAT).schema(schema).options(**options).load()

@@ -1,6 +1,7 @@
 """Event-time aggregates, for streams and for batches alike."""
 
 from tripmart.streaming.windows import (
+    LateRows,
     late_rows,
     running_count,
     session_count,
@@ -10,6 +11,7 @@ from tripmart.streaming.windows import (
 )
 
 __all__ = [
+    "LateRows",
     "late_rows",
     "running_count",
     "session_count",

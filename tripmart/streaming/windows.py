@@ -7,11 +7,12 @@ window appears when the watermark passes its end.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 TIME = "event_timestamp"
-MERGE_BEFORE_SHUFFLE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 
 
 def watermarked(df: DataFrame, delay: str = "5 seconds", time: str = TIME) -> DataFrame:
@@ -21,8 +22,46 @@ def watermarked(df: DataFrame, delay: str = "5 seconds", time: str = TIME) -> Da
     return df.withWatermark(time, delay)
 
 
+class LateRows(StreamingQueryListener):
+    """Counts the rows that streams drop as too late, over all their batches.
+
+    Start it before the queries (``spark.streams.addListener``). Spark reports to it from
+    another thread, so ``total`` waits for the end of a query that has stopped.
+    """
+
+    def __init__(self):
+        self._dropped: dict[str, int] = {}
+        self._ended: set[str] = set()
+        self._news = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        dropped = sum(o.numRowsDroppedByWatermark for o in event.progress.stateOperators)
+        with self._news:
+            name = str(event.progress.runId)
+            self._dropped[name] = self._dropped.get(name, 0) + dropped
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self._news:
+            self._ended.add(str(event.runId))
+            self._news.notify_all()
+
+    def total(self, query: StreamingQuery, wait_seconds: float = 60.0) -> int:
+        """Rows that this run of a query has dropped so far (all of them once it has ended)."""
+        name = str(query.runId)
+        with self._news:
+            if not query.isActive and not self._news.wait_for(lambda: name in self._ended, wait_seconds):
+                raise TimeoutError("the end of the query was not reported")
+            return self._dropped.get(name, 0)
+
+
 def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped as too late, over the batches the query still reports."""
+    """Rows dropped as too late in the last batches: Spark keeps about 100. For all, use ``LateRows``."""
     return sum(
         operator["numRowsDroppedByWatermark"]
         for progress in query.recentProgress
@@ -65,8 +104,6 @@ def session_count(
     rows = df.filter(F.col(key).isNotNull())
     if not df.isStreaming:
         return _batch_sessions(rows, gap, time, key)
-    # Rows of a session are merged within each task before the shuffle.
-    df.sparkSession.conf.set(MERGE_BEFORE_SHUFFLE, "true")
     found = rows.groupBy(F.session_window(time, gap).alias("_session"), key)
     return found.agg(F.count("*").alias("num_trips")).select(
         F.col("_session.start").alias("session_start"),

@@ -32,9 +32,16 @@ def as_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
 
 
 def register_external(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> DataFrame:
-    """A catalog table over files that stay where they are."""
+    """A catalog table over files that stay where they are.
+
+    Partition folders (``day=2024-01-01/...``) are registered as they are now; run it
+    again for later ones.
+    """
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    return spark.catalog.createTable(name, path=path, source=fmt)
+    spark.catalog.createTable(name, path=path, source=fmt)
+    if any(column.isPartition for column in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
+    return spark.table(name)
 
 
 def create_table_ddl(

@@ -218,6 +218,8 @@ class SnapshotTable:
             for folders in self._load(name).folders.values()
             for folder in folders
         }
+        if not versions:
+            return 0
         unused = [n for n in self._names(f"{self.root}/data") if n not in used]
         for name in versions[:-keep]:
             self._fs.delete(self._path(f"{self.root}/manifest/{name}"), False)

@@ -17,6 +17,8 @@ from tripmart.operators.filters import in_interval
 from tripmart.operators.joins import matched, unmatched
 from tripmart.tables.snapshot import NO_TIME, PART, WHOLE, Manifest, SnapshotTable
 
+# Types of keys whose smallest and largest new value bound the search.
+BOUNDED = ("byte", "short", "integer", "long", "date", "string")
 # A partition spread over more folders than this is rewritten when touched.
 MAX_FOLDERS_PER_PARTITION = 32
 
@@ -73,7 +75,11 @@ def append(
     widen: bool = False,
     batch: tuple[str, int] | None = None,
 ) -> None:
-    """Add rows; no existing file is read or rewritten."""
+    """Add rows.
+
+    Existing files are neither read nor rewritten, but for a partition that has come to
+    more than ``MAX_FOLDERS_PER_PARTITION`` folders: that one is written anew as one.
+    """
     old = target.manifest()
     if _applied(old, batch):
         return
@@ -82,7 +88,10 @@ def append(
     schema = _merged_schema(old.schema, schema, widen)
     new = target.write_folder(rows)
     if new or old.version == 0 or schema != old.schema:
-        _next(target, old, _join_folders(old.folders, new), schema, batch)
+        crowded = [p for p in new if len(old.folders.get(p, [])) >= MAX_FOLDERS_PER_PARTITION]
+        kept = {p: f for p, f in old.folders.items() if p not in crowded}
+        packed = target.write_folder(target.read(crowded)) if crowded else {}
+        _next(target, old, _join_folders(kept, packed, new), schema, batch)
 
 
 def _require_unique(rows: DataFrame, keys: Sequence[str]) -> None:
@@ -98,6 +107,22 @@ def _partition_name(target: SnapshotTable):
     return F.coalesce(F.concat(F.lit(f"{PART}="), start), F.lit(NO_TIME))
 
 
+def _within_bounds(staged: DataFrame, keys: Sequence[str]):
+    """A condition that every row with a key of ``staged`` meets, as constants."""
+    plain = [k for k in keys if staged.schema[k].dataType.typeName() in BOUNDED]
+    if not plain:
+        return F.lit(True)
+    bounds = [f(k) for k in plain for f in (F.min, F.max)]
+    row = staged.agg(*[b.alias(f"b{i}") for i, b in enumerate(bounds)]).first()
+    condition = F.lit(True)
+    for i, k in enumerate(plain):
+        low, high = row[2 * i], row[2 * i + 1]
+        if low is not None:
+            kind = staged.schema[k].dataType
+            condition &= F.col(k).between(F.lit(low).cast(kind), F.lit(high).cast(kind))
+    return condition
+
+
 def _put(
     target: SnapshotTable,
     rows: DataFrame,
@@ -134,7 +159,11 @@ def _put(
         # Only the keys and the time are scanned here. The result is a list of
         # partitions: one value per day at most.
         columns = [*keys, *([target.time] if target.time not in (None, *keys) else [])]
-        found = matched(target.read(candidates).select(*columns), staged, keys)
+        stored = target.read(candidates).select(*columns)
+        if not fixed:
+            # Row groups whose keys lie outside the new ones are skipped by their statistics.
+            stored = stored.filter(_within_bounds(staged, keys))
+        found = matched(stored, staged, keys)
         hit = {r["p"] for r in found.select(_partition_name(target).alias("p")).distinct().collect()}
         hit |= {p for p in candidates if p in new and len(old.folders[p]) > MAX_FOLDERS_PER_PARTITION}
     kept = {p: f for p, f in old.folders.items() if p not in hit}
