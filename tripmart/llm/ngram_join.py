@@ -154,29 +154,45 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(id, class): connected components of links (a, b), named by their smallest id.
 
-    Every round each id takes the smallest label among its neighbours and then the
-    label of its label, so long chains halve. All state is in written tables.
+    Every round each id is merged into its smallest neighbour's own smallest neighbour, and
+    links inside a merged id vanish. What is left shrinks from round to round, long
+    chains by half. All state is in written tables.
     """
-    both = staged(
-        links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "both-ways"
-    )
-    labels = both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("id"), F.least("a", "b").alias("class"))
-    labels = staged(labels, "labels")
-    while True:
-        near = (
-            both.join(labels.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.min("class").alias("near"))
-        )
-        taken = labels.join(near.withColumnRenamed("a", "id"), "id").select(
-            "id", F.col("class").alias("before"), F.least("class", "near").alias("class")
-        )
-        up = labels.select(F.col("id").alias("class"), F.col("class").alias("up"))
-        jumped = taken.join(up, "class", "left").select(
-            "id", F.least("class", F.coalesce("up", "class")).alias("class"), "before"
+    edges = staged(links.select("a", "b"), "edges")
+    classes = edges.select(F.col("a").alias("id"), F.col("a").alias("class")).limit(0)
+    first = True
+    while not edges.isEmpty():
+        ends = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        near = ends.groupBy("a").agg(F.min("b").alias("near")).select(F.col("a").alias("id"), F.least("a", "near").alias("next"))
+        above = near.select(F.col("id").alias("next"), F.col("next").alias("label"))
+        merged = staged(near.join(above, "next").select("id", "label"), "merged")
+        if first:
+            classes, first = merged.withColumnRenamed("label", "class"), False
+        else:
+            moved = merged.withColumnRenamed("id", "class")
+            classes = classes.join(moved, "class", "left").select("id", F.coalesce("label", "class").alias("class"))
+            classes = staged(classes, "classes")
+        edges = (
+            edges.join(merged.select(F.col("id").alias("a"), F.col("label").alias("x")), "a")
+            .join(merged.select(F.col("id").alias("b"), F.col("label").alias("y")), "b")
+            .filter("x <> y")
+            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+            .distinct()
         )
-        moved = staged(jumped, "labels")
-        labels = moved.select("id", "class")
-        if moved.filter(F.col("class") < F.col("before")).isEmpty():
-            return labels
+        edges = staged(edges, "edges")
+    return classes
+
+
+def joined_classes(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``classes`` after further links (a, b); their ids are added if new."""
+    name = {end: classes.select(F.col("id").alias(end), F.col("class").alias(f"{end}_class")) for end in "ab"}
+    between = links.select("a", "b").join(name["a"], "a", "left").join(name["b"], "b", "left")
+    between = between.select(F.coalesce("a_class", "a").alias("a"), F.coalesce("b_class", "b").alias("b"))
+    above = components(between.filter("a <> b").distinct()).select(F.col("id").alias("class"), F.col("class").alias("above"))
+    ends = links.select(F.col("a").alias("id")).union(links.select("b"))
+    # A class is never above its ids, so the smaller of the two names is the known one.
+    every = classes.unionByName(ends.select("id", F.col("id").alias("class"))).groupBy("id").agg(F.min("class").alias("class"))
+    return staged(every.join(above, "class", "left").select("id", F.coalesce("above", "class").alias("class")), "classes")
 
 
 def similarity_join(
@@ -227,8 +243,8 @@ def similarity_join(
         )
         # Most of these were compared before: only new pairs are verified.
         more = candidate_pairs(places, neighbours).join(pairs, ["a", "b"], "left_anti")
-        links = staged(links.unionByName(verified(more, sets, similarity)), "links")
-        classes = components(links)
+        found = staged(verified(more, sets, similarity), "links")
+        links, classes = links.unionByName(found), joined_classes(classes, found)
     return members, links, classes
 
 
