@@ -151,12 +151,24 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     )
 
 
+def _path_ends(pointers: DataFrame) -> DataFrame:
+    """(id, label) from pointers (id, next) to smaller ids: where each path of pointers ends."""
+    pointers = staged(pointers, "pointers")
+    while True:
+        further = pointers.select(F.col("id").alias("next"), F.col("next").alias("label"))
+        doubled = pointers.join(further, "next").select("id", "label", (F.col("label") != F.col("next")).alias("moved"))
+        doubled = staged(doubled, "pointers")
+        if doubled.filter("moved").isEmpty():
+            return doubled.select("id", "label")
+        pointers = doubled.select("id", F.col("label").alias("next"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, class): connected components of links (a, b), named by their smallest id.
 
-    Every round each id is merged into its smallest neighbour's own smallest neighbour, and
-    links inside a merged id vanish. What is left shrinks from round to round, long
-    chains by half. All state is in written tables.
+    Every round each id points to its smallest neighbour, pointers are doubled until they
+    reach the end of their paths, and each path becomes one id. Links inside vanish, so
+    what is left shrinks from round to round. All state is in written tables.
     """
     edges = staged(links.select("a", "b"), "edges")
     classes = edges.select(F.col("a").alias("id"), F.col("a").alias("class")).limit(0)
@@ -164,8 +176,7 @@ def components(links: DataFrame) -> DataFrame:
     while not edges.isEmpty():
         ends = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         near = ends.groupBy("a").agg(F.min("b").alias("near")).select(F.col("a").alias("id"), F.least("a", "near").alias("next"))
-        above = near.select(F.col("id").alias("next"), F.col("next").alias("label"))
-        merged = staged(near.join(above, "next").select("id", "label"), "merged")
+        merged = _path_ends(near)
         if first:
             classes, first = merged.withColumnRenamed("label", "class"), False
         else:
