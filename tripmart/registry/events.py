@@ -6,8 +6,6 @@ into a keyed table, and returns that table.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tripmart.functions import encode_json
@@ -145,12 +143,12 @@ def stream_hourly(spark, sf):
     """SELECT count(*) AS total_count, count(*) FILTER (value > 5) AS matching_count FROM events"""
 )
 def stream_running_count(spark, sf):
-    counts = running_count(_event_stream(spark, sf), F.col("value") > 5)
-    name = f"running_{uuid.uuid4().hex}"
-    stream = counts.writeStream.outputMode("complete").format("memory").queryName(name)
+    # One row, replaced by every micro-batch.
+    counts = running_count(_event_stream(spark, sf), F.col("value") > 5).withColumn("of", F.lit("all"))
+    result = SnapshotTable(spark, work_folder(spark, "running"))
     checkpoint = work_folder(spark, "running-checkpoint")
-    stream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    return spark.table(name)
+    upsert_sink(counts, result, checkpoint, ["of"], output_mode="complete").awaitTermination()
+    return result.read().drop("of")
 
 
 @query(
