@@ -91,12 +91,15 @@ def shingles(words):
 def expected(docs, items):
     """Pairs with a window of the item's length at a similarity of 0.8."""
     pairs = set()
+    split = [(item, tokens(text)) for item, text in items]
     for doc, text in docs:
         words = tokens(text)
-        for item, item_text in items:
-            other = tokens(item_text)
+        every = set(shingles(words)) if len(words) >= 5 else set()
+        for item, other in split:
             if not other or not words:
                 continue
+            if len(words) >= 5 and len(other) >= 5 and not every & set(shingles(other)):
+                continue
             for start in range(max(1, len(words) - len(other) + 1)):
                 a, b = shingles(words[start : start + len(other)]), shingles(other)
                 if sum((a & b).values()) / sum((a | b).values()) >= 0.8:
