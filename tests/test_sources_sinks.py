@@ -13,6 +13,7 @@ from tripmart.sinks import write_day, write_layout, write_parquet, write_partiti
 from tripmart.sinks.files import write_bucketed
 from tripmart.sources import (
     count_from_footers,
+    child_tables,
     explode_children,
     flatten_structs,
     load_seed,
@@ -159,6 +160,19 @@ def test_nested_documents(spark, tmp_path):
     assert flatten_structs(scalars).columns == ["id", "xs"]
 
 
+def test_arrays_at_any_depth(spark, tmp_path):
+    docs = [
+        {"id": 1, "a": {"xs": [{"id": 7, "ys": [[1, 2], [3]]}, {"id": 8, "ys": []}]}},
+        {"id": 2, "a": {"xs": None}},
+    ]
+    (tmp_path / "docs.json").write_text("\n".join(json.dumps(d) for d in docs))
+    tables = child_tables(spark.read.json(str(tmp_path / "docs.json")), ["id"])
+    assert values(tables["root"]) == [(1,), (2,)]
+    assert values(tables["root__a__xs"], "id", "a__xs__position", "a__xs__id") == [(1, 0, 7), (1, 1, 8)]
+    assert values(tables["root__a__xs__ys__value"]) == [(1, 0, 0, 0, 1), (1, 0, 0, 1, 2), (1, 0, 1, 0, 3)]
+    assert set(tables) == {"root", "root__a__xs", "root__a__xs__ys", "root__a__xs__ys__value"}
+
+
 PAGE = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
 
 

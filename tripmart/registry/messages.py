@@ -13,7 +13,7 @@ from tripmart.registry.events import _SESSIONS, _TUMBLING, PAYLOAD
 from tripmart.registry.feeds import plain, table
 from tripmart.session import work_folder
 from tripmart.sinks import upsert_sink, write_partitioned
-from tripmart.sources import read_paged, read_trip_stream, trip_events
+from tripmart.sources import child_tables, read_paged, read_trip_stream, trip_events
 from tripmart.streaming import LateRows, session_count, tumbling_count, watermarked
 from tripmart.tables import SnapshotTable, create_table_ddl
 
@@ -152,6 +152,44 @@ def paged_numbers(spark, sf):
     return read_paged(spark, f"{base}/page-{{page}}.json", PAGE, pages_per_task=2)
 
 
+@query(
+    """WITH lines AS (SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, l_linestatus FROM lineitem),
+    placed AS (
+      SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity,
+        l_returnflag, l_linestatus) - 1 AS line FROM lines)
+    SELECT 'root' AS level, l_orderkey, NULL::BIGINT AS line, NULL::BIGINT AS tag, count(*)::VARCHAR AS content
+      FROM lines GROUP BY l_orderkey
+    UNION ALL SELECT 'root__lines', l_orderkey, line, NULL, CAST(l_linenumber AS VARCHAR) FROM placed
+    UNION ALL SELECT 'root__lines__tags', l_orderkey, line, 0, l_returnflag FROM placed
+    UNION ALL SELECT 'root__lines__tags', l_orderkey, line, 1, l_linestatus FROM placed"""
+)
+def nested_tree(spark, sf):
+    # Orders with an array of lines, each with an array of tags, as JSON documents.
+    tags = F.array("l_returnflag", "l_linestatus").alias("tags")
+    line = F.struct("l_linenumber", "l_quantity", tags)
+    lines = F.sort_array(F.collect_list(line)).alias("lines")
+    documents = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"), lines)
+    path = work_folder(spark, "tree")
+    documents.write.json(path)
+    tables = child_tables(spark.read.json(path), ["l_orderkey"])
+    columns = {
+        "root": (F.lit(None), F.lit(None), "n"),
+        "root__lines": (F.col("lines__position"), F.lit(None), "l_linenumber"),
+        "root__lines__tags": (F.col("lines__position"), F.col("tags__position"), "value"),
+    }
+    levels = [
+        tables[level].select(
+            F.lit(level).alias("level"),
+            "l_orderkey",
+            line.cast("bigint").alias("line"),
+            tag.cast("bigint").alias("tag"),
+            F.col(content).cast("string").alias("content"),
+        )
+        for level, (line, tag, content) in columns.items()
+    ]
+    return levels[0].unionByName(levels[1]).unionByName(levels[2])
+
+
 # -- what tables look like ----------------------------------------------------------
 
 

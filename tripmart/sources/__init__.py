@@ -9,13 +9,14 @@ from tripmart.sources.files import (
 )
 from tripmart.sources.jdbc import read_jdbc
 from tripmart.sources.months import ingest_months, month_range, read_months
-from tripmart.sources.nested import explode_children, flatten_structs
+from tripmart.sources.nested import child_tables, explode_children, flatten_structs
 from tripmart.sources.paged import PagedJsonSource, read_paged
 from tripmart.sources.streams import read_bounded_kafka, read_trip_stream, trip_events
 
 __all__ = [
     "PagedJsonSource",
     "count_from_footers",
+    "child_tables",
     "explode_children",
     "flatten_structs",
     "load_seed",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 
@@ -38,3 +40,28 @@ def explode_children(
     if isinstance(element, T.StructType):
         rows = rows.select(key, "position", "value.*")
     return parent, flatten_structs(rows)
+
+
+def child_tables(df: DataFrame, key: Sequence[str], name: str = "root") -> dict[str, DataFrame]:
+    """A table for the documents and one for every array in them, at any depth.
+
+    Tables are named ``root``, ``root__orders``, ``root__orders__tags`` and so on. A child
+    row holds the key of the document, its position in each array above it
+    (``orders__position``) and the element's fields, or ``value``. A field named like one
+    of these columns gets the array's name in front.
+    """
+    flat = flatten_structs(df)
+    arrays = [f.name for f in flat.schema.fields if isinstance(f.dataType, T.ArrayType)]
+    tables = {name: flat.drop(*arrays)}
+    for column in arrays:
+        place = f"{column}__position"
+        rows = flat.select(*key, F.posexplode(F.col(f"`{column}`")).alias(place, "value"))
+        element = rows.schema["value"].dataType
+        if isinstance(element, T.StructType):
+            taken = {*key, place}
+            fields = [
+                F.col(f"value.`{n}`").alias(f"{column}__{n}" if n in taken else n) for n in element.names
+            ]
+            rows = rows.select(*key, place, *fields)
+        tables.update(child_tables(rows, [*key, place], f"{name}__{column}"))
+    return tables
