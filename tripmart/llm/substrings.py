@@ -28,6 +28,8 @@ from tripmart.llm.common import HashTables, buffers, gram_hashes, mix, pieces, s
 
 WINDOW = 13
 SEED = 5
+# Rows that are trimmed at a time: bounds what a task holds beside its batch.
+SLICE_ROWS = 512
 
 
 def _windows(offsets, data, first, last, window, seed, tables):
@@ -94,7 +96,7 @@ def _window_rows(batches: Iterator[pa.RecordBatch], window: int, seed: int) -> I
 def _trimmed_rows(batches: Iterator[pa.RecordBatch], window: int, text_at: int, kept: int) -> Iterator[pa.RecordBatch]:
     """Replace the last two columns, window starts and whether the text is a copy, by
     n_words, n_removed, kept_text and removed spans."""
-    for batch in batches:
+    for batch in (b.slice(at, SLICE_ROWS) for b in batches for at in range(0, b.num_rows, SLICE_ROWS)):
         n_words, n_removed, kept_text, spans = [], [], [], []
         texts, places, copies = batch.column(text_at).to_pylist(), batch.column(kept), batch.column(kept + 1)
         for text, cuts, copy in zip(texts, places, copies.to_pylist(), strict=True):
