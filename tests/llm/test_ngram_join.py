@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import frame, prose
@@ -67,6 +68,32 @@ def test_large_groups_in_parts(spark):
     assert classes == {0}
 
 
+def test_all_links_of_a_large_group(spark):
+    """More texts than a block, about half of the pairs linked, among texts just below the threshold."""
+    rng = random.Random(6)
+    big = prose(8, 140)
+    texts = [edited(big, rng, 1 + i % 3) for i in range(1100)] + [edited(big, rng, 6) for _ in range(150)]
+    sets = [grams(t) for t in texts]
+    names = {g: i for i, g in enumerate(sorted(set().union(*sets)))}
+    holds = np.zeros((len(texts), len(names)), np.float32)
+    for row, found in enumerate(sets):
+        holds[row, [names[g] for g in found]] = 1
+    both, size = holds @ holds.T, holds.sum(axis=1)
+    # Equal word sequences are one text, so they are no pair.
+    linked = (both / (size[:, None] + size[None, :] - both) >= 0.8) & (np.array(texts)[:, None] != np.array(texts)[None, :])
+    result = {r.doc_id: r for r in similarity_classes(frame(spark, texts)).collect()}
+    got, wanted = np.array([result[i].n_links for i in range(len(texts))]), linked.sum(axis=1)
+    assert (got <= wanted).all() and got.sum() >= 0.995 * wanted.sum()
+    assert 0.2 < linked.mean() < 0.9
+    label = np.arange(len(texts))
+    while True:
+        least = np.minimum(label, np.where(linked, label[None, :], len(texts)).min(axis=1))
+        if (least == label).all():
+            break
+        label = least
+    assert [result[i].class_id for i in range(len(texts))] == label.tolist()
+
+
 def test_odd_rows(spark, odd_texts):
     result = similarity_classes(frame(spark, odd_texts)).collect()
     assert len(result) == len(odd_texts)

@@ -3,12 +3,11 @@
 Equal word sequences are one text; its copies are members, not pairs. Each text
 gets a MinHash signature in bands. Numbers of bands and rows are chosen so that two
 texts at the threshold share a band with the target recall. Texts meet by
-band hash. Within a bucket no pairs are multiplied out: each text is compared with the
-bucket's leader and with the next few texts in an order that differs from bucket
-to bucket. So small buckets are compared completely, and in a large group every
-text still meets different partners in every band. Pairs are verified on the
-full n-gram sets. Classes are the connected components of verified links. A second
-round looks again at the buckets that still hold different classes, with more partners.
+band hash, and every pair of texts that share a bucket is compared on the full n-gram
+sets. A bucket is compared in blocks of bounded size, in several tasks; a pair is
+looked at in the first band it shares only, and of buckets with equal texts one is kept.
+Links stay in their task: what leaves it is, per text, its number of links and one text
+of its group there. Classes are the connected components of all links.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tripmart.llm.common import SPACE, HashTables, buffers, gram_hashes, mix, pieces, staged, word_hashes
 
@@ -28,11 +27,10 @@ WORD = "[^\\x20\\x09-\\x0D]"
 SIMILARITY = 0.8
 RECALL = 0.999
 MAX_HASHES = 144
-# Neighbours each text is compared with in a bucket, beside the leader: in the first
-# round, then in the second, which compares texts of different classes only.
-ROUNDS = (1, 8)
-# Buckets with more texts are ordered in parts of this size.
+# Buckets with more texts are compared in blocks of this size.
 PART = 1_000
+# N-grams of a block that are counted in one matrix product.
+COLUMNS = 2_048
 
 
 def choose_bands(similarity: float = SIMILARITY, recall: float = RECALL, max_hashes: int = MAX_HASHES) -> tuple[int, int]:
@@ -115,42 +113,114 @@ def _set_rows(batches: Iterator[pa.RecordBatch], ngram: int) -> Iterator[pa.Reco
             )
 
 
-def candidate_pairs(places: DataFrame, neighbours: int, part: int = PART) -> DataFrame:
-    """Distinct pairs (a, b), a < b, of texts of different classes that share a bucket.
+def candidate_pairs(places: DataFrame, part: int = PART) -> DataFrame:
+    """(id, bucket, band, part, low, high): texts dealt to the block pairs of their buckets.
 
-    ``places`` has (id, class, bucket).
+    ``places`` has (id, band, bucket). Blocks ``low`` and ``high`` of a bucket meet in one task.
+    Buckets whose texts all share a lower band's bucket hold no new pair.
     """
     buckets = places.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("texts"),
-        F.min("class").alias("low"),
-        F.max("class").alias("high"),
-        F.min_by(F.struct("id", "class"), F.struct(F.xxhash64("id", "bucket"), "id")).alias("leader"),
+        F.min("band").alias("band"),
+        F.bit_xor(F.xxhash64("id")).alias("x"),
+        F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"),
     )
-    buckets = staged(buckets.filter("low < high").select("bucket", "texts", "leader"), "buckets")
-    met = (
-        places.join(buckets, "bucket")
-        .withColumn("order", F.xxhash64("id", "bucket", F.lit(neighbours)))
-        .withColumn("part", F.pmod(F.xxhash64("order"), F.ceil(F.col("texts") / part)))
-    )
-    line = Window.partitionBy("bucket", "part").orderBy("order", "id")
-    after = [F.lead(F.struct("id", "class"), k).over(line) for k in range(1, neighbours + 1)]
-    others = met.select("id", "class", F.array("leader", *after).alias("others"))
-    different = F.filter("others", lambda o: o["class"] != F.col("class"))
-    pairs = others.select("id", F.explode(F.transform(different, lambda o: o["id"])).alias("other"))
-    return pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-
-
-def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """(a, b, similarity) of the pairs that are similar enough; ``sets`` has (name, grams)."""
-    return (
-        pairs.join(sets.select(F.col("name").alias("a"), F.col("grams").alias("x")), "a")
-        .join(sets.select(F.col("name").alias("b"), F.col("grams").alias("y")), "b")
-        .select("a", "b", F.size(F.array_intersect("x", "y")).alias("both"), (F.size("x") + F.size("y")).alias("sum"))
-        .select("a", "b", (F.col("both") / (F.col("sum") - F.col("both"))).alias("similarity"))
-        .filter(F.col("similarity") >= similarity)
+    fresh = buckets.filter("texts > 1").groupBy("texts", "x", "y").agg(F.min_by("bucket", "band").alias("bucket"))
+    fresh = staged(fresh.select("bucket", F.ceil(F.col("texts") / part).cast("int").alias("parts")), "buckets")
+    dealt = places.join(fresh, "bucket").withColumn("part", F.pmod(F.xxhash64("id", "bucket"), F.col("parts")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+    return dealt.select("id", "bucket", "band", "part", other).select(
+        "id", "bucket", "band", "part", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high")
     )
 
 
+def _shared_counts(offsets: np.ndarray, grams: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Numbers of n-grams that the sets of ``left`` share with those of ``right``."""
+    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    _, column, times = np.unique(grams, return_inverse=True, return_counts=True)
+    met = np.flatnonzero(times[column] > 1)
+    met = met[np.argsort(column[met], kind="stable")]
+    owner, column = owner[met], column[met]
+    column = np.cumsum(np.r_[False, column[1:] != column[:-1]]) if len(column) else column
+    both = np.zeros((len(left), len(right)), np.float32)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        low, high = np.searchsorted(column, [first, first + COLUMNS])
+        holds = np.zeros((len(offsets) - 1, int(column[high - 1]) - first + 1), np.float32)
+        holds[owner[low:high], column[low:high] - first] = 1.0
+        both += holds[left] @ holds[right].T
+    return both
+
+
+def _block_links(block: pa.RecordBatch, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, row, similarity) of the links of a block pair that no lower band's bucket holds."""
+    part = block["part"].to_numpy()
+    low, high, band = block["low"][0].as_py(), block["high"][0].as_py(), block["band"][0].as_py()
+    left, right = np.flatnonzero(part == low), np.flatnonzero(part == high)
+    bands = block["bands"].flatten().to_numpy().reshape(len(part), -1)
+    new = np.triu(np.ones((len(left), len(right)), bool), 1) if low == high else np.ones((len(left), len(right)), bool)
+    for lower in range(band):
+        new &= bands[left, lower][:, None] != bands[right, lower][None, :]
+    some, others = new.any(axis=1), new.any(axis=0)
+    new, left, right = new[some][:, others], left[some], right[others]
+    if not new.size:
+        none = np.empty(0, np.int64)
+        return none, none, none.astype(float)
+    used = np.unique(np.r_[left, right])
+    sets = block["grams"].take(pa.array(used))
+    offsets = np.r_[0, np.cumsum(sets.value_lengths().to_numpy())]
+    at, to = np.searchsorted(used, left), np.searchsorted(used, right)
+    both = _shared_counts(offsets, sets.flatten().to_numpy(), at, to).astype(float)
+    size = np.diff(offsets)
+    likeness = both / (size[at][:, None] + size[to][None, :] - both)
+    a, b = np.nonzero(new & (likeness >= similarity))
+    return left[a], right[b], likeness[a, b]
+
+
+def _groups(a: np.ndarray, b: np.ndarray, rows: int) -> np.ndarray:
+    """The smallest row each row is linked to, over any number of links."""
+    label = np.arange(rows)
+    while True:
+        least = label.copy()
+        np.minimum.at(least, a, label[b])
+        np.minimum.at(least, b, label[a])
+        least = least[least]
+        if (least == label).all():
+            return label
+        label = least
+
+
+def _linked_rows(batches: Iterator[pa.RecordBatch], similarity: float, pairs: bool) -> Iterator[pa.RecordBatch]:
+    """Links of rows in the order of bucket, low and high: pairs, or (id, links, one text of its group)."""
+
+    def compared(table: pa.Table):
+        block = table.combine_chunks().to_batches()[0]
+        a, b, likeness = _block_links(block, similarity)
+        if pairs and len(a):
+            ends = [block["id"].take(pa.array(rows)) for rows in (np.minimum(a, b), np.maximum(a, b))]
+            yield pa.RecordBatch.from_arrays([*ends, pa.array(likeness)], names=["a", "b", "similarity"])
+        elif len(a):
+            links = np.bincount(np.r_[a, b], minlength=block.num_rows)
+            rows = np.flatnonzero(links)
+            least = _groups(a, b, block.num_rows)[rows]
+            names = block["id"]
+            columns = [names.take(pa.array(rows)), pa.array(links[rows]), names.take(pa.array(least))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "links", "near"])
+
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table])
+        keys = np.stack([table[k].to_numpy().astype(np.int64) for k in ("bucket", "low", "high")])
+        begins = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
+        for first, last in zip(begins[:-1], begins[1:], strict=True):
+            yield from compared(table.slice(first, last - first))
+        held = table.slice(begins[-1])
+    if held is not None:
+        yield from compared(held)
+
+
 def _path_ends(pointers: DataFrame) -> DataFrame:
     """(id, label) from pointers (id, next) to smaller ids: where each path of pointers ends."""
     pointers = staged(pointers, "pointers")
@@ -194,18 +264,6 @@ def components(links: DataFrame) -> DataFrame:
     return classes
 
 
-def joined_classes(classes: DataFrame, links: DataFrame) -> DataFrame:
-    """``classes`` after further links (a, b); their ids are added if new."""
-    name = {end: classes.select(F.col("id").alias(end), F.col("class").alias(f"{end}_class")) for end in "ab"}
-    between = links.select("a", "b").join(name["a"], "a", "left").join(name["b"], "b", "left")
-    between = between.select(F.coalesce("a_class", "a").alias("a"), F.coalesce("b_class", "b").alias("b"))
-    above = components(between.filter("a <> b").distinct()).select(F.col("id").alias("class"), F.col("class").alias("above"))
-    ends = links.select(F.col("a").alias("id")).union(links.select("b"))
-    # A class is never above its ids, so the smaller of the two names is the known one.
-    every = classes.unionByName(ends.select("id", F.col("id").alias("class"))).groupBy("id").agg(F.min("class").alias("class"))
-    return staged(every.join(above, "class", "left").select("id", F.coalesce("above", "class").alias("class")), "classes")
-
-
 def similarity_join(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -213,14 +271,14 @@ def similarity_join(
     ngram: int = NGRAM,
     similarity: float = SIMILARITY,
     recall: float = RECALL,
-    rounds: tuple[int, ...] = ROUNDS,
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(members, links, classes).
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(members, links, degrees, classes).
 
     A text is named by a struct of its smallest id and a hash of its words.
     ``members`` has a row (id, text) per row of ``docs`` that has an id and words.
-    ``links`` has verified pairs of texts (a, b, similarity), a < b, with at least
-    ``similarity``. ``classes`` has (id, class) of the linked texts.
+    ``links`` has all verified pairs of texts (a, b, similarity), a < b, with at least
+    ``similarity``; they grow with the square of a group and are computed when read.
+    ``degrees`` has (id, n_links), ``classes`` (id, class) of the linked texts.
     """
     bands, rows = choose_bands(similarity, recall)
     docs = docs.filter(F.col(id_column).isNotNull()).select(
@@ -236,27 +294,25 @@ def similarity_join(
     reps = staged(reps.select("high", "low", F.struct(F.col("least").alias("id"), F.col("high").alias("text")).alias("text"), "bands"), "texts")
     members = signed.select("id", "high", "low").join(reps.select("high", "low", "text"), ["high", "low"])
     members = staged(members.select("id", "text"), "members")
-    places = reps.select(F.col("text").alias("id"), F.col("text").alias("class"), F.explode("bands").alias("bucket"))
-    pairs = staged(candidate_pairs(places, rounds[0]), "pairs")
-    wanted = pairs.select(F.col("a.id").alias("id")).union(pairs.select(F.col("b.id").alias("id"))).distinct()
+    places = reps.select(F.col("text").alias("id"), F.posexplode("bands").alias("band", "bucket"))
+    dealt = staged(candidate_pairs(places), "pairs")
+    wanted = dealt.select("id").distinct()
     # One plan at every size: the wanted ids grow with the corpus, so they are never broadcast.
-    sets = docs.join(wanted.hint("merge"), "id", "left_semi").mapInArrow(
+    sets = docs.join(wanted.select("id.id").distinct().hint("merge"), "id", "left_semi").mapInArrow(
         functools.partial(_set_rows, ngram=ngram), f"id {kind}, text long, grams array<long>"
     )
-    sets = staged(sets.groupBy(F.struct("id", "text").alias("name")).agg(F.first("grams").alias("grams")), "gram-sets")
-    links = staged(verified(pairs, sets, similarity), "links")
-    classes = components(links)
-    for neighbours in rounds[1:]:
-        places = (
-            reps.select(F.col("text").alias("id"), F.explode("bands").alias("bucket"))
-            .join(classes, "id", "left")
-            .select("id", F.coalesce("class", "id").alias("class"), "bucket")
-        )
-        # Most of these were compared before: only new pairs are verified.
-        more = candidate_pairs(places, neighbours).join(pairs, ["a", "b"], "left_anti")
-        found = staged(verified(more, sets, similarity), "links")
-        links, classes = links.unionByName(found), joined_classes(classes, found)
-    return members, links, classes
+    sets = sets.groupBy(F.struct("id", "text").alias("id")).agg(F.first("grams").alias("grams"))
+    sets = staged(sets.join(reps.select(F.col("text").alias("id"), "bands"), "id"), "gram-sets")
+    keys = ["bucket", "low", "high"]
+    blocks = dealt.join(sets, "id").select("id", *keys, "band", "part", "bands", "grams")
+    blocks = blocks.repartition(*keys).sortWithinPartitions(*keys, "id")
+    name = dealt.schema["id"].dataType.simpleString()
+    compared = functools.partial(_linked_rows, similarity=similarity)
+    links = blocks.mapInArrow(functools.partial(compared, pairs=True), f"a {name}, b {name}, similarity double")
+    found = staged(blocks.mapInArrow(functools.partial(compared, pairs=False), f"id {name}, links long, near {name}"), "links")
+    degrees = found.groupBy("id").agg(F.sum("links").alias("n_links"))
+    classes = components(found.filter("id <> near").select(F.col("near").alias("a"), F.col("id").alias("b")).distinct())
+    return members, links, degrees, classes
 
 
 def similarity_classes(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
@@ -268,11 +324,8 @@ def similarity_classes(docs: DataFrame, id_column: str = "doc_id", **options) ->
     to nothing: their class is their own id, if any. Repeated rows are members of one
     text. An empty table gives an empty result. Other columns are ignored.
     """
-    members, links, found = similarity_join(docs, id_column, **options)
-    ends = links.select(F.col("a").alias("text")).union(links.select(F.col("b").alias("text")))
-    degrees = ends.groupBy("text").agg(F.count(F.lit(1)).alias("n_links"))
-    classes = found.select(F.col("id").alias("text"), "class")
-    known = staged(classes.join(degrees, "text"), "classes")
+    members, _, degrees, found = similarity_join(docs, id_column, **options)
+    known = staged(found.join(degrees, "id").withColumnRenamed("id", "text"), "classes")
     placed = members.join(known, "text", "left").select(
         F.col("id").alias(id_column),
         F.coalesce("class.id", "text.id").alias("class_id"),
