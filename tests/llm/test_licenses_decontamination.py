@@ -132,6 +132,28 @@ def test_planted_items(spark):
     assert {(r.doc_id, r.item_id) for r in found.collect()} == expected(docs, list(enumerate(items)))
 
 
+def test_reordered_items(spark):
+    """Halves swapped, sentences moved, words changed and left out: the item's shingles stand at other places."""
+    rng = random.Random(12)
+    items = [prose(700 + i, 40 + i) for i in range(24)]
+    docs = []
+    for i in range(120):
+        words = items[i % 24].split()
+        cut = len(words) // 2 if i < 24 else rng.randrange(3, len(words) - 3)
+        moved = words[cut:] + words[:cut]
+        if i % 3 == 1:
+            moved[rng.randrange(len(moved))] = "changed"
+        if i % 5 == 2:
+            del moved[rng.randrange(len(moved))]
+        around = prose(i, 60).split()
+        at = rng.randrange(60)
+        docs.append((i, " ".join(around[:at] + moved + around[at:])))
+    found = contaminations(frame(spark, docs), bench(spark, items))
+    wanted = expected(docs, list(enumerate(items)))
+    assert len(wanted) > 40
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == wanted
+
+
 def test_clean_documents(spark, odd_texts):
     item = prose(1, 40)
     docs = frame(spark, odd_texts).withColumn("start", F.lit("mine"))

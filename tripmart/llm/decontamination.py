@@ -1,17 +1,17 @@
 """Benchmark decontamination by SimHash of item-sized windows.
 
-A window of a document is as long as a benchmark item. Only windows that hold
-a word shingle of the benchmark at the place where the item has it are
-fingerprinted: any other window shares nothing with an item, so it could never
-be verified, and leaving it out loses nothing. Fingerprints meet in a multi-index:
+A window of a document is as long as a benchmark item. Only windows in which enough
+word shingles, at whatever places, occur in benchmark items of that length are
+fingerprinted: a window with fewer cannot reach the similarity with any of them,
+so leaving it out loses nothing. Fingerprints meet in a multi-index:
 64 bits in four blocks. Two fingerprints that differ in at most ``radius`` bits
 differ in at most ``radius // 4`` bits of one block at least, and the index holds
 every item under all block values within that distance, so no pair within the
 radius is missed. Candidates are verified exactly: weighted Jaccard similarity of
 their shingles, each weighted by how often it occurs.
 
-Everything is DataFrame code. Documents never leave their task: only hits are
-shuffled.
+Everything is DataFrame code. The places of shared shingles are shuffled first, without
+texts; then only documents that have such windows are cut into them.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tripmart.llm.common import staged
 from tripmart.session import BROADCAST_LIMIT_BYTES
 
 SHINGLE = 5
@@ -119,6 +120,21 @@ def multi_index(items: DataFrame, radius: int) -> DataFrame:
     return masked.withColumn("value", F.col("own").bitwiseXOR(F.col("mask").cast("long"))).drop("mask", "own")
 
 
+def _starts(places: Column, shared: Column, grams: Column, last: Column) -> Column:
+    """Starts up to ``last`` of windows of ``grams`` shingles that hold at least ``shared`` of the sorted ``places``.
+
+    A start belongs to the first place that is not before it, so none is given twice.
+    """
+    def after(i):
+        place = F.get(places, i)
+        low = F.greatest(F.lit(0), F.coalesce(F.get(places, i - 1) + 1, F.lit(0)), F.get(places, i + shared - 1) - grams + 1)
+        high = F.least(place, last)
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    enough = F.size(places) >= shared
+    return F.when(enough, F.flatten(F.transform(F.sequence(F.lit(0), F.size(places) - shared), after))).otherwise(F.array().cast("array<int>"))
+
+
 def contaminations(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -140,13 +156,21 @@ def contaminations(
     ignored.
     """
     items = benchmark_items(benchmark, item_id, item_text, shingle)
-    parts = items.select("n", F.posexplode("shingles").alias("place", "gram"))
+    parts = items.select("n", F.explode("shingles").alias("gram"))
     parts = parts.withColumn("size", F.least(F.lit(shingle), F.col("n")))
-    wanted = parts.groupBy("gram").agg(F.collect_set(F.struct("n", "place")).alias("offsets"))
+    wanted = parts.groupBy("gram").agg(F.collect_set("n").alias("lengths"))
     sizes = [r["size"] for r in parts.select("size").distinct().collect()]
-    grams = wanted.count()
-
-    texts = docs.select(F.col(id_column).alias("_id"), plain_words(F.col(text_column)).alias("_w"))
+    known = wanted.count()
+
+    # A row is named by its id and its text: rows without an id, or of one id, may differ in text.
+    key = ["_k", "_l"]
+    texts = docs.select(
+        F.col(id_column).alias("_id"),
+        F.xxhash64(id_column, text_column).alias("_k"),
+        F.xxhash64(F.lit(1), id_column, text_column).alias("_l"),
+        F.col(text_column).alias("_text"),
+    )
+    worded = texts.select(*key, plain_words(F.col("_text")).alias("_w"))
     hashed = []
     for size in sorted(sizes):
         if size == shingle:
@@ -156,18 +180,25 @@ def contaminations(
                 F.sequence(F.lit(0), F.greatest(F.size("_w") - size, F.lit(0))),
                 _joined(size),
             )
-        hashed.append(texts.filter(F.size("_w") >= size).select("_id", "_w", F.posexplode(values).alias("at", "gram")))
+        hashed.append(worded.filter(F.size("_w") >= size).select(*key, F.size("_w").alias("words"), F.posexplode(values).alias("at", "gram")))
     if not hashed:
-        hashed = [texts.select("_id", "_w", F.lit(0).alias("at"), F.lit(0).cast("long").alias("gram")).limit(0)]
+        hashed = [worded.select(*key, F.size("_w").alias("words"), F.lit(0).alias("at"), F.lit(0).cast("long").alias("gram")).limit(0)]
     positions = reduce(DataFrame.unionByName, hashed)
     # The benchmark's shingles are broadcast only within a checked number; beyond it, both sides are shuffled.
-    lookup = F.broadcast(wanted) if grams <= MAX_FAST_KEYS else wanted
-    hits = positions.join(lookup, "gram").select("_id", "_w", "at", F.inline("offsets"))
-    first = F.least(F.greatest(F.col("at") - F.col("place"), F.lit(0)), F.greatest(F.size("_w") - F.col("n"), F.lit(0)))
+    lookup = F.broadcast(wanted) if known <= MAX_FAST_KEYS else wanted
+    hits = positions.join(lookup, "gram").select(*key, "words", "at", F.explode("lengths").alias("n"))
+    held = hits.groupBy(*key, "words", "n").agg(F.array_sort(F.collect_set("at")).alias("places"))
+    # Shingles of an item and of a window; at the least similarity they share this part of both.
+    whole = F.greatest(F.lit(1), F.col("n") - (shingle - 1))
+    grams = F.least(whole, F.greatest(F.lit(1), F.col("words") - (shingle - 1)))
+    shared = F.greatest(F.lit(1), F.ceil((whole + grams) * F.lit(similarity / (1 + similarity)) - F.lit(1e-9)).cast("int"))
+    last = F.greatest(F.col("words") - F.col("n"), F.lit(0))
+    starts = held.select(*key, "n", _starts(F.col("places"), shared, grams, last).alias("starts")).filter(F.size("starts") > 0)
     windows = (
-        hits.withColumn("start", first)
+        texts.join(staged(starts, "starts"), key)
+        .select("_id", plain_words(F.col("_text")).alias("_w"), "n", "starts")
+        .select("_id", "_w", "n", F.explode("starts").alias("start"))
         .select("_id", "start", "n", F.slice("_w", F.col("start") + 1, F.col("n")).alias("_window"))
-        .dropDuplicates(["_id", "start", "n"])
         .withColumn("_s", window_shingles(F.col("_window"), shingle))
         .withColumn("_f", simhash(F.col("_s")))
     )
