@@ -190,3 +190,11 @@ def test_fingerprint_is_the_majority_of_bits(spark):
     value = spark.range(1).select(simhash(F.array(*[F.lit(v).cast("long") for v in values])).alias("f")).first().f
     bits = [sum(v >> k & 1 for v in values) > len(values) / 2 for k in range(64)]
     assert value & (2**64 - 1) == sum(1 << k for k, b in enumerate(bits) if b)
+
+
+def test_rows_without_id_are_told_apart(spark):
+    """Texts of one id, or of none, whose windows have the same start and length."""
+    items = [prose(900 + i, 30) for i in range(8)]
+    docs = [(None, f"{prose(i, 7)} {item}") for i, item in enumerate(items)] + [(4, f"{prose(i, 9)} {item}") for i, item in enumerate(items)]
+    found = contaminations(frame(spark, docs), bench(spark, items)).collect()
+    assert sorted((r.doc_id or 0, r.item_id, r.start) for r in found) == [(0, i, 7) for i in range(8)] + [(4, i, 9) for i in range(8)]
