@@ -48,6 +48,22 @@ def test_recall(spark, scale):
         assert r.score == pytest.approx(float(x[r.query_id].astype(float) @ x[r.vec_id].astype(float)), abs=1e-12)
 
 
+@pytest.mark.parametrize("norms", ["outlier", "lognormal"])
+def test_recall_if_norms_differ(spark, norms):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(4000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if norms == "outlier":
+        x[1] *= 5
+    else:
+        x *= rng.lognormal(0, 1, (4000, 1))
+    x = x.astype(np.float32)
+    df = table(spark, x).cache()
+    got, wanted = answers(nearest(df, df.filter("vec_id % 20 = 0"))), exact(x, np.arange(0, 4000, 20), 20)
+    hits = sum(len(set(got[q]) & set(w)) for q, w in wanted.items())
+    assert hits >= 0.93 * sum(len(w) for w in wanted.values())
+
+
 def test_all_candidates_if_fewer(spark):
     x = vectors(15)
     df = table(spark, x)

@@ -5,8 +5,10 @@ Hadamard transform) and assigned to the nearest signed axis. Every table has a
 rotation of its own. All rows are in all tables; a query probes its nearest
 axes in each and its candidates are reranked by the exact inner product.
 
-Largest inner product is made nearest angle first: rows are divided by the largest
-norm and get one more coordinate that makes them unit vectors; queries get a zero there.
+Rows and queries are hashed by their directions, so one long row changes no other row's
+bucket. Rows whose norm is rare (fewer than ``FEW_ROWS`` in its octave, counted from the
+largest norm) are compared with every query: among them are the longest rows, which can
+be a query's best at a wide angle.
 
 Candidates of a bucket are compared with its queries as blocks of two matrices. A full
 bucket is divided into blocks of bounded size, so it is searched whole, in several tasks.
@@ -27,6 +29,8 @@ from tripmart.llm.common import staged
 TABLES = 8
 PROBES = 32
 NEAREST = 20
+# Octaves of norms with fewer rows are searched whole.
+FEW_ROWS = 1_024
 BLOCK_ROWS = 16_384
 BLOCK_QUERIES = 1_024
 SEED = 17
@@ -72,25 +76,20 @@ def rotated(unit: np.ndarray, table: int) -> np.ndarray:
     return unit
 
 
-def _units(vectors: np.ndarray, limit: float | None) -> np.ndarray:
-    """Unit vectors, padded to a power of two; ``limit`` is the largest norm, None for queries."""
-    norms = np.sqrt((vectors * vectors).sum(axis=1))
-    width = 1 << int(vectors.shape[1]).bit_length()
-    unit = np.zeros((len(vectors), width))
-    if limit is None:
-        unit[:, : vectors.shape[1]] = vectors / norms[:, None]
-    else:
-        unit[:, : vectors.shape[1]] = vectors / limit
-        unit[:, vectors.shape[1]] = np.sqrt(np.maximum(0.0, 1.0 - (norms / limit) ** 2))
+def _units(vectors: np.ndarray) -> np.ndarray:
+    """Unit vectors, padded to a power of two."""
+    vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    unit = np.zeros((len(vectors), 1 << int(vectors.shape[1]).bit_length()))
+    unit[:, : vectors.shape[1]] = vectors / np.sqrt((vectors * vectors).sum(axis=1))[:, None]
     return unit
 
 
-def _bucket_rows(batches: Iterator[pa.RecordBatch], tables: int, probes: int, limit: float | None) -> Iterator[pa.RecordBatch]:
+def _bucket_rows(batches: Iterator[pa.RecordBatch], tables: int, probes: int) -> Iterator[pa.RecordBatch]:
     """(table, bucket, vec_id, vector): the nearest ``probes`` signed axes in every table."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        unit = _units(_matrix(batch.column(1)), limit)
+        unit = _units(_matrix(batch.column(1)))
         for table in range(tables):
             turned = rotated(unit, table)
             signed = np.concatenate([turned, -turned], axis=1)
@@ -204,15 +203,21 @@ def nearest(
     asked = usable_vectors(queries, id_column, vector_column)
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
     limit = usable.agg(F.max(norm).alias("n")).first()["n"] or 1.0
+    # Norms too small to be told from zero have no logarithm: they are an octave of their own.
+    octave = F.coalesce(F.floor(F.log2(F.lit(limit)) - F.log2(norm)), F.lit(-1))
+    sizes = usable.groupBy(octave.alias("octave")).agg(F.count(F.lit(1)).alias("n"))
+    few = octave.isin([r["octave"] for r in sizes.filter(F.col("n") < FEW_ROWS).collect()])
+    one = F.lit(0).alias("all")
     kind = "table int, bucket int, vec_id long, vector array<double>"
-    index = usable.mapInArrow(functools.partial(_bucket_rows, tables=tables, probes=1, limit=limit), kind)
-    probed = asked.mapInArrow(functools.partial(_bucket_rows, tables=tables, probes=probes, limit=None), kind)
+    index = usable.filter(~few).mapInArrow(functools.partial(_bucket_rows, tables=tables, probes=1), kind)
+    probed = asked.mapInArrow(functools.partial(_bucket_rows, tables=tables, probes=probes), kind)
     found = _in_blocks(probed, index, ["table", "bucket"], k, block_rows, block_queries)
+    rare = usable.filter(few).select(one, "vec_id", "vector")
+    found = found.unionByName(_in_blocks(asked.select(one, "vec_id", "vector"), rare, ["all"], k, block_rows, block_queries))
     best = staged(_best(found, k), "neighbours")
     full = best.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k)
     short = asked.join(full, F.col("vec_id") == F.col("query_id"), "left_anti")
     if not short.isEmpty():
-        one = F.lit(0).alias("all")
         whole = _in_blocks(short.select(one, "vec_id", "vector"), usable.select(one, "vec_id", "vector"), ["all"], k, block_rows, block_queries)
         best = best.join(full, "query_id", "left_semi").unionByName(_best(whole, k))
     return best.select("query_id", "rank", "vec_id", "score")
