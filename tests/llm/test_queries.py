@@ -32,7 +32,7 @@ def duck():
 def test_all_are_registered():
     names = entry_points.queries()
     assert set(QUERIES) | {"pipeline"} <= set(names)
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] and len(corpus_pipeline.STAGES) == 5
 
 
@@ -86,6 +86,19 @@ def test_labelled_quality(spark):
     assert sum(a == b for a, b in unseen) >= 0.9 * len(unseen)
 
 
+@pytest.mark.skipif(not os.path.isdir(LARGER), reason="no test tables")
+def test_labelled_toxicity(spark):
+    """Most documents are ordinary, so both kinds are counted apart."""
+    truth = dict(duckdb.sql(f"SELECT doc_id, toxic FROM '{LARGER}/labels.parquet'").fetchall())
+    rows = QUERIES["op11_toxicity"](spark, LARGER).collect()
+    assert len(rows) == spark.read.parquet(f"{LARGER}/documents.parquet").count()
+    unseen = [(r.predicted, truth[r.doc_id]) for r in rows if r.held_out and r.doc_id in truth]
+    toxic = [p for p, y in unseen if y == 1]
+    ordinary = [p for p, y in unseen if y == 0]
+    assert sum(toxic) >= 0.6 * len(toxic)
+    assert sum(ordinary) <= 0.05 * len(ordinary)
+
+
 def test_pipeline(spark, duck):
     """The stages' decisions, followed by plain code where it can."""
     docs = documents(duck)

@@ -92,3 +92,132 @@ SELECT l.doc_id, CAST(l.n_words AS BIGINT) AS n_words, CAST(coalesce(sum(backed)
 FROM lengths l LEFT JOIN scored s ON l.doc_id = s.doc_id
 GROUP BY l.doc_id, l.n_words
 """
+
+
+def crc32_of(text: str) -> str:
+    """Unsigned crc32 of an ASCII text, bit by bit."""
+    bits = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    codes = f"list_transform(range(1, len({text}) + 1), lambda i: CAST(ascii({text}[i]) AS BIGINT))"
+    return f"xor(list_reduce(list_concat([4294967295], {codes}), lambda c, b: {bits}), 4294967295)"
+
+
+# ---- digest trees: sixteen nodes become one, level by level
+
+
+def _field(value: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({value} AS VARCHAR)) AS VARCHAR) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _levels(name: str, first: str, levels: int) -> tuple[str, str]:
+    """CTEs of all levels over ``first`` (s, i, n, d), and of what stands left and right of each node."""
+    tables = [f"{name}0 AS ({first})"]
+    for k in range(levels):
+        tables.append(
+            f"""{name}{k + 1} AS (
+    SELECT s, i // 16 AS i, (any_value(n) + 15) // 16 AS n,
+           CASE WHEN any_value(n) = 1 THEN any_value(d) ELSE sha256(string_agg(d, '' ORDER BY i)) END AS d
+    FROM {name}{k} GROUP BY s, i // 16)"""
+        )
+    run = "string_agg(d, '') OVER (PARTITION BY s, i // 16 ORDER BY i ROWS BETWEEN"
+    sides = [
+        f"""{name}_sides{k} AS (
+    SELECT s, i, n, coalesce({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+           coalesce({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+    FROM {name}{k})"""
+        for k in range(levels)
+    ]
+    return ", ".join(tables), ", ".join(sides)
+
+
+def _climb(name: str, first: str, tree: str, place: str, levels: int) -> str:
+    """CTEs that carry ``proof`` and ``folded`` of every row up all levels."""
+    steps = []
+    for k in range(levels):
+        before = first if k == 0 else f"{name}_up{k}"
+        steps.append(
+            f"""{name}_up{k + 1} AS (
+    SELECT u.* REPLACE (u.proof || w.l || w.r AS proof,
+                        CASE WHEN w.n > 1 THEN sha256(w.l || u.folded || w.r) ELSE u.folded END AS folded)
+    FROM {before} u JOIN {name}_sides{k} w ON w.s = u.{tree} AND w.i = u.{place} // {16**k})"""
+        )
+    return ", ".join(steps)
+
+
+_ROW_LEVELS, _GROUP_LEVELS = 7, 4  # enough for 268 million rows of a source, and 65,536 sources
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')".format
+_ROW = ("doc_id", "source", "lang", "n_chars", "text")
+_ROW_TREE, _ROW_SIDES = _levels("node", "SELECT s, i, n, leaf AS d FROM placed", _ROW_LEVELS)
+_TOP_TREE, _TOP_SIDES = _levels(
+    "top",
+    "SELECT '' AS s, row_number() OVER (ORDER BY s) - 1 AS i, count(*) OVER () AS n, d "
+    f"FROM node{_ROW_LEVELS}",
+    _GROUP_LEVELS,
+)
+
+ORACLES["op12_merkle_manifest"] = f"""
+WITH digests AS (
+    SELECT doc_id, coalesce('=' || source, '') AS s, sha256({" || ".join(map(_field, _ROW))}) AS leaf,
+           CASE WHEN {crc32_of("CAST(doc_id AS VARCHAR)")} % 5 = 0
+                THEN sha256({" || ".join(_field(_LOWER(c) if c == "text" else c) for c in _ROW)})
+                END AS changed
+    FROM documents),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+           count(*) OVER (PARTITION BY s) AS n
+    FROM digests),
+{_ROW_TREE}, {_ROW_SIDES}, {_TOP_TREE}, {_TOP_SIDES},
+groups AS (SELECT s, d AS subroot, row_number() OVER (ORDER BY s) - 1 AS g, '' AS whole FROM node{_ROW_LEVELS}),
+start AS (
+    SELECT p.*, subroot, g, whole, '' AS proof, coalesce(changed, leaf) AS folded
+    FROM placed p JOIN groups ON groups.s = p.s),
+{_climb("node", "start", "s", "i", _ROW_LEVELS)},
+{_climb("top", f"node_up{_ROW_LEVELS}", "whole", "g", _GROUP_LEVELS)}
+SELECT doc_id, leaf, subroot, d AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = d AS verified
+FROM top_up{_GROUP_LEVELS}, (SELECT d FROM top{_GROUP_LEVELS})
+"""
+
+
+# ---- periodic runs: equal stretches of five words at a distance of one period
+
+ORACLES["op13_periodic_runs"] = f"""
+WITH given AS (
+    SELECT doc_id, {WORDS} AS words, {crc32_of("CAST(doc_id AS VARCHAR)")} AS h FROM documents),
+split AS (SELECT *, len(words) AS n, h // 10 AS g FROM given),
+cut AS (
+    SELECT *, h % 10 = 0 AND n > 0 AS repeats, CASE WHEN n > 0 THEN g % n END AS a,
+           CASE WHEN n > 0 THEN 1 + (n - g % n) // (3 + g % 8) END AS p
+    FROM split),
+docs AS (
+    SELECT doc_id, n, CASE WHEN repeats
+        THEN [words[1 + CASE WHEN k < a THEN k ELSE a + (k - a) % p END] FOR k IN range(n)] ELSE words END AS words
+    FROM cut),
+places AS (
+    SELECT doc_id, n, i, array_to_string(words[i + 1:i + 5], ' ') AS five
+    FROM (SELECT doc_id, n, words, unnest(range(n - 4)) AS i FROM docs WHERE n >= 6)),
+pairs AS (
+    SELECT x.doc_id, x.i, y.i - x.i AS q FROM places x
+    JOIN places y ON x.doc_id = y.doc_id AND x.five = y.five AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+stretches AS (
+    SELECT doc_id, q, min(i) AS start, max(i) - min(i) + 5 + q AS length
+    FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs)
+    GROUP BY doc_id, q, island),
+long AS (SELECT * FROM stretches WHERE length >= greatest(6, 4 * q)),
+runs AS (
+    SELECT doc_id, start, length, q AS period FROM long a
+    WHERE NOT EXISTS (
+        SELECT 1 FROM long b WHERE b.doc_id = a.doc_id AND b.q < a.q
+        AND b.start <= a.start AND b.start + b.length >= a.start + a.length)),
+listed AS (
+    SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS text,
+           arg_max(struct_pack(a := start, b := length, c := period), (length, -start, -period)) AS best
+    FROM runs GROUP BY doc_id),
+dropped AS (
+    SELECT doc_id, list(DISTINCT place) AS places
+    FROM (SELECT doc_id, unnest(range(start + period, start + length)) AS place FROM runs) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, CAST(best.a AS BIGINT) AS start, CAST(best.b AS BIGINT) AS length,
+       CAST(best.c AS BIGINT) AS period, CAST(1000 * best.b // best.c AS BIGINT) AS exponent_milli,
+       sha256(coalesce(l.text, '')) AS runs_sha256,
+       sha256(coalesce(array_to_string(CASE WHEN places IS NULL THEN words
+           ELSE [words[k + 1] FOR k IN range(n) IF NOT list_contains(places, k)] END, ' '), '')) AS collapsed_sha256
+FROM docs d LEFT JOIN listed l ON l.doc_id = d.doc_id LEFT JOIN dropped x ON x.doc_id = d.doc_id
+"""
