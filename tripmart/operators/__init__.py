@@ -12,6 +12,7 @@ from tripmart.operators.aggregates import (
     total,
 )
 from tripmart.operators.dedupe import dedupe_first
+from tripmart.operators.distinct import distinct_rollup, distinct_sketches, united
 from tripmart.operators.filters import (
     between_dates_inclusive,
     dev_sample,
@@ -41,7 +42,9 @@ __all__ = [
     "date_span",
     "dedupe_first",
     "dev_sample",
+    "distinct_rollup",
     "distinct_rows",
+    "distinct_sketches",
     "having_count",
     "head",
     "high_water",
@@ -61,5 +64,6 @@ __all__ = [
     "top_windows",
     "total",
     "union_aligned",
+    "united",
     "unmatched",
 ]

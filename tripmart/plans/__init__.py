@@ -1,5 +1,6 @@
 """Trip models: staging, enriched trips, fact, dimensions and reports."""
 
+from tripmart.plans.current import refresh_distinct, refresh_monthly
 from tripmart.plans.marts import (
     best_zone,
     daily_report,
@@ -28,6 +29,8 @@ __all__ = [
     "int_trips",
     "month_total",
     "monthly_zone_revenue",
+    "refresh_distinct",
+    "refresh_monthly",
     "refresh_report",
     "refresh_staging",
     "run_interval",

@@ -10,12 +10,16 @@ from tripmart.sinks.streams import (
     to_kafka,
     upsert_sink,
 )
+from tripmart.sinks.windows import CorrectedCounts, merge_sessions, session_sink
 
 __all__ = [
+    "CorrectedCounts",
     "append_sink",
     "console_sink",
     "jdbc_sink",
+    "merge_sessions",
     "publish_stream",
+    "session_sink",
     "to_kafka",
     "upsert_sink",
     "write_day",

@@ -2,6 +2,7 @@
 
 from tripmart.streaming.windows import (
     LateRows,
+    deduped,
     late_rows,
     running_count,
     session_count,
@@ -12,6 +13,7 @@ from tripmart.streaming.windows import (
 
 __all__ = [
     "LateRows",
+    "deduped",
     "late_rows",
     "running_count",
     "session_count",

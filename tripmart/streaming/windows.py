@@ -22,6 +22,19 @@ def watermarked(df: DataFrame, delay: str = "5 seconds", time: str = TIME) -> Da
     return df.withWatermark(time, delay)
 
 
+def deduped(df: DataFrame, keys: list[str], delay: str = "1 hour", time: str = TIME) -> DataFrame:
+    """The first row of each key of a stream, as long as its repeats come within ``delay``.
+
+    A key is forgotten once the watermark (the newest event time less ``delay``) has passed its
+    first row by ``delay``, so the state is bounded however long the stream runs. A repeat is dropped
+    if it comes before that, in whatever batch; a later one counts as new, and one that is
+    itself behind the watermark is dropped as late. NULL keys form a group. For a batch use ``dedupe_first``.
+    """
+    if not df.isStreaming:
+        raise ValueError("a batch has no watermark: use dedupe_first")
+    return watermarked(df, delay, time).dropDuplicatesWithinWatermark(keys)
+
+
 class LateRows(StreamingQueryListener):
     """Counts the rows that streams drop as too late, over all their batches.
 

@@ -5,8 +5,11 @@ from tripmart.tables.snapshot import SnapshotTable, create_keyed_table
 from tripmart.tables.strategies import (
     append,
     delete_insert,
+    has_applied,
     merge,
     replace,
+    replace_partitions,
+    swap,
     time_interval,
 )
 
@@ -18,9 +21,12 @@ __all__ = [
     "create_keyed_table",
     "create_table_ddl",
     "delete_insert",
+    "has_applied",
     "merge",
     "register_external",
     "register_views",
     "replace",
+    "replace_partitions",
+    "swap",
     "time_interval",
 ]

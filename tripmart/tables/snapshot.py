@@ -78,9 +78,11 @@ class SnapshotTable:
         names = self._names(f"{self.root}/manifest")
         return sorted(n for n in names if n.endswith(".json") and not n.startswith("."))
 
-    def manifest(self) -> Manifest | None:
-        """The current manifest, ``None`` before the first change."""
+    def manifest(self, version: int | None = None) -> Manifest | None:
+        """The current manifest, or that of a version; ``None`` where there is none (any more)."""
         versions = self._versions()
+        if version is not None:
+            versions = [n for n in versions if n == f"{version:08d}.json"]
         return self._load(versions[-1]) if versions else None
 
     def _load(self, name: str) -> Manifest:

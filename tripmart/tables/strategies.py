@@ -63,6 +63,11 @@ def _applied(old: Manifest | None, batch: tuple[str, int] | None) -> bool:
     return bool(old and batch and old.applied.get(batch[0], -1) >= batch[1])
 
 
+def has_applied(target: SnapshotTable, batch: tuple[str, int] | None) -> bool:
+    """Whether a batch (stream, number) is in the table already."""
+    return _applied(target.manifest(), batch)
+
+
 def replace(target: SnapshotTable, rows: DataFrame) -> None:
     """Drop all rows and insert the new ones (also: full refresh)."""
     old = target.manifest() or Manifest(0, T.StructType(), {})
@@ -202,6 +207,56 @@ def delete_insert(
     _put(target, rows, keys, False, key_fixes_partition, widen, None)
 
 
+def swap(
+    target: SnapshotTable,
+    gone: DataFrame,
+    rows: DataFrame,
+    keys: Sequence[str],
+    batch: tuple[str, int] | None = None,
+) -> None:
+    """Delete the rows whose key occurs in ``gone`` and insert ``rows``, in one step.
+
+    The table's time must be among the keys, so the rows to delete lie in the partitions
+    that ``gone`` falls into; no other partition is opened. Both frames are read more than
+    once: pass stored ones.
+    """
+    if target.time not in keys:
+        raise ValueError(f"the keys must hold the time of the table: {target.time}")
+    old = target.manifest()
+    if _applied(old, batch):
+        return
+    schema = _nullable(rows.schema)
+    old = old or Manifest(0, schema, {}, list(keys))
+    schema = _merged_schema(old.schema, schema, widen=False)
+    named = gone.select(_partition_name(target).alias("p")).distinct().collect()
+    hit = {r["p"] for r in named} & set(old.folders)
+    new = target.write_folder(rows)
+    hit |= {p for p in new if len(old.folders.get(p, [])) > MAX_FOLDERS_PER_PARTITION}
+    kept = {p: f for p, f in old.folders.items() if p not in hit}
+    survivors = target.write_folder(unmatched(target.read(hit), gone, keys)) if hit else {}
+    _next(target, old, _join_folders(kept, survivors, new), schema, batch)
+
+
+def replace_partitions(
+    target: SnapshotTable, rows: DataFrame, partitions: Sequence[str], batch: tuple[str, int] | None = None
+) -> None:
+    """Replace the content of some partitions, named as in the manifest; the others are not opened.
+
+    A partition without new rows becomes empty. New rows of any other partition fail the change.
+    """
+    old = target.manifest()
+    if _applied(old, batch):
+        return
+    schema = _nullable(rows.schema)
+    old = old or Manifest(0, schema, {})
+    schema = _merged_schema(old.schema, schema, widen=False)
+    new = target.write_folder(rows)
+    if stray := sorted(set(new) - set(partitions)):
+        raise ValueError(f"new rows in partitions that are not replaced: {stray}")
+    kept = {p: f for p, f in old.folders.items() if p not in set(partitions)}
+    _next(target, old, _join_folders(kept, new), schema, batch)
+
+
 def _moment(value: str | dt.date | dt.datetime) -> dt.datetime:
     return dt.datetime.fromisoformat(str(value))
 
