@@ -251,7 +251,7 @@ def train(
 
 
 def _score_rows(
-    batches: Iterator[pa.RecordBatch], model: ToxicityModel | None, text_at: int, score_column: str
+    batches: Iterator[pa.RecordBatch], model: ToxicityModel | None, text_at: int, score_column: str, keep_text: bool
 ) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if model is None:
@@ -259,13 +259,18 @@ def _score_rows(
         else:
             texts = (text.as_py() or "" for text in batch.column(text_at))
             score = np.fromiter(model.scores(texts), np.float64, batch.num_rows)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*batch.schema.names, score_column])
+        kept = batch.select([i for i in range(batch.num_columns) if keep_text or i != text_at])
+        yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(score)], names=[*kept.schema.names, score_column])
 
 
 def score_toxicity(
-    docs: DataFrame, model: ToxicityModel | None, text_column: str = "text", score_column: str = "score"
+    docs: DataFrame,
+    model: ToxicityModel | None,
+    text_column: str = "text",
+    score_column: str = "score",
+    keep_text: bool = True,
 ) -> DataFrame:
-    """All rows with the probability that their text is toxic.
+    """All rows with the probability that their text is toxic; without ``keep_text`` the text stays behind.
 
     NULL and empty texts have no windows and take the score of a text in which nothing was
     found. Texts of any length are read whole, a megabyte at a time. Without a model every
@@ -273,8 +278,8 @@ def score_toxicity(
     an empty result. A column of ``docs`` named like the score is replaced; all others stay.
     """
     docs = docs.drop(score_column)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    scorer = functools.partial(
-        _score_rows, model=model, text_at=docs.columns.index(text_column), score_column=score_column
-    )
-    return docs.mapInArrow(scorer, f"{fields}, `{score_column}` double")
+    kept = [f for f in docs.schema.fields if keep_text or f.name != text_column]
+    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept)
+    at = docs.columns.index(text_column)
+    scorer = functools.partial(_score_rows, model=model, text_at=at, score_column=score_column, keep_text=keep_text)
+    return docs.mapInArrow(scorer, f"{fields}`{score_column}` double")
