@@ -107,7 +107,7 @@ def op10_ngram_jaccard(spark, sf_dir):
 def op11_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = train_toxicity(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
-    scored = score_toxicity(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "score")
+    scored = score_toxicity(docs, model, keep_text=False).select("doc_id", held_out("doc_id").alias("held_out"), "score")
     return scored.withColumn("predicted", (F.col("score") >= TOXIC).cast("int"))
 
 
