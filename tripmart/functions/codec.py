@@ -22,7 +22,8 @@ def decode_json(
 ) -> DataFrame:
     """Typed columns of a JSON payload (text or bytes) column.
 
-    A message that is NULL, no JSON object or does not fit the schema fails the query.
+    A message that is NULL, no JSON object or does not fit the schema fails the query (one that
+    reads a decoded column; just counting messages does not decode them).
     With ``on_bad='divert'`` its text goes to the column ``_bad_message`` (NULL
     for a good message; see ``good_messages`` and ``bad_messages``), with
     ``on_bad='null'`` it becomes a row of NULLs.
@@ -35,13 +36,12 @@ def decode_json(
     rows = df.select(parsed.alias("_m"), text.alias("_text"))
     bad = F.when(F.col("_m").isNull() | (F.trim("_text") == ""), F.coalesce("_text", F.lit("NULL"))).otherwise(F.col(f"_m.{BAD}"))
     if on_bad == "fail":
-        stop = F.raise_error(F.concat(F.lit("bad message: "), bad)).cast("string")
-        bad = F.when(bad.isNotNull(), stop)
+        # The error is part of the message itself: a filter on it would be pushed below the
+        # projection and parse the text once more.
+        stop = F.raise_error(F.concat(F.lit("bad message: "), bad)).cast(wide)
+        rows = rows.select(F.when(bad.isNotNull(), stop).otherwise(F.col("_m")).alias("_m"))
     fields = [F.col(f"_m.`{name}`").alias(name) for name in schema.names]
-    if on_bad == "null":
-        return rows.select(*fields)
-    diverted = rows.select(*fields, bad.alias(BAD))
-    return diverted if on_bad == "divert" else diverted.filter(F.col(BAD).isNull()).drop(BAD)
+    return rows.select(*fields, bad.alias(BAD)) if on_bad == "divert" else rows.select(*fields)
 
 
 def good_messages(decoded: DataFrame) -> DataFrame:

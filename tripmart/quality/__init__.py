@@ -16,6 +16,9 @@ from tripmart.quality.checks import (
 )
 from tripmart.quality.contract import enforce_contract
 from tripmart.quality.inspect import (
+    differing_buckets,
+    parity_in_buckets,
+    scanned_partitions,
     describe_table,
     file_stats,
     parity,
@@ -26,6 +29,9 @@ from tripmart.quality.inspect import (
 
 __all__ = [
     "CheckFailed",
+    "differing_buckets",
+    "parity_in_buckets",
+    "scanned_partitions",
     "accepted_values",
     "check_report",
     "custom_check",

@@ -77,3 +77,43 @@ def parity(left: DataFrame, right: DataFrame) -> DataFrame:
     )
     side = F.when(F.col("_surplus") > 0, "left").otherwise("right").alias("only_in")
     return counts.select(*columns, side, F.abs("_surplus").alias("n_rows"))
+
+
+def _fingerprints(df: DataFrame, buckets: int) -> DataFrame:
+    """Rows of each bucket, and two sums of their hashes that do not depend on their order."""
+    rows = df.select(F.xxhash64(*df.columns).alias("_h"), F.xxhash64(F.lit("second"), *df.columns).alias("_g"))
+    sums = [F.sum(F.col(c).cast("decimal(38,0)")).alias(c) for c in ("_h", "_g")]
+    return rows.groupBy(F.pmod("_h", F.lit(buckets)).alias("_bucket")).agg(F.count("*").alias("_n"), *sums)
+
+
+def differing_buckets(left: DataFrame, right: DataFrame, buckets: int = 4096) -> list[int]:
+    """Hash buckets whose rows differ between two results (at most all ``buckets``)."""
+    sides = [_fingerprints(df, buckets) for df in (left, right)]
+    joined = sides[0].alias("l").join(sides[1].alias("r"), "_bucket", "full")
+    equal = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in ("_n", "_h", "_g")]
+    return sorted(r["_bucket"] for r in joined.filter(~(equal[0] & equal[1] & equal[2])).select("_bucket").collect())
+
+
+def parity_in_buckets(left: DataFrame, right: DataFrame, buckets: int = 4096) -> DataFrame:
+    """The rows of ``parity``, for large results that are nearly equal.
+
+    A first pass shuffles one row per task and bucket: the number of rows and the sums of two
+    64-bit hashes. Only rows of buckets that differ are then compared as they are; equal results
+    are not shuffled at all. Both sides need the same types (hashes of an ``int`` and a
+    ``bigint`` differ); maps have no hash.
+    """
+    right = right.select(*left.columns)
+    if left.dtypes != right.dtypes:
+        raise ValueError(f"the types differ: {sorted(set(left.dtypes) ^ set(right.dtypes))}")
+    differing = differing_buckets(left, right, buckets)
+    bucket = F.pmod(F.xxhash64(*left.columns), F.lit(buckets))
+    inside = bucket.isin(differing) if differing else F.lit(False)
+    return parity(left.filter(inside), right.filter(inside))
+
+
+def scanned_partitions(df: DataFrame) -> tuple[int, int]:
+    """Partition folders and files that the scans of a query open, after pruning."""
+    leaves = df._jdf.queryExecution().sparkPlan().collectLeaves()
+    scans = [leaves.apply(i) for i in range(leaves.size())]
+    opened = [s.selectedPartitions() for s in scans if s.getClass().getSimpleName() == "FileSourceScanExec"]
+    return sum(p.partitionCount() for p in opened), sum(p.totalNumberOfFiles() for p in opened)

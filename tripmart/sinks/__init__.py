@@ -1,6 +1,6 @@
 """Writers: files, partitioned layouts, JDBC, streams."""
 
-from tripmart.sinks.files import write_day, write_layout, write_parquet, write_partitioned
+from tripmart.sinks.files import interleaved, write_clustered, write_day, write_layout, write_parquet, write_partitioned
 from tripmart.sinks.jdbc import write_jdbc
 from tripmart.sinks.streams import (
     append_sink,
@@ -16,12 +16,14 @@ __all__ = [
     "CorrectedCounts",
     "append_sink",
     "console_sink",
+    "interleaved",
     "jdbc_sink",
     "merge_sessions",
     "publish_stream",
     "session_sink",
     "to_kafka",
     "upsert_sink",
+    "write_clustered",
     "write_day",
     "write_jdbc",
     "write_layout",

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
@@ -15,6 +16,9 @@ from tripmart.tables import SnapshotTable, append
 
 log = logging.getLogger(__name__)
 
+# Reading a footer is one small job, so many are read at the same time.
+FOOTERS_AT_ONCE = 16
+
 
 def month_range(start: str | dt.date, end: str | dt.date) -> list[str]:
     """The months (``yyyy-mm``) reached by monthly steps from ``start``, before ``end``."""
@@ -39,8 +43,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def _by_schema(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
     """One scan per distinct file schema: months differ in their number types."""
     groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    for path in paths:
-        schema = spark.read.parquet(path).schema
+    with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
+        schemas = list(pool.map(lambda path: spark.read.parquet(path).schema, paths))
+    for path, schema in zip(paths, schemas, strict=True):
         groups.setdefault(schema.json(), (schema, []))[1].append(path)
     return [spark.read.schema(schema).parquet(*files) for schema, files in groups.values()]
 

@@ -17,7 +17,7 @@ import urllib.request
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 FORMAT = "paged_json"
 
@@ -169,6 +169,35 @@ class PagedReader(DataSourceReader):
                 following = link_target(link, "next") if partition.follow else None
 
 
+class PagedStreamReader(DataSourceStreamReader):
+    """Numbered pages as a stream: the offset is the last page that has been read."""
+
+    def __init__(self, schema: T.StructType, options: dict[str, str]):
+        if options.get("mode", "number") != "number":
+            raise ValueError("only numbered pages can be read as a stream")
+        self.pages = PagedReader(schema, options)
+        self.page_size = int(options.get("page_size", "0"))
+
+    def initialOffset(self) -> dict:
+        return {"page": self.pages.base_page - 1}
+
+    def latestOffset(self) -> dict:
+        def is_full(n: int) -> bool:
+            try:
+                return len(self.pages._records(self.pages.url.replace("{page}", str(n)))[0]) >= max(1, self.page_size)
+            except PageMissing:
+                return False
+
+        return {"page": last_page(is_full, self.pages.base_page)}
+
+    def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
+        numbers = range(start["page"] + 1, end["page"] + 1)
+        return self.pages._ranges([self.pages.url.replace("{page}", str(n)) for n in numbers])
+
+    def read(self, partition: UrlRange) -> Iterator[tuple]:
+        return self.pages.read(partition)
+
+
 class PagedJsonSource(DataSource):
     """``format("paged_json")``: options url, mode (number, link, keys), headers, ..."""
 
@@ -179,6 +208,9 @@ class PagedJsonSource(DataSource):
     def reader(self, schema: T.StructType) -> PagedReader:
         return PagedReader(schema, self.options)
 
+    def streamReader(self, schema: T.StructType) -> PagedStreamReader:
+        return PagedStreamReader(schema, self.options)
+
 
 def read_paged(
     spark: SparkSession,
@@ -216,3 +248,32 @@ def read_paged(
         "on_missing": on_missing,
     }
     return spark.read.format(FORMAT).schema(schema).options(**options).load()
+
+
+def stream_paged(
+    spark: SparkSession,
+    url: str,
+    schema: T.StructType | str,
+    base_page: int = 1,
+    page_size: int = 0,
+    headers: dict[str, str] | None = None,
+    pages_per_task: int = 16,
+    records_path: str = "",
+) -> DataFrame:
+    """Records of a paged API as a stream: a run fetches the pages added since the one before.
+
+    The checkpoint of the query keeps the last page read, so a restart asks for no earlier one (but
+    for a few, to find the last page). Pages must not change once they have been read: give
+    ``page_size`` where the last page of the API is still being filled, it is then left until it has so
+    many records. ``url`` holds ``{page}``.
+    """
+    spark.dataSource.register(PagedJsonSource)
+    options = {
+        "url": url,
+        "base_page": str(base_page),
+        "page_size": str(page_size),
+        "headers": json.dumps(headers or {}),
+        "pages_per_task": str(pages_per_task),
+        "records_path": records_path,
+    }
+    return spark.readStream.format(FORMAT).schema(schema).options(**options).load()

@@ -12,12 +12,14 @@ from tripmart.tables.strategies import (
     swap,
     time_interval,
 )
+from tripmart.tables.widening import common_type
 
 __all__ = [
     "SnapshotTable",
     "append",
     "as_table",
     "as_view",
+    "common_type",
     "create_keyed_table",
     "create_table_ddl",
     "delete_insert",

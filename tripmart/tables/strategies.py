@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tripmart.operators.filters import in_interval
 from tripmart.operators.joins import matched, unmatched
 from tripmart.tables.snapshot import NO_TIME, PART, WHOLE, Manifest, SnapshotTable
+from tripmart.tables.widening import common_type
 
 # Types of keys whose smallest and largest new value bound the search.
 BOUNDED = ("byte", "short", "integer", "long", "date", "string")
@@ -28,14 +29,19 @@ def _nullable(schema: T.StructType) -> T.StructType:
 
 
 def _merged_schema(old: T.StructType, new: T.StructType, widen: bool) -> T.StructType:
+    """The table's schema after rows of another one; ``widen`` allows new columns and wider types."""
     known = {f.name: f.dataType for f in old.fields}
-    clashes = [f.name for f in new.fields if f.name in known and known[f.name] != f.dataType]
+    kinds = {f.name: f.dataType for f in new.fields if f.name in known}
+    if widen:
+        kinds = {name: common_type(known[name], kind) for name, kind in kinds.items()}
+    clashes = [name for name, kind in kinds.items() if kind is None or (kind != known[name] and not widen)]
     if clashes:
         raise ValueError(f"columns change their type: {clashes}")
     added = [f for f in new.fields if f.name not in known]
     if added and not widen:
         raise ValueError(f"columns not in the table: {[f.name for f in added]}")
-    return T.StructType([*old.fields, *added])
+    kept = [T.StructField(f.name, kinds.get(f.name, f.dataType), True) for f in old.fields]
+    return T.StructType([*kept, *added])
 
 
 def _join_folders(*parts: dict[str, list[str]]) -> dict[str, list[str]]:
@@ -189,7 +195,8 @@ def merge(
     A key that occurs twice in ``rows`` fails the merge and leaves the table as
     it was. Where the key holds the table's time, only partitions that receive
     rows are searched for it; set ``key_fixes_partition`` where the key is made
-    from the time (a hash of it, say). ``widen`` adds new columns to the table.
+    from the time (a hash of it, say). ``widen`` adds new columns to the table and lets
+    columns grow into wider types (``common_type``); stored files are read as the wider type.
     ``batch`` (stream, number) makes a repeat a no-op.
     """
     keys = keys or target.manifest().keys
