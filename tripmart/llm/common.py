@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import hashlib
 import math
 
 import numpy as np
@@ -20,7 +21,9 @@ SPACE_BYTES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 # Texts are hashed in pieces of about this many bytes, which keeps the arrays in cache.
 PIECE_BYTES = 1 << 20
 
-_BASE = 0x9E3779B97F4A7C15
+# Words longer than this are hashed one by one.
+LONG_WORD = 4096
+
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -121,27 +124,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _byte_values() -> np.ndarray:
-    values = mix(np.arange(1, 257, dtype=np.uint64)) | np.uint64(1)
-    values[list(SPACE_BYTES)] = 0
-    return values
+# The bytes of a 64-bit chunk that belong to a word with so many bytes left.
+_CHUNK = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 class HashTables:
-    """Byte values and powers of the word hash; a task makes them once."""
+    """What tells words from the bytes between them; a task makes it once."""
 
     def __init__(self):
-        self.values = _byte_values()
-        self.up = self.down = np.empty(0, np.uint64)
-
-    def powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, 2 * PIECE_BYTES)
-            self.up, self.down = (
-                np.multiply.accumulate(np.r_[np.uint64(1), np.full(size - 1, base, np.uint64)])
-                for base in (_BASE, pow(_BASE, -1, 1 << 64))
-            )
-        return self.up, self.down
+        self.inside = np.ones(256, bool)
+        self.inside[list(SPACE_BYTES)] = False
 
 
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -167,13 +159,13 @@ def pieces(offsets: np.ndarray, limit: int = PIECE_BYTES):
 def word_hashes(offsets: np.ndarray, data: np.ndarray, first: int, last: int, tables: HashTables):
     """Word hashes of texts ``first`` to ``last``; their rows; their start and end bytes.
 
-    The hash is a polynomial over byte values, taken from one running sum, and
-    scrambled: equal words have equal hashes wherever they stand.
+    A word is scrambled eight bytes at a time, each chunk into the hash of all before it and the
+    word's length. So short words of one length never collide, and longer ones don't for
+    their form, as they would under a polynomial modulo a power of two.
     """
     low, high = int(offsets[first]), int(offsets[last])
     part = data[low:high]
-    values = tables.values[part]
-    inside = values != 0
+    inside = tables.inside[part]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     edges = (offsets[first:last] - low).astype(np.int64)
@@ -188,15 +180,29 @@ def word_hashes(offsets: np.ndarray, data: np.ndarray, first: int, last: int, ta
     cut = edges[edges > 0] - 1
     ends_here[cut] = inside[cut]
     ends = np.flatnonzero(ends_here) + 1
-    up, down = tables.powers(len(part))
-    values *= up[: len(part)]
-    sums = np.cumsum(values)
-    ahead = np.where(starts > 0, sums[np.maximum(starts, 1) - 1], np.uint64(0))
-    hashes = mix((sums[ends - 1] - ahead) * down[starts])
+    hashes = _scrambled(part, starts, ends - starts)
     rows = np.searchsorted(offsets[first : last + 1] - low, starts, side="right") - 1 + first
     return hashes, rows, starts + low, ends + low
 
 
+def _scrambled(part: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Hashes of the words of some bytes."""
+    padded = np.concatenate([part, np.zeros(8, np.uint8)])
+    chunks = np.ndarray((len(part) + 1,), "<u8", padded, strides=(1,))
+    hashes = mix(lengths.astype(np.uint64) + _STEP)
+    hashes = mix(hashes ^ (chunks[starts] & _CHUNK[np.minimum(lengths, 8)]))
+    for word in np.flatnonzero(lengths > LONG_WORD):
+        content = part[starts[word] : starts[word] + lengths[word]].tobytes()
+        hashes[word] = int.from_bytes(hashlib.blake2b(content, digest_size=8).digest(), "little")
+    at, done = np.flatnonzero((lengths > 8) & (lengths <= LONG_WORD)), 8
+    while len(at):
+        more = chunks[starts[at] + done] & _CHUNK[np.minimum(lengths[at] - done, 8)]
+        hashes[at] = mix(hashes[at] * _STEP ^ more)
+        done += 8
+        at = at[lengths[at] > done]
+    return hashes
+
+
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """Hashes of all runs of ``n`` words (row borders are the caller's business)."""
     count = max(0, len(words) - n + 1)
