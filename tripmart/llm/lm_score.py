@@ -2,11 +2,13 @@
 
 Documents are dealt into blocks by hash. A block explodes its texts into n-grams and
 keeps each once with its count, so a frequent n-gram is one entry per block however
-often it occurs. Entries are dealt by n-gram hash: a partition of the count table
+often it occurs. Entries are dealt by ranges of the n-gram hash: a partition of the count table
 sums its n-grams over all blocks and is joined back to the entries it came from. The
 counts return to their blocks, where the terms are summed per document. Entries
 of one block and one table partition travel as one row of arrays. Numbers of blocks and
-partitions follow the size of the corpus, so each fits a task at any size.
+partitions follow the size of the corpus, so each fits a task at any size. Within a block,
+texts are worked on a megabyte at a time; beside that a task holds the block's distinct
+n-grams of one order (of all orders where scores are summed) and their counts.
 
 By default a document's own n-grams don't count for its score. Otherwise no n-gram
 would ever be unseen, and nothing would back off.
@@ -15,6 +17,7 @@ would ever be unseen, and nothing would back off.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +33,11 @@ _ENTRIES = "part long, size int, block long, grams array<long>, counts array<lon
 _COUNTED = "block long, size int, part long, totals array<long>, own long"
 
 
-def _words(texts, tables: HashTables) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of all texts and their rows."""
+def _pieces(texts: pa.Array, tables: HashTables):
+    """Word hashes, their rows, and the range of rows, of the texts a piece at a time."""
     offsets, data = buffers(texts)
-    found = [word_hashes(offsets, data, a, b, tables)[:2] for a, b in pieces(offsets)]
-    if not found:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    return np.concatenate([w for w, _ in found]), np.concatenate([r for _, r in found])
+    for first, last in pieces(offsets):
+        yield *word_hashes(offsets, data, first, last, tables)[:2], first, last
 
 
 def _grams(words: np.ndarray, rows: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -46,106 +47,117 @@ def _grams(words: np.ndarray, rows: np.ndarray, size: int) -> tuple[np.ndarray,
     return gram_hashes(words, size)[inside], inside + size - 1
 
 
-def _entries(grams: np.ndarray, parts: int):
-    """Distinct n-grams in the order (part, hash); place of each n-gram among them; counts; borders of the parts."""
-    distinct, where, counts = np.unique(grams, return_inverse=True, return_counts=True)
-    part = (distinct % np.uint64(parts)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    return distinct[order], place[where], counts[order], np.searchsorted(part[order], np.arange(parts + 1))
-
-
-def _explode(block: pa.Table, order: int, parts: int) -> pa.Table:
-    words, rows = _words(block["text"], HashTables())
-    name = block["block"][0].as_py()
-    found: dict[str, list] = {n: [] for n in ("part", "size", "block", "grams", "counts")}
-    for size in range(1, order + 1):
-        distinct, _, counts, borders = _entries(_grams(words, rows, size)[0], parts)
-        for part in np.flatnonzero(np.diff(borders)):
-            cut = slice(borders[part], borders[part + 1])
-            values = (int(part), size, name, distinct[cut].view(np.int64), counts[cut])
-            for column, value in zip(found.values(), values, strict=True):
-                column.append(value)
-    longs = pa.list_(pa.int64())
+def _merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams in the order of their hash, and counts, from those of several pieces."""
+    if not found:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    distinct, where = np.unique(np.concatenate([g for g, _ in found]), return_inverse=True)
+    return distinct, np.bincount(where, np.concatenate([n for _, n in found])).astype(np.int64)
+
+
+def _distinct(texts: list[pa.Array], order: int) -> list[list[tuple[np.ndarray, np.ndarray]]]:
+    """Per order, the distinct n-grams of each piece with their counts."""
+    tables = HashTables()
+    found: list[list] = [[] for _ in range(order)]
+    for part in texts:
+        for words, rows, _, _ in _pieces(part, tables):
+            for size in range(1, order + 1):
+                found[size - 1].append(np.unique(_grams(words, rows, size)[0], return_counts=True))
+    return found
+
+
+def _borders(distinct: np.ndarray, parts: int) -> np.ndarray:
+    """Where the n-grams of each table partition begin; a partition is a range of hashes."""
+    part = ((distinct >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    return np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
+
+
+def _exploded(block: int, size: int, distinct: np.ndarray, counts: np.ndarray, parts: int) -> pa.RecordBatch:
+    borders = _borders(distinct, parts)
+    part = np.flatnonzero(np.diff(borders))
+    ends = pa.array(np.r_[borders[part], borders[-1:]].astype(np.int32))
+    columns = [
+        pa.array(part),
+        pa.array(np.full(len(part), size, np.int32)),
+        pa.array(np.full(len(part), block, np.int64)),
+        pa.ListArray.from_arrays(ends, pa.array(distinct.view(np.int64))),
+        pa.ListArray.from_arrays(ends, pa.array(counts)),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["part", "size", "block", "grams", "counts"])
+
+
+def _count(part: pa.Table) -> pa.Table:
+    """Sum the counts of each n-gram of one order over the blocks; give every entry its total."""
+    grams = part["grams"].combine_chunks()
+    borders = np.r_[0, np.cumsum(grams.value_lengths().to_numpy())]
+    where = np.unique(grams.flatten().to_numpy(), return_inverse=True)[1]
+    del grams
+    counts = part["counts"].combine_chunks().flatten().to_numpy()
+    totals = np.bincount(where, counts).astype(np.int64)[where]
     return pa.table(
         [
-            pa.array(found["part"], pa.int64()),
-            pa.array(found["size"], pa.int32()),
-            pa.array(found["block"], pa.int64()),
-            pa.array(found["grams"], longs),
-            pa.array(found["counts"], longs),
+            part["block"],
+            part["size"],
+            part["part"],
+            pa.ListArray.from_arrays(pa.array(borders.astype(np.int32)), pa.array(totals)),
+            pa.array(np.add.reduceat(counts, borders[:-1])),
         ],
-        names=list(found),
+        names=["block", "size", "part", "totals", "own"],
     )
 
 
-def _count(part: pa.Table) -> pa.Table:
-    """Sum the counts of each n-gram over the blocks; give every entry its total."""
+def _totals(counted: pa.Table, size: int) -> np.ndarray:
+    """Counts of a block's distinct n-grams of one order, in the order of their hash."""
+    chosen = np.flatnonzero(counted["size"].to_numpy() == size)
+    chosen = chosen[np.argsort(counted["part"].to_numpy()[chosen])]
+    lists = [counted["totals"][int(i)].values.to_numpy() for i in chosen]
+    return np.concatenate(lists) if lists else np.empty(0, np.int64)
+
+
+def _score(
+    block: pa.Table, counted: pa.Table, order: int, total: int, exclude_self: bool, backoff: float, kept: list[str]
+) -> pa.Table:
+    text = block["text"].combine_chunks()
+    known = [(_merged(found)[0], _totals(counted, n)) for n, found in enumerate(_distinct([text], order), 1)]
+    del counted
     results = []
-    sizes = part["size"].to_numpy()
-    for size in np.unique(sizes):
-        chosen = part.filter(pa.array(sizes == size)).combine_chunks()
-        grams = chosen["grams"].combine_chunks()
-        counts = chosen["counts"].combine_chunks().flatten().to_numpy()
-        _, where = np.unique(grams.flatten().to_numpy(), return_inverse=True)
-        totals = np.bincount(where, counts).astype(np.int64)[where]
-        borders = np.r_[0, np.cumsum(grams.value_lengths().to_numpy())]
+    for words, rows, first, last in _pieces(text, HashTables()):
+        n_words = np.bincount(rows - first, minlength=last - first)
+        begins = np.r_[0, np.cumsum(n_words)[:-1]]
+        longest = np.minimum(np.arange(len(words)) - begins[rows - first] + 1, order)
+        others = np.maximum(total - (n_words if exclude_self else 0), 1)
+        others = np.broadcast_to(others, (last - first,))[rows - first]
+        # Nothing seen: as rare as a word seen once in one more word, one step below the unigrams.
+        value = longest * math.log(backoff) - np.log(others + 1.0)
+        used = np.zeros(len(words), np.int64)
+        under = others
+        for size, (distinct, totals) in enumerate(known, 1):
+            grams, ends = _grams(words, rows, size)
+            own, where = np.unique(grams, return_inverse=True)
+            seen = np.zeros(len(words), np.int64)
+            seen[ends] = totals[np.searchsorted(distinct, own)][where]
+            if exclude_self and len(grams):
+                keys = mix(grams + mix(rows[ends].astype(np.uint64)))
+                _, where, often = np.unique(keys, return_inverse=True, return_counts=True)
+                seen[ends] -= often[where]
+            at = np.flatnonzero((seen > 0) & (longest >= size))
+            history = under[at] if size == 1 else under[at - 1]
+            value[at] = np.log(seen[at] / history) + (longest[at] - size) * math.log(backoff)
+            used[at] = size
+            under = seen
+        sums = np.bincount(rows - first, value, minlength=last - first)
+        backed = np.bincount(rows - first, used < longest, minlength=last - first).astype(np.int64)
+        mean = [None if n == 0 else s / n for s, n in zip(sums.tolist(), n_words.tolist(), strict=True)]
+        columns = [block[name].slice(first, last - first) for name in kept]
         results.append(
             pa.table(
-                [
-                    chosen["block"],
-                    chosen["size"],
-                    chosen["part"],
-                    pa.ListArray.from_arrays(pa.array(borders.astype(np.int32)), pa.array(totals)),
-                    pa.array(np.add.reduceat(counts, borders[:-1])),
-                ],
-                names=["block", "size", "part", "totals", "own"],
+                [*columns, pa.array(n_words.astype(np.int64)), pa.array(backed), pa.array(mean, pa.float64())],
+                names=[*kept, "n_words", "n_backoff", "log_score"],
             )
         )
     return pa.concat_tables(results)
 
 
-def _score(
-    block: pa.Table, counted: pa.Table, order: int, parts: int, total: int, exclude_self: bool, backoff: float, kept: list[str]
-) -> pa.Table:
-    words, rows = _words(block["text"], HashTables())
-    texts = block.num_rows
-    n_words = np.bincount(rows, minlength=texts)
-    begins = np.r_[0, np.cumsum(n_words)[:-1]]
-    place = np.arange(len(words)) - begins[rows]
-    counted = counted.sort_by([("size", "ascending"), ("part", "ascending")])
-    sizes = counted["size"].to_numpy()
-    seen = np.zeros((order + 1, len(words)), np.int64)
-    for size in range(1, order + 1):
-        grams, ends = _grams(words, rows, size)
-        totals = counted.filter(pa.array(sizes == size))["totals"].combine_chunks().flatten().to_numpy()
-        _, where, _, _ = _entries(grams, parts)
-        seen[size, ends] = totals[where]
-        if exclude_self and len(grams):
-            _, own, often = np.unique(mix(grams + mix(rows[ends].astype(np.uint64))), return_inverse=True, return_counts=True)
-            seen[size, ends] -= often[own]
-    others = np.maximum(total - (n_words if exclude_self else 0), 1)
-    others = np.broadcast_to(others, (texts,))[rows] if len(rows) else np.empty(0)
-    longest = np.minimum(place + 1, order)
-    # Nothing seen: as rare as a word seen once in one more word, one step below the unigrams.
-    value = longest * math.log(backoff) - np.log(others + 1.0)
-    used = np.zeros(len(words), np.int64)
-    for size in range(1, order + 1):
-        known = np.flatnonzero((seen[size] > 0) & (longest >= size))
-        under = others[known] if size == 1 else seen[size - 1, known - 1]
-        value[known] = np.log(seen[size, known] / under) + (longest[known] - size) * math.log(backoff)
-        used[known] = size
-    sums = np.bincount(rows, value, minlength=texts)
-    backed = np.bincount(rows, used < longest, minlength=texts).astype(np.int64)
-    mean = [None if n == 0 else s / n for s, n in zip(sums.tolist(), n_words.tolist(), strict=True)]
-    columns = [block[name] for name in kept]
-    return pa.table(
-        [*columns, pa.array(n_words.astype(np.int64)), pa.array(backed), pa.array(mean, pa.float64())],
-        names=[*kept, "n_words", "n_backoff", "log_score"],
-    )
-
-
 def score_texts(
     docs: DataFrame,
     text_column: str = "text",
@@ -175,18 +187,25 @@ def score_texts(
     renamed = [F.col(c).alias(f"c{i}") for i, c in enumerate(kept)]
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in kept if _hashable(docs, c)], F.col(text_column)), F.lit(blocks))
     dealt = docs.select(*renamed, F.col(text_column).alias("text"), spread.cast("long").alias("block"))
-    entries = (
-        dealt.select("block", "text")
-        .groupBy("block")
-        .applyInArrow(lambda block: _explode(block, order, blocks), _ENTRIES)
-    )
-    counted = staged(entries.groupBy("part").applyInArrow(lambda part: _count(part), _COUNTED), "counted")
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, block = [], 0
+        for batch in batches:
+            block = batch["block"][0].as_py() if batch.num_rows else block
+            texts.append(batch["text"])
+        for size, found in enumerate(_distinct(texts, order), 1):
+            distinct, counts = _merged(found)
+            found.clear()
+            yield _exploded(block, size, distinct, counts, blocks)
+
+    entries = dealt.select("block", "text").groupBy("block").applyInArrow(explode, _ENTRIES)
+    counted = staged(entries.groupBy("part", "size").applyInArrow(lambda part: _count(part), _COUNTED), "counted")
     total = counted.filter("size = 1").agg(F.sum("own").alias("n")).first()["n"] or 0
     names = [f"c{i}" for i in range(len(kept))]
     fields = "".join(f"{n} {docs.schema[c].dataType.simpleString()}, " for n, c in zip(names, kept, strict=True))
 
     def score(block, counts):
-        return _score(block, counts, order, blocks, total, exclude_self, backoff, names)
+        return _score(block, counts, order, total, exclude_self, backoff, names)
 
     scored = (
         dealt.groupBy("block")
