@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.conftest import frame, prose
 from tripmart.llm.decontamination import RADIUS, clean_documents, contaminations, simhash, weighted_jaccard
-from tripmart.llm.licenses import Template, license_digest, scan_licenses
+from tripmart.llm.licenses import TEMPLATES, Template, license_digest, license_words, scan_licenses, word_weights
 
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
@@ -68,6 +68,55 @@ def test_notices_need_their_mandatory_phrase(spark):
     assert rows[0].score == 1.0 and 0.8 <= rows[2].score < 1.0
 
 
+def plain_places(words, weights):
+    """Every place of every template, by trying all starts."""
+    found = []
+    for t in TEMPLATES:
+        n, total = len(t.words), sum(weights[w] for w in t.words)
+        offsets = [next(i for i in range(n) if t.words[i : i + len(p)] == p) for p in (tuple(p.split()) for p in t.phrases)]
+        for start in range(1 - n, len(words)):
+            there = [0 <= start + p < len(words) and words[start + p] == w for p, w in enumerate(t.words)]
+            share = sum(weights[w] for w, ok in zip(t.words, there) if ok) / total
+            held = all(all(there[o : o + len(p.split())]) for o, p in zip(offsets, t.phrases))
+            if (all(there) if t.share >= 1 else held and share >= t.share):
+                found.append((t.label, start, start + n, round(share, 9)))
+    return sorted(found)
+
+
+def test_no_place_is_missed(spark):
+    """Random edits of every template: words changed, dropped, put in, cut off at either end."""
+    rng = random.Random(12)
+    texts = ["The program code form is subject to the terms of the Mozilla Public License, v. 2.0"]
+    for t in TEMPLATES:
+        for _ in range(14):
+            words = list(t.words)
+            for _ in range(rng.randrange(4)):
+                at = rng.randrange(len(words))
+                change = rng.random()
+                words[at : at + 1] = [rng.choice(["any", "this", "zebra"])] if change < 0.7 else [] if change < 0.85 else [words[at], "extra"]
+                words = words or ["any"]
+            cut = rng.randrange(3)
+            texts.append(" ".join([*rng.choices(["all", "license", "permission", "the"], k=rng.randrange(4)), *words[cut:]]))
+    docs = frame(spark, texts + texts[:3])
+    weights = word_weights(docs.select(license_words(F.col("text")).alias("_words")), TEMPLATES)
+    rows = scan_licenses(docs).collect()
+    for r in rows:
+        found = sorted((p.label, p.start, p.end, round(p.share, 9)) for p in r.places)
+        assert found == plain_places(plain_words(r.text), weights), r.text
+    assert "mpl-2.0" in {p.label for p in rows[0].places}
+    digest = {r.doc_id: r for r in license_digest(scan_licenses(docs)).collect()}
+    for r in rows:
+        assert digest[r.doc_id].labels == ",".join(sorted({p.label for p in r.places}))
+        assert digest[r.doc_id].score == round(max((p.share for p in r.places), default=0.0), 6)
+
+
+def test_places_in_a_long_text(spark):
+    notice = "Licensed under the Apache License, Version 2.0."
+    text = f"{notice} {prose(3, 30_000)} {notice} {prose(4, 30_000)} all rights reserved"
+    row = scan_licenses(frame(spark, [text])).first()
+    assert [(p.label, p.start) for p in row.places] == [("reserved", 60_016), ("apache-2.0", 0), ("apache-2.0", 30_008)]
+
+
 def test_template_with_a_foreign_phrase():
     with pytest.raises(ValueError):
         Template("x", "a b c", ("c a",))

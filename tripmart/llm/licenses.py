@@ -2,7 +2,8 @@
 
 The index holds every template's words with their positions. How rare a word is
 comes from the corpus: document frequencies of all template words are counted
-over all texts. In a document only each template's rarest words are looked up.
+over all texts. In a document only each template's rarest words are looked up, as many as its
+share of words in place asks for, so that no place is missed.
 An occurrence at position i of a word that stands at position p of a template
 proposes the start i - p; proposals of several rare words are intersected by
 this relative position. A start counts when enough of the template's words stand
@@ -91,7 +92,7 @@ NOTICES = (
 )
 TEMPLATES = BASE_TEMPLATES + NOTICES
 
-# Rare words looked up per template, and how many must agree on a start.
+# Rare words looked up per template at least, and how many must agree on a start.
 RARE_WORDS = 3
 AGREEING = 2
 
@@ -115,10 +116,22 @@ def word_weights(words: DataFrame, templates) -> dict[str, float]:
     return {w: math.log((rows + 1) / (seen.get(w, 0) + 1)) + 1.0 for w in vocabulary}
 
 
-def rare_positions(template: Template, weights: dict[str, float], rare: int) -> list[int]:
-    """Positions of the template's words of highest weight, rarest first."""
+def rare_positions(template: Template, weights: dict[str, float], rare: int, agreeing: int) -> list[int]:
+    """Positions of the template's words of highest weight, rarest first: ``rare`` of them, or as many
+    as make sure that no place is missed.
+
+    A place whose share is high enough lacks words of a bounded weight. Once those looked up weigh more than that
+    without their ``agreeing - 1`` heaviest, ``agreeing`` of them stand in every such place.
+    """
     order = sorted(range(len(template.words)), key=lambda p: (-weights[template.words[p]], p))
-    return order[: 1 if template.share >= 1 else rare]
+    if template.share >= 1:
+        return order[:1]
+    heavy = [weights[template.words[p]] for p in order]
+    lacking = (1.0 - template.share) * sum(heavy)
+    count = min(rare, len(order))
+    while count < len(order) and sum(heavy[agreeing - 1 : count]) <= lacking + 1e-9:
+        count += 1
+    return order[:count]
 
 
 def _strings(values) -> Column:
@@ -128,7 +141,7 @@ def _strings(values) -> Column:
 def _starts(template: Template, weights: dict[str, float], rare: int, agreeing: int) -> Column:
     """Array of struct(start, share) of a template's places in ``_words``, by ``_hits``."""
     n = len(template.words)
-    places = rare_positions(template, weights, rare)
+    places = rare_positions(template, weights, rare, agreeing)
 
     def proposals(position: int) -> Column:
         same = F.filter("_hits", lambda h: h["word"] == F.lit(template.words[position]))
@@ -192,14 +205,16 @@ def scan_licenses(
     """All rows with ``n_words`` and ``places``: array of (label, base, start, end, share).
 
     ``start`` and ``end`` count words from 0; places are in the order of templates,
-    then of occurrence. A NULL or empty text has no words and no places. Repeated rows
-    are scanned one by one. An empty table gives an empty result. Columns of
+    then of occurrence. Every place is found whose words in place weigh at least the template's share
+    and that holds its mandatory phrases; it may begin before the text or end after it. A NULL or empty
+    text has no words and no places; a very long one is one array of words in its task. Repeated rows
+    are scanned one by one, ties (several templates at one place) are all listed. An empty table gives an empty result. Columns of
     ``docs`` named like a result are replaced.
     """
     docs = docs.drop("n_words", "places")
     worded = docs.withColumn("_words", license_words(F.col(text_column)))
     weights = word_weights(worded.select("_words"), templates)
-    looked_up = sorted({t.words[p] for t in templates for p in rare_positions(t, weights, rare)})
+    looked_up = sorted({t.words[p] for t in templates for p in rare_positions(t, weights, rare, agreeing)})
     at = F.transform("_words", lambda w, i: F.when(w.isin(looked_up), F.struct(w.alias("word"), i.alias("at"))))
     hit = worded.withColumn("_hits", F.filter(at, lambda h: h.isNotNull()))
     found = [_places(template, _starts(template, weights, rare, agreeing)) for template in templates]
