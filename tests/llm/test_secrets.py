@@ -6,7 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import frame, prose
-from tripmart.llm.secrets import RUN, candidates, redact, scan_secrets
+from tripmart.llm.secrets import RUN, candidates, redact, rule_labels, scan_secrets, train, with_features
 
 
 def hexes(rng, n):
@@ -80,3 +80,24 @@ def test_redact(spark):
     clean = {r.doc_id: r.text for r in redact(docs).collect()}
     assert len(clean) == 32 and clean[30] is None and clean[31] == ""
     assert all(("[secret]" in clean[i]) == bool(y) for i, (_, y) in enumerate(rows))
+
+
+def test_copies_do_not_fill_the_sample(spark):
+    """A group of copies larger than the sample counts as one finding; each label has its half."""
+    rows = findings(6, 60)
+    copies = [rows[0][0]] * 300 + [rows[3][0]] * 300
+    found = with_features(candidates(frame(spark, copies + [t for t, _ in rows])), [])
+    model = train(rule_labels(found), train_rows=40)
+    scored = {r.id - 600: r.prediction for r in model.transform(found).collect() if r.id >= 600}
+    assert sum(scored[i] == y for i, (_, y) in enumerate(rows)) >= 57
+    assert train(rule_labels(found.filter("id < 300")), train_rows=40) is None
+
+
+def test_a_secret_twice_in_a_text_and_in_repeated_rows(spark):
+    text = f"token = {'a1' * 12} and token = {'a1' * 12} again"
+    rows = candidates(frame(spark, [(1, text), (1, text), (2, text)])).collect()
+    assert sorted((r.id, r.word_at) for r in rows) == [(1, 2), (1, 2), (1, 6), (1, 6), (2, 2), (2, 6)]
+    given = findings(7)
+    docs = frame(spark, [t for t, _ in given] + [text, text])
+    scores = {(r.doc_id, r.word_at): r.score for r in scan_secrets(docs).collect()}
+    assert scores[120, 2] == scores[121, 2] and scores[120, 6] == scores[121, 6]

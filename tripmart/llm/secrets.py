@@ -3,7 +3,7 @@
 A candidate is a long run of token characters inside a word. Features are its
 length, its character transitions, how much of it the corpus's frequent words
 cover, the path it stands in and the words around it. The forest is trained from
-labelled findings: rows of candidates with a label, at most ``train_rows`` of them. Where
+labelled findings: rows of candidates with a label, at most ``train_rows`` different ones. Where
 no labelled findings are given, ``rule_labels`` labels those candidates whose kind
 is certain from outside the features: issued key formats and assignments on one side,
 card numbers, phone numbers and plain words on the other.
@@ -130,12 +130,20 @@ def rule_labels(found: DataFrame) -> DataFrame:
 
 
 def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS, trees: int = TREES, depth: int = DEPTH) -> PipelineModel | None:
-    """A forest from at most ``train_rows`` labelled findings (the smallest hashes); None without both labels."""
-    order = [F.xxhash64("candidate", "before", "after"), "candidate", "before", "after"]
-    sample = staged(labelled.select(*FEATURES, "label", *["candidate", "before", "after"]).orderBy(*order).limit(train_rows), "findings")
+    """A forest from at most ``train_rows`` labelled findings, half of them of either label; None without both.
+
+    Equal findings count once, so a group of copies does not fill the sample. Of each label those with the
+    smallest hashes are taken, ties in the order of their texts. A finding with both labels is left out.
+    """
+    by = ["candidate", "before", "after"]
+    kinds = labelled.groupBy(*FEATURES, *by).agg(F.min("label").alias("label"), F.max("label").alias("_other"))
+    distinct = staged(kinds.filter(F.col("label") == F.col("_other")).drop("_other"), "labelled")
+    order = [F.xxhash64(*by), *by, *FEATURES]
+    halves = [distinct.filter(F.col("label") == label).orderBy(*order).limit(train_rows // 2) for label in (0.0, 1.0)]
+    sample = staged(halves[0].unionByName(halves[1]), "findings")
     if len(sample.select("label").distinct().limit(2).collect()) < 2:
         return None
-    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(sample.coalesce(1))
+    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(sample.coalesce(1).sortWithinPartitions(*order))
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=7, featureSubsetStrategy="sqrt")
     return PipelineModel([VectorAssembler(inputCols=FEATURES, outputCol="features"), forest.fit(vectors)])
 
