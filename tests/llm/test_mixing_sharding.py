@@ -58,6 +58,32 @@ def test_taken_words(spark, rows_per_slice):
     assert all(taken[s] == int(wanted[s] + 1e-6) for s in sizes)
 
 
+def test_taken_is_the_cut_of_all_finish_times(spark):
+    """Every token with its finish time, all sources sorted together and cut at the budget."""
+    docs = spread(spark)
+    rows = fair_queue(docs).collect()
+    queues = defaultdict(list)
+    for n, r in enumerate(rows):
+        crc = zlib.crc32((r.text or "").encode())
+        key = int(hashlib.md5((str(r.doc_id) if r.doc_id is not None else f"crc {crc}").encode()).hexdigest()[:15], 16)
+        queues[r.source].append((key, r.doc_id is not None, r.doc_id or 0, crc, n, r.size, r.target))
+    finish = []
+    for source, queue in queues.items():
+        ahead = 0
+        for *_, n, size, target in sorted(queue) * 2:
+            finish += [((ahead + k + 1) / target, n) for k in range(size)]
+            ahead += size
+    finish.sort(key=lambda f: f[0])
+    budget = 1.5 * sum(r.size for r in rows)
+    by_budget = Counter(n for _, n in finish[: int(budget)])
+    for source, queue in queues.items():
+        numbers = [q[4] for q in queue]
+        # The cut may give each source the token that crosses its target.
+        assert 0 <= sum(by_budget[n] for n in numbers) - sum(rows[n].taken for n in numbers) <= 1
+    until_one = Counter(n for time, n in finish if time <= 1 + 1e-12)
+    assert {n: r.taken for n, r in enumerate(rows) if r.taken} == dict(until_one)
+
+
 def test_queue_order_is_the_order_of_hashes(spark):
     rows = fair_queue(frame(spark, [prose(i, 10) for i in range(30)], ["b", "a"]), rows_per_slice=3).collect()
     ahead = defaultdict(int)

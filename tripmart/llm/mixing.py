@@ -1,11 +1,15 @@
 """Mixing sources to target weights by weighted fair queueing.
 
 Each source is a queue of its documents in shuffled order, gone through again
-while its target asks for more. A document's virtual finish time is the number of
-its source's tokens up to its end, divided by the source's target. The mix is the
-order of finish times over all sources, cut off at the total budget. As the
-targets add up to the budget, every source reaches its target at time 1, and that
-is where the cut falls.
+while its target asks for more. What is queued is the single token: its virtual finish
+time is the number of its source's tokens up to and with it, divided by the source's target.
+The mix is the order of finish times over all sources, cut off at the total budget.
+
+The targets add up to the budget, so the cut falls at time 1 up to a token a source: of a source with
+target t, exactly the first floor(t) tokens finish by then. How many of a document's tokens these
+are follows from the tokens ahead of it, a running total per source, without sorting
+single tokens; ``taken`` is that number. (Cutting the order of whole documents instead would miss
+a target by up to the longest document.) ``mixed`` sorts the whole documents by start time over all sources.
 """
 
 from __future__ import annotations
