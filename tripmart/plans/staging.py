@@ -10,6 +10,7 @@ from tripmart.functions import safe_cast, safe_int, strict_cast
 from tripmart.operators.filters import require_not_null
 from tripmart.schemas import INGESTED, MONEY
 
+# The money columns of a trip feed.
 MONEY_COLUMNS = [
     "fare_amount",
     "extra",
@@ -78,6 +79,7 @@ def conform_fhv(df: DataFrame) -> DataFrame:
 
 
 # Header names of the raw files and the names they get on ingestion.
+# Names of the ingested columns for those of the feeds.
 INGEST_RENAMES = {
     "VendorID": "vendor_id",
     "RatecodeID": "ratecode_id",

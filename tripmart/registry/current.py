@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tripmart.functions import encode_json, month_start
+from tripmart.functions import encode_json, format_ride, month_start
 from tripmart.operators import distinct_rollup as rollup
 from tripmart.plans import build_fact, fact_rows, refresh_distinct, refresh_monthly
 from tripmart.registry import feeds
@@ -15,7 +13,7 @@ from tripmart.registry.batch import _MONTHLY_CTE, _rounded_means
 from tripmart.registry.events import _SESSIONS, MICROS, PAYLOAD
 from tripmart.registry.feeds import plain, table
 from tripmart.session import work_folder
-from tripmart.sinks import CorrectedCounts, append_sink, session_sink
+from tripmart.sinks import CorrectedCounts, append_sink, memory_sink, session_sink
 from tripmart.sources import read_trip_stream, trip_events
 from tripmart.streaming import deduped
 from tripmart.tables import SnapshotTable, append, merge
@@ -182,3 +180,19 @@ def stream_deduped(spark, sf):
     )
     found = stored.groupBy("sent").agg(F.count("*").alias("n_kept"))
     return sent.join(found, "sent", "left").select("sent", "n_sent", F.coalesce("n_kept", F.lit(0)).cast("bigint").alias("n_kept"))
+
+
+@query("SELECT least(count(*), 10) AS n_lines, least(count(*), 10) AS n_known FROM events")
+def displayed_lines(spark, sf):
+    # The first ten decoded messages as lines; which ones is open, each must be the line of an event.
+    given = _Deliveries(spark, sf, "displayed")
+    given.add(given.events)
+
+    def lines(df: DataFrame) -> DataFrame:
+        return df.select(format_ride("user_id", "event_type", "value", "value", "at").alias("line"))
+
+    name = f"lines_{work_folder(spark, 'l')[-32:]}"
+    memory_sink(lines(given.stream()), name).awaitTermination()
+    known = lines(given.events).distinct().withColumn("known", F.lit(True))
+    shown = spark.table(name).join(known, "line", "left")
+    return shown.agg(F.count("*").alias("n_lines"), F.count("known").alias("n_known"))

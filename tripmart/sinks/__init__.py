@@ -6,6 +6,7 @@ from tripmart.sinks.streams import (
     append_sink,
     console_sink,
     jdbc_sink,
+    memory_sink,
     publish_stream,
     to_kafka,
     upsert_sink,
@@ -18,6 +19,7 @@ __all__ = [
     "console_sink",
     "interleaved",
     "jdbc_sink",
+    "memory_sink",
     "merge_sessions",
     "publish_stream",
     "session_sink",

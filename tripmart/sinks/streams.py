@@ -92,6 +92,15 @@ def console_sink(df: DataFrame, n: int = 10) -> StreamingQuery:
     )
 
 
+def memory_sink(df: DataFrame, name: str, n: int = 10) -> StreamingQuery:
+    """Keep the first ``n`` rows of a stream in a table of the driver, to be looked at as ``spark.table(name)``.
+
+    Ends when the input present is read. The driver holds ``n`` rows, whatever the stream brings.
+    """
+    writer = df.limit(n).writeStream.format("memory").queryName(name)
+    return writer.trigger(availableNow=True).start()
+
+
 def _topic(servers: str, topic: str, more: Mapping[str, str] | None) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "topic": topic, **(more or {})}
 
