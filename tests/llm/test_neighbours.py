@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tripmart.llm.neighbours import _hadamard, nearest
+from tripmart.llm import neighbours
+from tripmart.llm.neighbours import _hadamard, choose_probes, nearest, octave_classes, padded_size, rotations_per_key
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -64,10 +65,59 @@ def test_recall_if_norms_differ(spark, norms):
     assert hits >= 0.93 * sum(len(w) for w in wanted.values())
 
 
+def random_units(n, d=64, seed=8):
+    x = np.random.default_rng(seed).normal(size=(n, d))
+    return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+
+
+def candidate_share(monkeypatch, tmp_path):
+    """Counts the pairs that the blocks compare, in files that every worker can append to."""
+    compared = neighbours.nearest_in_block
+
+    def counted(queries, rows, k):
+        with open(tmp_path / "pairs", "a") as file:
+            file.write(f"{queries.num_rows * rows.num_rows}\n")
+        return compared(queries, rows, k)
+
+    monkeypatch.setattr(neighbours, "nearest_in_block", counted)
+    return lambda: sum(map(int, (tmp_path / "pairs").read_text().split()))
+
+
+@pytest.mark.parametrize(("n", "bucket_rows", "most"), [(500, 16_384, 1.6), (20_000, 16_384, 0.75), (3_000, 4, 0.6)])
+def test_every_table_is_searched_by_its_index(spark, monkeypatch, tmp_path, n, bucket_rows, most):
+    """Random directions, the hardest case, from the smallest table on; ``most``: pairs compared, repeats in several tables included."""
+    x = random_units(n)
+    df = table(spark, x).cache()
+    asked = np.arange(0, n, max(20, n // 40))
+    pairs = candidate_share(monkeypatch, tmp_path)
+    got = answers(nearest(df, df.filter(F.col("vec_id").isin(asked.tolist())), bucket_rows=bucket_rows))
+    wanted = exact(x, asked, 20)
+    hits = sum(len(set(got[q]) & set(w)) for q, w in wanted.items())
+    assert hits >= 0.9 * sum(len(w) for w in wanted.values())
+    assert 0 < pairs() <= most * n * len(asked)
+
+
+def test_probes_follow_the_number_of_rows():
+    numbers = [choose_probes(n, 20, 64, 8) for n in (200, 2_000, 50_000, 10**6, 10**9)]
+    assert numbers == sorted(numbers, reverse=True) and numbers[0] > 4 * numbers[-1]
+    assert choose_probes(50_000, 20, 64, 8, recall=0.99) > choose_probes(50_000, 20, 64, 8, recall=0.9)
+    # With keys of two rotations a large table compares a small share of its rows.
+    assert 1 - (1 - choose_probes(10**8, 20, 64, 8, 2) / 128**2) ** 8 < 0.05
+    assert [rotations_per_key(n, 128) for n in (0, 10**6, 10**7, 10**9, 10**12)] == [1, 1, 2, 3, 3]
+    assert [padded_size(n) for n in (1, 2, 3, 64, 65)] == [1, 2, 4, 64, 128]
+
+
+def test_octaves_that_are_searched_whole():
+    assert octave_classes({}) == (set(), 0)
+    assert octave_classes({0: 500}) == (set(), 2)
+    assert octave_classes({0: 1, 3: 900, 4: 5_000, 5: 10}) == ({0, 3}, 6)
+    assert octave_classes({0: 1, 3: 1_500, 4: 5_000}) == ({0}, 6)
+
+
 def test_all_candidates_if_fewer(spark):
     x = vectors(15)
     df = table(spark, x)
-    got = answers(nearest(df, df.filter("vec_id % 5 = 0"), tables=1, probes=1))
+    got = answers(nearest(df, df.filter("vec_id % 5 = 0"), tables=1, recall=0.1))
     assert got == exact(x, np.arange(0, 15, 5), 20)
 
 
