@@ -78,8 +78,7 @@ def conform_fhv(df: DataFrame) -> DataFrame:
     )
 
 
-# Header names of the raw files and the names they get on ingestion.
-# Names of the ingested columns for those of the feeds.
+# Header names of the raw files and the names they get on ingestion.
 INGEST_RENAMES = {
     "VendorID": "vendor_id",
     "RatecodeID": "ratecode_id",
