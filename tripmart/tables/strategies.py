@@ -10,6 +10,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import replace as changed
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -105,12 +107,6 @@ def append(
         _next(target, old, _join_folders(kept, packed, new), schema, batch)
 
 
-def _require_unique(rows: DataFrame, keys: Sequence[str]) -> None:
-    has_key = rows.select(*keys).dropna()
-    if not has_key.groupBy(*keys).count().filter("count > 1").isEmpty():
-        raise ValueError(f"merge source holds a key more than once: {list(keys)}")
-
-
 def _partition_name(target: SnapshotTable):
     if not target.time:
         return F.lit(WHOLE)
@@ -118,16 +114,26 @@ def _partition_name(target: SnapshotTable):
     return F.coalesce(F.concat(F.lit(f"{PART}="), start), F.lit(NO_TIME))
 
 
-def _within_bounds(staged: DataFrame, keys: Sequence[str]):
-    """A condition that every row with a key of ``staged`` meets, as constants."""
+def _within_bounds(staged: DataFrame, keys: Sequence[str], unique: bool = False):
+    """A condition that every row with a key of ``staged`` meets, as constants.
+
+    The same pass over the keys finds a key that occurs more than once, which is an error if they
+    are to be ``unique`` (keys with a NULL are never equal).
+    """
     plain = [k for k in keys if staged.schema[k].dataType.typeName() in BOUNDED]
-    if not plain:
-        return F.lit(True)
+    found = staged
+    times = F.lit(1)
+    if unique:
+        found = staged.groupBy(*keys).agg(F.count("*").alias("_times"))
+        whole = reduce(and_, [F.col(k).isNotNull() for k in keys])
+        times = F.when(whole, F.col("_times"))
     bounds = [f(k) for k in plain for f in (F.min, F.max)]
-    row = staged.agg(*[b.alias(f"b{i}") for i, b in enumerate(bounds)]).first()
+    row = found.agg(F.max(times).alias("times"), *[b.alias(f"b{i}") for i, b in enumerate(bounds)]).first()
+    if unique and (row["times"] or 0) > 1:
+        raise ValueError(f"merge source holds a key more than once: {list(keys)}")
     condition = F.lit(True)
     for i, k in enumerate(plain):
-        low, high = row[2 * i], row[2 * i + 1]
+        low, high = row[f"b{2 * i}"], row[f"b{2 * i + 1}"]
         if low is not None:
             kind = staged.schema[k].dataType
             condition &= F.col(k).between(F.lit(low).cast(kind), F.lit(high).cast(kind))
@@ -155,12 +161,10 @@ def _put(
             _next(target, old, old.folders, schema, batch)
         return
     staged = target.read_folders([f for fs in new.values() for f in fs], _nullable(rows.schema))
-    if unique:
-        _require_unique(staged, keys)
-
     # With the time in the key, or a key made from it, equal keys share a partition.
     fixed = key_fixes_partition or target.time in keys
     candidates = [p for p in old.folders if p in new or not fixed]
+    bounds = _within_bounds(staged, keys, unique) if unique or (candidates and not fixed) else None
     hit: set[str] = set()
     if candidates and not unique:
         # One row per key, written so that the joins below have no aggregate in
@@ -173,7 +177,7 @@ def _put(
         stored = target.read(candidates).select(*columns)
         if not fixed:
             # Row groups whose keys lie outside the new ones are skipped by their statistics.
-            stored = stored.filter(_within_bounds(staged, keys))
+            stored = stored.filter(bounds)
         found = matched(stored, staged, keys)
         hit = {r["p"] for r in found.select(_partition_name(target).alias("p")).distinct().collect()}
         hit |= {p for p in candidates if p in new and len(old.folders[p]) > MAX_FOLDERS_PER_PARTITION}
