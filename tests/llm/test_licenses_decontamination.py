@@ -203,6 +203,13 @@ def test_reordered_items(spark):
     assert {(r.doc_id, r.item_id) for r in found.collect()} == wanted
 
 
+def test_an_item_in_a_very_long_text(spark):
+    items = [prose(900, 40), prose(901, 25)]
+    long = f"{prose(3, 40_000)} {items[0]} {prose(4, 40_000)}"
+    found = contaminations(frame(spark, [long, long]), bench(spark, items)).collect()
+    assert sorted((r.doc_id, r.item_id, r.start, r.similarity) for r in found) == [(0, 0, 40_000, 1.0), (1, 0, 40_000, 1.0)]
+
+
 def test_clean_documents(spark, odd_texts):
     item = prose(1, 40)
     docs = frame(spark, odd_texts).withColumn("start", F.lit("mine"))

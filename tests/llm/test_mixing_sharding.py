@@ -121,6 +121,51 @@ def test_shards_are_balanced_and_gapless(spark, odd_texts, rows_per_slice):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+def plain_shards(rows, shards, tokens, cells):
+    """(shard, slot, home) of every row: a ring, bounds, and rows that walk on one by one."""
+    def key(row):
+        crc = zlib.crc32((row[1] or "").encode())
+        name = str(row[0]) if row[0] is not None else f"crc {crc}"
+        return int(hashlib.md5(name.encode()).hexdigest()[:15], 16), row[0] is not None, row[0] or 0, crc
+
+    owners = {}
+    for shard in range(shards):
+        for token in range(tokens):
+            cell = zlib.crc32(f"shard {shard} token {token}".encode()) % cells
+            while cell in owners:
+                cell = (cell + 1) % cells
+            owners[cell] = shard
+    clockwise = sorted(owners)
+    room = [len(rows) // shards + (s < len(rows) % shards) for s in range(shards)]
+    used, found, waiting = [0] * shards, [], []
+
+    def put(row, shard, home):
+        found.append((row, shard, used[shard], home))
+        used[shard] += 1
+
+    for row in sorted(rows, key=key):
+        cell = (key(row)[0] >> 30) * cells >> 30
+        at = next((i for i, c in enumerate(clockwise) if c >= cell), 0)
+        home = owners[clockwise[at]]
+        if used[home] < room[home]:
+            put(row, home, home)
+        else:
+            waiting.append((row, at, home))
+    for row, at, home in waiting:
+        while used[owners[clockwise[at]]] >= room[owners[clockwise[at]]]:
+            at = (at + 1) % len(clockwise)
+        put(row, owners[clockwise[at]], home)
+    return found
+
+
+@pytest.mark.parametrize(("shards", "tokens", "cells"), [(16, 64, 4096), (5, 3, 64), (3, 1, 8)])
+def test_shards_equal_a_plain_placement(spark, odd_texts, shards, tokens, cells):
+    docs = frame(spark, odd_texts + [(i, f"t{i}") for i in range(100, 400)])
+    rows = shard_rows(docs, shards, tokens=tokens, cells=cells, rows_per_slice=7).collect()
+    wanted = plain_shards([(r.doc_id, r.text) for r in docs.collect()], shards, tokens, cells)
+    assert Counter(((r.doc_id, r.text), r.shard, r.slot, r.home_shard) for r in rows) == Counter(wanted)
+
+
 def test_rows_with_room_stay_at_home(spark):
     docs = frame(spark, [f"t{i}" for i in range(800)])
     rows = shard_rows(docs, 8).collect()

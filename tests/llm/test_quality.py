@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.conftest import frame, prose
 from tripmart.llm.common import HashTables
-from tripmart.llm.quality import NAMES, Chains, good_documents, held_out, line_features, score_documents, train, weighted_share
+from tripmart.llm.quality import CLIP, NAMES, NEIGHBOUR, Chains, good_documents, held_out, line_features, score_documents, train, weighted_share
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -84,6 +84,40 @@ def test_unseen_documents_and_held_out_rows(spark):
     assert sum((found[i] >= 0.3) == bool(truth[i]) for i in range(200)) >= 196
 
 
+def plain_score(model, text):
+    """The score of one document, by hand: features of neighbours, all labellings of its lines, weighting, calibration."""
+    data = text.encode()
+    _, length, features = line_features(np.array([0, len(data)]), np.frombuffer(data, np.uint8), 0, 1, HashTables())
+    scaled = np.clip((features - model.mean) / model.spread, -CLIP, CLIP)
+    lines = len(scaled)
+    good = []
+    for i in range(lines):
+        inputs = list(scaled[i])
+        for j in (i - 1, i + 1):
+            there = 0 <= j < lines
+            inputs += [scaled[j][NAMES.index(n)] if there else 0.0 for n in NEIGHBOUR] + [0.0 if there else 1.0]
+        good.append(float(np.dot([*inputs, 1.0], model.weights)))
+    total, mass = 0.0, np.zeros(lines)
+    for states in itertools.product((0, 1), repeat=lines):
+        weight = np.exp(sum(g for g, s in zip(good, states) if s) + sum(model.moves[a, b] for a, b in itertools.pairwise(states)))
+        total += weight
+        mass += weight * np.array(states)
+    share = np.clip((mass / total * (length + 1)).sum() / (length + 1).sum(), 1e-4, 1 - 1e-4)
+    return 1 / (1 + np.exp(-(model.slope * np.log(share / (1 - share)) + model.shift)))
+
+
+def test_scores_equal_a_plain_computation(spark):
+    texts, labels = corpus(160, 5)
+    model = train(frame(spark, texts), spark.createDataFrame([(i, q, 0) for i, q in enumerate(labels)], LABELS))
+    asked = [*corpus(40, 6)[0], "", "\n\n", "one line", "é!! | x\n\nB C"]
+    found = {r.doc_id: r.score for r in score_documents(frame(spark, asked), model).collect()}
+    for i, text in enumerate(asked):
+        assert found[i] == pytest.approx(plain_score(model, text), rel=1e-6, abs=1e-9)
+    many = frame(spark, ["short line\n" * 200_000 + "x", "short line\n" * 200_000 + "x"])
+    scores = {r.score for r in score_documents(many, model).collect()}
+    assert len(scores) == 1 and 0 <= scores.pop() <= 1
+
+
 def test_odd_rows(spark, odd_texts):
     texts, labels = corpus(100, 3)
     table = spark.createDataFrame([(i, q, 0) for i, q in enumerate(labels)] + [(None, 1, 0), (3, None, 0), (3, 1, 0)], LABELS)

@@ -84,6 +84,9 @@ def test_labelled_quality(spark):
     assert len(rows) == spark.read.parquet(f"{LARGER}/documents.parquet").count()
     unseen = [(r.predicted, truth[r.doc_id]) for r in rows if r.held_out and r.doc_id in truth]
     assert sum(a == b for a, b in unseen) >= 0.9 * len(unseen)
+    for kind in (0, 1):
+        of_kind = [p for p, y in unseen if y == kind]
+        assert sum(p == kind for p in of_kind) >= 0.7 * len(of_kind)
 
 
 @pytest.mark.skipif(not os.path.isdir(LARGER), reason="no test tables")
