@@ -113,7 +113,7 @@ class CorrectedCounts:
 
     def __post_init__(self):
         self.counts = SnapshotTable(self.spark, f"{self.root}/counts", time="window_start")
-        self.late = SnapshotTable(self.spark, f"{self.root}/late")
+        self.late = SnapshotTable(self.spark, f"{self.root}/late", time=self.time)
         self.progress = SnapshotTable(self.spark, f"{self.root}/progress")
 
     def watermark(self, before: int | None = None) -> dt.datetime | None:
