@@ -19,7 +19,7 @@ from tripmart.streaming import deduped, session_count, tumbling_count
 from tripmart.tables import SnapshotTable, append, merge, replace, replace_partitions, swap
 
 ROWS = "k int, v string, t timestamp_ntz"
-FEW = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+FEW = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 def day(n, hour=0):
