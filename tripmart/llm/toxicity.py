@@ -26,6 +26,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tripmart.llm.common import mix
+
 SAMPLE_ROWS = 3_000
 SAMPLE_BYTES = 16 << 20
 THRESHOLD = 0.5
@@ -136,22 +138,28 @@ def _gains(text: str, plain: Lengths, marked: Lengths) -> np.ndarray:
 # ------------------------------------------------------------------------- training
 
 
-def _words(texts: list[str]) -> list[str]:
-    return [w for text in texts for words in _chunks(text) for w in ["", *words]]
+def _words(texts: list[str]) -> Iterator[str]:
+    """The words of some texts; each text begins with an empty one."""
+    for text in texts:
+        yield ""
+        for words in _chunks(text):
+            yield from words
 
 
-def _contexts(words: list[str], numbers: dict[str, int]) -> np.ndarray:
-    """In how many different pairs of neighbours each word stands (each text begins with "")."""
-    at = np.fromiter((numbers.setdefault(w.strip(string.punctuation), len(numbers)) for w in words), np.int64, len(words))
-    triples = np.column_stack([np.r_[0, at[:-1]], at, np.r_[at[1:], 0]])
-    return np.bincount(np.unique(triples, axis=0)[:, 1], minlength=len(numbers))
+def _contexts(texts: list[str], numbers: dict[str, int]) -> np.ndarray:
+    """In how many different pairs of neighbours each word stands; gives new words their numbers."""
+    bare = (w.strip(string.punctuation) for w in _words(texts))
+    at = np.fromiter((numbers.setdefault(w, len(numbers)) for w in bare), np.uint64)
+    around = mix(mix(mix(np.r_[np.uint64(0), at[:-1]]) + at) + np.r_[at[1:], np.uint64(0)])
+    first = np.unique(around, return_index=True)[1]
+    return np.bincount(at[first].astype(np.int64), minlength=len(numbers))
 
 
 def marking_words(toxic: list[str], ordinary: list[str], least: int = LEAST_CONTEXTS, log_odds: float = LOG_ODDS) -> set[str]:
     """Words whose contexts are mostly those of toxic documents."""
     numbers: dict[str, int] = {"": 0}
-    elsewhere = _contexts(_words(ordinary), numbers)
-    here = _contexts(_words(toxic), numbers)
+    elsewhere = _contexts(ordinary, numbers)
+    here = _contexts(toxic, numbers)
     elsewhere = np.r_[elsewhere, np.zeros(len(here) - len(elsewhere), np.int64)]
     odds = np.log((here + 0.5) / (here.sum() + 1.0)) - np.log((elsewhere + 0.5) / (elsewhere.sum() + 1.0))
     chosen = (here >= least) & (odds >= log_odds)
