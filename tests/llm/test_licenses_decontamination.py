@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import frame, prose
-from tripmart.llm.decontamination import RADIUS, clean_documents, contaminations, simhash, weighted_jaccard
+from tripmart.llm.decontamination import RADIUS, benchmark_items, clean_documents, contaminations, multi_index, simhash, weighted_jaccard
 from tripmart.llm.licenses import TEMPLATES, Template, license_digest, license_words, scan_licenses, word_weights
 
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -254,3 +254,10 @@ def test_rows_without_id_are_told_apart(spark):
     docs = [(None, f"{prose(i, 7)} {item}") for i, item in enumerate(items)] + [(4, f"{prose(i, 9)} {item}") for i, item in enumerate(items)]
     found = contaminations(frame(spark, docs), bench(spark, items)).collect()
     assert sorted((r.doc_id or 0, r.item_id, r.start) for r in found) == [(0, i, 7) for i in range(8)] + [(4, i, 9) for i in range(8)]
+
+
+def test_the_index_is_made_in_several_tasks(spark):
+    bench = spark.createDataFrame([(i, prose(i, 30)) for i in range(20)], "item_id long, text string")
+    index = multi_index(benchmark_items(bench, "item_id", "text", 5), RADIUS)
+    per_task = index.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(per_task) > 1 and sum(r["count"] for r in per_task) == 20 * 4 * sum(bin(m).count("1") <= RADIUS // 4 for m in range(1 << 16))

@@ -116,7 +116,9 @@ def multi_index(items: DataFrame, radius: int) -> DataFrame:
     masks = F.filter(F.sequence(F.lit(0), F.lit((1 << BLOCK_BITS) - 1)), lambda m: F.bit_count(m) <= share)
     blocks = F.array(*[F.struct(F.lit(b).alias("block"), _block(F.col("fingerprint"), b).alias("own")) for b in range(BLOCKS)])
     keyed = items.dropDuplicates(["text_key"]).select("text_key", "fingerprint", F.inline(blocks))
-    masked = keyed.withColumn("mask", F.explode(masks))
+    # Few rows become thousands each: a number of tasks keeps them from being made in one.
+    tasks = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    masked = keyed.repartition(tasks, "text_key", "block").withColumn("mask", F.explode(masks))
     return masked.withColumn("value", F.col("own").bitwiseXOR(F.col("mask").cast("long"))).drop("mask", "own")
 
 
