@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import frame, prose
+from tripmart.llm.common import repeated_keys
 from tripmart.llm.mixing import fair_queue, mixed, source_targets
 from tripmart.llm.sharding import place, ring, shard_rows
 
@@ -90,6 +91,7 @@ def test_queue_order_is_the_order_of_hashes(spark):
     for r in sorted(rows, key=lambda r: int(hashlib.md5(str(r.doc_id).encode()).hexdigest()[:15], 16)):
         assert r.start == pytest.approx(ahead[r.source] / r.target)
         ahead[r.source] += r.size
+        assert r.finish == pytest.approx(ahead[r.source] / r.target)
 
 
 def test_mix_repeats_whole_documents(spark):
@@ -166,6 +168,43 @@ def test_shards_equal_a_plain_placement(spark, odd_texts, shards, tokens, cells)
     assert Counter(((r.doc_id, r.text), r.shard, r.slot, r.home_shard) for r in rows) == Counter(wanted)
 
 
+def hot(spark):
+    """A third of the rows have no id and one text, others share an id; some differ in a further column."""
+    texts = [(None, "a b c")] * 200 + [(7, prose(7, 9))] * 90 + [(i, prose(i, i % 5)) for i in range(310)]
+    language = F.when(F.monotonically_increasing_id() % 3 == 0, "de").otherwise("en")
+    return frame(spark, texts, sources=["b", "a"]).withColumn("lang", language)
+
+
+def test_repeated_keys_are_counted_before_they_are_ranked(spark):
+    docs = hot(spark)
+    keyed = docs.withColumn("_key", F.coalesce("doc_id", F.lit(-1)))
+    few = repeated_keys(keyed, "_key", ["doc_id"], 20)
+    assert few.count() == 2 and repeated_keys(keyed, "_key", ["doc_id"], 1000).isEmpty()
+
+
+def test_rows_of_one_key_are_placed_alike(spark):
+    docs = hot(spark)
+    rows = shard_rows(docs, 16, rows_per_slice=20).collect()
+    wanted = plain_shards([(r.doc_id, r.text) for r in docs.collect()], 16, 64, 4096)
+    assert Counter(((r.doc_id, r.text), r.shard, r.slot, r.home_shard) for r in rows) == Counter(wanted)
+    assert Counter((r.doc_id, r.text, r.lang) for r in rows) == Counter((r.doc_id, r.text, r.lang) for r in docs.collect())
+
+
+@pytest.mark.parametrize("keep_text", [True, False])
+def test_rows_of_one_key_are_queued_alike(spark, keep_text):
+    docs = hot(spark)
+    few, many = (fair_queue(docs, rows_per_slice=n, keep_text=keep_text) for n in (20, 100_000))
+    assert few.columns == many.columns and ("text" in few.columns) == keep_text
+
+    def queue(rows):
+        return Counter((r.doc_id, r.source, r.size, r.taken, r.copies, round(r.start, 9), round(r.finish, 9)) for r in rows.collect())
+
+    def kinds(rows):
+        return Counter((r.doc_id, r.source, r.lang, r.n_chars, r.size) for r in rows.collect())
+
+    assert queue(few) == queue(many) and kinds(few) == kinds(many)
+
+
 def test_rows_with_room_stay_at_home(spark):
     docs = frame(spark, [f"t{i}" for i in range(800)])
     rows = shard_rows(docs, 8).collect()

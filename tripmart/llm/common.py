@@ -78,8 +78,37 @@ def bucket_of(key: Column, buckets: int) -> Column:
     return F.floor(F.shiftright(key, 20) * F.lit(buckets) / F.lit(float(1 << 40))).cast("long")
 
 
+def repeated_keys(df: DataFrame, key: str, ties: list[str], limit: int) -> DataFrame:
+    """(_equal): hashes of the keys, ties included, that more than ``limit`` rows share.
+
+    At most rows / ``limit`` of them. Rows are counted before they are shuffled.
+    """
+    counts = df.groupBy(F.xxhash64(key, *ties).alias("_equal")).agg(F.count(F.lit(1)).alias("_n"))
+    return staged(counts.filter(F.col("_n") > limit).select("_equal"), "repeated-keys")
+
+
+def _unpacked(packed: DataFrame, value: str, before: str, part_rows: int) -> DataFrame:
+    """Each row as often as ``_times`` says, ``before`` rising by ``value``; in tasks of ``part_rows`` rows of one kind."""
+    last = F.ceil(F.col("_times") / F.lit(part_rows)) - 1
+    parts = packed.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    tasks = int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    first = F.col("_part") * part_rows
+    final = F.least(first + part_rows, F.col("_times")) - 1
+    rows = parts.repartition(tasks, "_row", "_part").withColumn("_place", F.explode(F.sequence(first, final)))
+    return rows.withColumn(before, F.col(before) + F.col("_place") * F.col(value)).drop("_part", "_place")
+
+
 def running_totals(
-    df: DataFrame, group: str, key: str, value: str, ties: list[str], buckets: int, before: str, total: str
+    df: DataFrame,
+    group: str,
+    key: str,
+    value: str,
+    ties: list[str],
+    buckets: int,
+    before: str,
+    total: str,
+    repeated: DataFrame | None = None,
+    part_rows: int = 20_000,
 ) -> DataFrame:
     """Add ``before``, the sum of ``value`` over the group's rows ahead of each row in
     the order of ``key``, and ``total``, the sum over its group.
@@ -88,9 +117,28 @@ def running_totals(
     first; a window adds them up, one small row per slice; then each slice is
     ordered by itself. So no task holds a group, however large. ``group`` must
     not be NULL. Rows that agree in ``key`` and ``ties`` are interchangeable.
+
+    A slice cannot divide one key. Keys that many rows share (``repeated``, see ``repeated_keys``) are
+    therefore packed before the shuffle: rows equal in all columns become one row with their
+    number, which is unpacked into rows behind the window, ``part_rows`` a task.
     """
     sliced = df.withColumn("_slice", bucket_of(F.col(key), buckets))
-    sums = sliced.groupBy(group, "_slice").agg(F.sum(value).alias("_sum"))
+    single = [F.lit(1).cast("long").alias("_times"), F.lit(0).cast("long").alias("_row")]
+    packs = repeated is not None and not repeated.isEmpty()
+    if packs:
+        marked = sliced.withColumn("_equal", F.xxhash64(key, *ties))
+        packed = (
+            marked.join(repeated, "_equal", "left_semi")
+            .groupBy(*sliced.columns)
+            .agg(F.count(F.lit(1)).alias("_times"))
+            .withColumn("_row", F.xxhash64(*df.columns))
+        )
+        others = marked.join(repeated, "_equal", "left_anti").select(*sliced.columns, *single)
+        rows = others.withColumn("_packed", F.lit(False)).unionByName(packed.withColumn("_packed", F.lit(True)))
+    else:
+        rows = sliced.select("*", *single)
+    amount = F.col(value) * F.col("_times")
+    sums = rows.groupBy(group, "_slice").agg(F.sum(amount).alias("_sum"))
     by_slice = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(group)
     offsets = sums.select(
@@ -101,14 +149,18 @@ def running_totals(
     )
     inside = (
         Window.partitionBy(group, "_slice")
-        .orderBy(key, *ties)
+        .orderBy(key, *ties, "_row")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return (
-        sliced.join(offsets, [group, "_slice"])
-        .withColumn(before, F.col("_offset") + F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    placed = (
+        rows.join(offsets, [group, "_slice"])
+        .withColumn(before, F.col("_offset") + F.coalesce(F.sum(amount).over(inside), F.lit(0)))
         .drop("_slice", "_offset")
     )
+    if packs:
+        several = _unpacked(placed.filter("_packed"), value, before, part_rows)
+        placed = placed.filter("NOT _packed").unionByName(several).drop("_packed")
+    return placed.drop("_times", "_row")
 
 
 # ---------------------------------------------------------------- words in numpy

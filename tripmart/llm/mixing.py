@@ -9,14 +9,14 @@ The targets add up to the budget, so the cut falls at time 1 up to a token a sou
 target t, exactly the first floor(t) tokens finish by then. How many of a document's tokens these
 are follows from the tokens ahead of it, a running total per source, without sorting
 single tokens; ``taken`` is that number. (Cutting the order of whole documents instead would miss
-a target by up to the longest document.) ``mixed`` sorts the whole documents by start time over all sources.
+a target by up to the longest document.) ``mixed`` sorts the whole documents by finish time over all sources.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tripmart.llm.common import crc_of, hash_buckets, row_key, running_totals
+from tripmart.llm.common import crc_of, hash_buckets, repeated_keys, row_key, running_totals, staged
 
 # The contract's mix: weights in turn, budget as a share of all tokens, repeats at most.
 WEIGHTS = (5, 2, 1)
@@ -75,25 +75,33 @@ def fair_queue(
     budget_share: float = BUDGET_SHARE,
     max_epochs: int = MAX_EPOCHS,
     rows_per_slice: int = ROWS_PER_SLICE,
+    keep_text: bool = True,
 ) -> DataFrame:
-    """All rows with ``size``, ``source_size``, ``target``, ``taken``, ``copies``, ``start``.
+    """All rows with ``size``, ``source_size``, ``target``, ``taken``, ``copies``, ``start``, ``finish``.
 
     ``taken`` counts the words the mix takes of the document, repeats included: a
     source's words taken are its target, rounded down. ``copies`` is how often
     the document starts before the cut, so how often whole documents go into a mix
-    that does not split them. ``start`` is the virtual start time of its first
-    copy. NULL and empty texts have size 0: nothing is taken of them and
+    that does not split them. ``start`` and ``finish`` are the virtual times between which its first
+    copy is served; each further copy follows ``source_size / target`` later. NULL and empty texts have
+    size 0: nothing is taken of them and
     they go into the mix once at most. NULL is a source of its own. Repeated
-    rows are separate documents. An empty table gives an empty result. Columns of
-    ``docs`` named like a result are replaced.
+    rows are separate documents, interchangeable in the queue. A very long text is a document like
+    others; the cut may fall inside it. An empty table gives an empty result. Columns of
+    ``docs`` named like a result are replaced. Without ``keep_text`` the text is dropped, and words are
+    counted once: their numbers are stored instead.
     """
-    added = ["size", "source_size", "target", "taken", "copies", "start"]
+    added = ["size", "source_size", "target", "taken", "copies", "start", "finish"]
     docs = docs.drop(*[c for c in docs.columns if c in added and c not in (id_column, text_column, source_column)])
     sized = (
         docs.withColumn("size", word_count(F.col(text_column)))
         .withColumn("_crc", crc_of(text_column))
         .withColumn("_key", row_key(id_column, "_crc"))
     )
+    kept = docs.columns
+    if not keep_text:
+        kept = [c for c in kept if c != text_column]
+        sized = staged(sized.drop(text_column), "sizes")
     sources = source_targets(
         sized.groupBy(F.col(source_column).alias("source")).agg(F.sum("size").alias("source_size")),
         weights,
@@ -101,9 +109,11 @@ def fair_queue(
         max_epochs,
     ).select("source_no", F.col("source").alias("_source"), "source_size", "target")
     numbered = sized.join(sources, F.col(source_column).eqNullSafe(F.col("_source"))).drop("_source")
-    buckets = hash_buckets(docs.count(), rows_per_slice)
+    buckets = hash_buckets(sized.count(), rows_per_slice)
+    ties = [id_column, "_crc"]
+    repeated = repeated_keys(sized, "_key", ties, rows_per_slice)
     queued = running_totals(
-        numbered, "source_no", "_key", "size", [id_column, "_crc"], buckets, "_ahead", "_all"
+        numbered, "source_no", "_key", "size", ties, buckets, "_ahead", "_all", repeated, rows_per_slice
     )
     goal = F.floor("target").cast("long")
     taken, copies = F.lit(0).cast("long"), F.lit(0)
@@ -112,19 +122,24 @@ def fair_queue(
         taken = taken + F.greatest(F.lit(0).cast("long"), F.least(left, F.col("size")))
         again = (left > 0) & ((F.col("size") > 0) | F.lit(epoch == 0))
         copies = copies + again.cast("int")
+
+    def time(words: Column) -> Column:
+        return F.when(F.col("target") > 0, words / F.col("target")).otherwise(F.lit(0.0))
+
     return (
         queued.withColumn("taken", taken)
         .withColumn("copies", copies)
-        .withColumn("start", F.when(F.col("target") > 0, F.col("_ahead") / F.col("target")).otherwise(F.lit(0.0)))
-        .select(*docs.columns, *added)
+        .withColumn("start", time(F.col("_ahead")))
+        .withColumn("finish", time(F.col("_ahead") + F.col("size")))
+        .select(*kept, *added)
     )
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: whole documents, each as often as the mix starts it, in the order
-    of virtual start times (a global range sort), with the columns of ``docs``."""
+    of virtual finish times (a global range sort), with the columns of ``docs``."""
     rows = fair_queue(docs, **options)
     epochs = F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_epoch")
     repeated = rows.filter(F.col("copies") > 0).select("*", epochs)
-    time = F.when(F.col("target") > 0, F.col("start") + (F.col("_epoch") - 1) * F.col("source_size") / F.col("target"))
+    time = F.when(F.col("target") > 0, F.col("finish") + (F.col("_epoch") - 1) * F.col("source_size") / F.col("target"))
     return repeated.withColumn("_time", time).orderBy("_time").select(*docs.columns)

@@ -8,7 +8,7 @@ counts are exactly balanced, and only the overflow leaves its home.
 
 Only counts per cell reach the driver: their number is a parameter, not a
 function of the data. The rows themselves are ranked within slices of a cell,
-so no task holds a cell.
+so no task holds a cell; equal rows are counted first, so none holds the rows of one id.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tripmart.frames import literal_rows
-from tripmart.llm.common import crc_of, hash_buckets, row_key, running_totals
+from tripmart.llm.common import crc_of, hash_buckets, repeated_keys, row_key, running_totals
 
 CELLS = 4096
 TOKENS = 64
@@ -113,9 +113,9 @@ def shard_rows(
 ) -> DataFrame:
     """All rows with ``shard``, ``slot`` (gapless from 0 in each shard) and ``home_shard``.
 
-    The key is the id; rows without one are spread by their text. Repeated rows
-    are placed one by one. NULL and empty texts are ordinary rows. An empty
-    table gives an empty result. Columns of ``docs`` that have a name of the
+    The key is the id; rows without one are spread by their text. Rows follow each other by key, id and text;
+    repeated rows are interchangeable and placed one by one. NULL, empty and very long texts are ordinary rows: a
+    text is read for its checksum only. An empty table gives an empty result. Columns of ``docs`` that have a name of the
     result are replaced; all others stay.
     """
     spark = docs.sparkSession
@@ -133,8 +133,10 @@ def shard_rows(
         spark, ((s.cell, s.first, s.last, s.shard, s.base, s.home) for s in segments), _SEGMENTS
     )
     buckets = max(cells, hash_buckets(sum(counts.values()), rows_per_slice))
+    ties = [id_column, "_crc"]
+    repeated = repeated_keys(keyed, "_key", ties, rows_per_slice)
     ranked = running_totals(
-        keyed, "_cell", "_key", "_one", [id_column, "_crc"], buckets, "_rank", "_rows"
+        keyed, "_cell", "_key", "_one", ties, buckets, "_rank", "_rows", repeated, rows_per_slice
     )
     # Bounded: at most one segment per cell and shard.
     return (
