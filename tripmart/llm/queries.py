@@ -89,7 +89,7 @@ def op7_nearest_neighbours(spark, sf_dir):
 
 @query
 def op8_source_mix(spark, sf_dir):
-    mix = fair_queue(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    mix = fair_queue(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), keep_text=False)
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
