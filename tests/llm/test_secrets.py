@@ -6,7 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import frame, prose
-from tripmart.llm.secrets import RUN, candidates, redact, rule_labels, scan_secrets, train, with_features
+from tripmart.llm.secrets import ANNOUNCEMENT, RUN, UNANNOUNCED, candidates, redact, rule_labels, scan_secrets, train, with_features
 
 
 def hexes(rng, n):
@@ -68,6 +68,33 @@ def test_rules_label_where_no_labels_are_given(spark):
     assert again == {i: r.score for i, r in found.items()}
 
 
+def test_planted_findings_without_an_announcement(spark):
+    """Precision and recall on secrets that nothing announces, and on announced words that are none."""
+    rng = random.Random(11)
+    rows = findings(8, 360)
+    for i in range(60):
+        around = prose(9000 + i, 12).split()
+        value, label = [
+            (hexes(rng, 40), 1), (f'secret = "ungleichberechtigung{"aeiou"[i % 5]}"', 0), (f"password: verantwortungen{'aeiou'[i % 5]}", 0),
+        ][i % 3]
+        around.insert(5, value)
+        rows.append((" ".join(around), label))
+    docs = frame(spark, [t for t, _ in rows])
+    found = {r.doc_id: r.is_secret for r in scan_secrets(docs).collect()}
+    planted = [(found[i], bool(y)) for i, (_, y) in enumerate(rows) if i >= 360]
+    caught = sum(a and b for a, b in planted)
+    assert caught >= 0.9 * 20 and caught >= 0.9 * sum(a for a, _ in planted)
+
+
+def test_the_forest_does_not_see_what_labels_it(spark):
+    """A candidate is a secret by its looks, whatever stands in front of it."""
+    value = hexes(random.Random(12), 40)
+    texts = [t for t, _ in findings(9, 60)] + [f'w1x w2x w3x token = "{value}" w4x w5x', f"w1x w2x w3x seen on {value} w4x w5x"]
+    scores = {r.doc_id: r.score for r in scan_secrets(frame(spark, texts)).collect() if r.candidate == value}
+    assert scores[60] >= 0.5 and scores[61] >= 0.5
+    assert not set(UNANNOUNCED) & set(ANNOUNCEMENT)
+
+
 def test_nothing_to_learn_and_empty_tables(spark, odd_texts):
     assert scan_secrets(frame(spark, [])).count() == 0
     odd = scan_secrets(frame(spark, odd_texts).withColumn("candidate", F.lit("mine"))).collect()

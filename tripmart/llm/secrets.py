@@ -3,10 +3,12 @@
 A candidate is a long run of token characters inside a word. Features are its
 length, its character transitions, how much of it the corpus's frequent words
 cover, the path it stands in and the words around it. The forest is trained from
-labelled findings: rows of candidates with a label, at most ``train_rows`` different ones. Where
-no labelled findings are given, ``rule_labels`` labels those candidates whose kind
-is certain from outside the features: issued key formats and assignments on one side,
-card numbers, phone numbers and plain words on the other.
+labelled findings: rows of candidates with a label, at most ``train_rows`` different ones.
+
+Where no labelled findings are given, the words in front of a candidate label it (``rule_labels``), and the
+forest sees nothing of them (``UNANNOUNCED``): it learns from announced secrets what
+secrets look like, and finds those that nothing announces. Announced words that look like
+ordinary ones are not held for secrets.
 
 Only DataFrame functions and the DataFrame-based random forest run here.
 """
@@ -29,17 +31,20 @@ DICTIONARY = 400
 THRESHOLD = 0.5
 
 RUN = f"[A-Za-z0-9_+/\\-]{{{MIN_LENGTH},}}={{0,2}}"
+WORD = "(?<![A-Za-z0-9])[A-Za-z]+(?![A-Za-z0-9])"
 
 # Words that announce a credential, and formats that issuers document.
 ANNOUNCING = ("password", "passwd", "pwd", "secret", "token", "apikey", "api_key", "key", "auth", "credential", "bearer")
 ISSUED = "^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abprs]-[A-Za-z0-9-]{10,}$|^sk_live_[A-Za-z0-9]{16,}$"
-HARMLESS = "^[0-9+-]+$|^[a-z]+$|^[A-Z]?[a-z]+$|^[A-Z]+$|^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
 
 FEATURES = [
     "length", "digits", "uppers", "lowers", "hex", "vowels", "letter_to_digit", "digit_to_letter",
     "lower_to_upper", "upper_to_lower", "same_again", "covered", "slashes", "url", "dots", "announced", "announced_near",
-    "assigned", "quoted", "words_around", "starts_word",
+    "assigned", "quoted", "words_around", "words_after", "starts_word",
 ]
+# Features that tell how a candidate is announced, by which the rules label; and the others.
+ANNOUNCEMENT = ("announced", "announced_near", "assigned", "quoted", "words_around", "starts_word")
+UNANNOUNCED = [f for f in FEATURES if f not in ANNOUNCEMENT]
 
 
 def frequent_words(docs: DataFrame, text_column: str, size: int = DICTIONARY) -> list[str]:
@@ -115,22 +120,33 @@ def with_features(found: DataFrame, dictionary: list[str]) -> DataFrame:
         "announced_near": lead.rlike(announced),
         "assigned": lead.rlike("[=:]\\s*[\"']?$"),
         "quoted": F.col("prefix").rlike("[\"']$") & F.col("suffix").rlike("^[\"']"),
-        "words_around": F.regexp_count(F.concat_ws(" ", "before", "after"), F.lit("(?<![A-Za-z0-9])[A-Za-z]+(?![A-Za-z0-9])")),
+        "words_around": F.regexp_count(F.concat_ws(" ", "before", "after"), F.lit(WORD)),
+        "words_after": F.regexp_count("after", F.lit(WORD)),
         "starts_word": F.length("prefix") == 0,
     }
     return found.withColumns({name: F.coalesce(values[name].cast("double"), F.lit(0.0)) for name in FEATURES})
 
 
 def rule_labels(found: DataFrame) -> DataFrame:
-    """Findings labelled by certain cases: 1 for secrets, 0 for harmless runs; others are left out."""
+    """Findings labelled by what stands in front of them; others are left out.
+
+    1: assigned to a credential word, with a digit in it, or of a format that an issuer documents. 0: nothing around them names a
+    credential and nothing is assigned. A secret that nothing announces gets the wrong label; the announced ones
+    outweigh it while they are the larger part of those that look like it.
+    """
     lead = F.lower(F.concat_ws(" ", "before", "prefix"))
-    assigned = lead.rlike(f"({'|'.join(ANNOUNCING)})\\s*[=:]\\s*[\"']?$") & F.col("candidate").rlike("[0-9]")
-    label = F.when(F.col("candidate").rlike(ISSUED) | assigned, 1.0).when(F.col("candidate").rlike(HARMLESS), 0.0)
+    around = F.lower(F.concat_ws(" ", "before", "prefix", "suffix", "after"))
+    names = "|".join(ANNOUNCING)
+    assigned = lead.rlike(f"({names})\\s*[=:]\\s*[\"']?$") & F.col("candidate").rlike("[0-9]")
+    free = ~around.rlike(names) & ~lead.rlike("[=:]\\s*[\"']?$")
+    label = F.when(F.col("candidate").rlike(ISSUED) | assigned, 1.0).when(free, 0.0)
     return found.withColumn("label", label).filter(F.col("label").isNotNull())
 
 
-def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS, trees: int = TREES, depth: int = DEPTH) -> PipelineModel | None:
-    """A forest from at most ``train_rows`` labelled findings, half of them of either label; None without both.
+def train(
+    labelled: DataFrame, train_rows: int = TRAIN_ROWS, trees: int = TREES, depth: int = DEPTH, features: list[str] = FEATURES
+) -> PipelineModel | None:
+    """A forest over ``features`` from at most ``train_rows`` labelled findings, half of them of either label; None without both.
 
     Equal findings count once, so a group of copies does not fill the sample. Of each label those with the
     smallest hashes are taken, ties in the order of their texts. A finding with both labels is left out.
@@ -143,9 +159,10 @@ def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS, trees: int = TREES,
     sample = staged(halves[0].unionByName(halves[1]), "findings")
     if len(sample.select("label").distinct().limit(2).collect()) < 2:
         return None
-    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(sample.coalesce(1).sortWithinPartitions(*order))
+    assembler = VectorAssembler(inputCols=features, outputCol="features")
+    vectors = assembler.transform(sample.coalesce(1).sortWithinPartitions(*order))
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=7, featureSubsetStrategy="sqrt")
-    return PipelineModel([VectorAssembler(inputCols=FEATURES, outputCol="features"), forest.fit(vectors)])
+    return PipelineModel([assembler, forest.fit(vectors)])
 
 
 def scan_secrets(
@@ -161,11 +178,18 @@ def scan_secrets(
     ``labelled`` has the columns of ``candidates`` and ``label``; without it the rules
     label. If the findings don't have both labels, every candidate scores 0.5 and counts as
     a secret. NULL and empty texts have no candidates; repeated rows are scanned
-    one by one. An empty table gives an empty result. Other columns are ignored.
+    one by one, equal findings (ties) score alike. A very long text is one array of words in its task. An
+    empty table gives an empty result. Other columns are ignored.
+
+    Runs of fewer than ``MIN_LENGTH`` characters are no candidates, so short passwords are not found; nor
+    are secrets of other characters as a whole: tokens with dots count part by part, key blocks line by line.
     """
     dictionary = frequent_words(docs, text_column, dictionary_words)
     found = staged(with_features(candidates(docs, id_column, text_column), dictionary), "candidates")
-    model = train(rule_labels(found) if labelled is None else with_features(labelled, dictionary))
+    if labelled is None:
+        model = train(rule_labels(found), features=UNANNOUNCED)
+    else:
+        model = train(with_features(labelled, dictionary))
     if model is None:
         scored = found.withColumn("score", F.lit(0.5))
     else:
