@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
+import functools
 import hashlib
 import math
 
@@ -54,6 +56,23 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def returning_memory(function):
+    """A function for ``mapInArrow`` whose task gives freed memory back to the system at its end.
+
+    A worker lives on between tasks, beside stages that need the executor's memory for other things.
+    """
+
+    @functools.wraps(function)
+    def run(*args, **options):
+        yield from function(*args, **options)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tripmart.llm.common import SPACE, HashTables, buffers, gram_hashes, mix, pieces, staged, word_hashes
+from tripmart.llm.common import SPACE, HashTables, buffers, gram_hashes, mix, pieces, returning_memory, staged, word_hashes
 
 NGRAM = 5
 WORD = "[^\\x20\\x09-\\x0D]"
@@ -62,6 +62,7 @@ def _grams(offsets, data, first, last, ngram, tables):
     return owner[order], grams[order], rows[begins], content
 
 
+@returning_memory
 def _signature_rows(batches: Iterator[pa.RecordBatch], ngram: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     """(id, content hash in two halves, band hashes) of the texts with words of a batch (id, text)."""
     tables = HashTables()
@@ -90,6 +91,7 @@ def _signature_rows(batches: Iterator[pa.RecordBatch], ngram: int, bands: int, r
             )
 
 
+@returning_memory
 def _set_rows(batches: Iterator[pa.RecordBatch], ngram: int) -> Iterator[pa.RecordBatch]:
     """(id, content hash, distinct n-gram hashes) of the texts with words of a batch (id, text)."""
     tables = HashTables()
@@ -189,6 +191,7 @@ def _groups(a: np.ndarray, b: np.ndarray, rows: int) -> np.ndarray:
         label = least
 
 
+@returning_memory
 def _linked_rows(batches: Iterator[pa.RecordBatch], similarity: float, pairs: bool) -> Iterator[pa.RecordBatch]:
     """Links of rows in the order of bucket, low and high: pairs, or (id, links, one text of its group)."""
 
