@@ -8,9 +8,10 @@ from pyspark.sql import functions as F, types as T
 
 from tests.conftest import plan, values
 from tripmart.quality import not_null, unique
+from tripmart.registry import storage
 from tripmart.schemas import INGESTED, YELLOW_RAW, ZONES
-from tripmart.sinks import write_day, write_layout, write_parquet, write_partitioned
-from tripmart.sinks.files import write_bucketed
+from tripmart.sinks import write_day, write_layout, write_pages, write_parquet, write_partitioned
+from tripmart.sinks.files import PAGE_ROWS, write_bucketed
 from tripmart.sources import (
     count_from_footers,
     child_tables,
@@ -215,6 +216,49 @@ def test_records_inside_an_object(spark, tmp_path):
             read_paged(spark, url, PAGE, records_path=path).collect()
 
 
+def test_lines_of_a_page_are_parsed_one_by_one():
+    records = paged.records_of('{"a": 1}\n\n{"a": "\u2028"}\r\n{"a": 3}\nno json')
+    assert [next(records) for _ in range(3)] == [{"a": 1}, {"a": "\u2028"}, {"a": 3}]
+    with pytest.raises(ValueError):
+        next(records)
+    for text, rows in (("", []), (" \n", []), ('{\n"a": 1}\n', [{"a": 1}]), ('[{"a": 1},\n{"a": 2}]', [{"a": 1}, {"a": 2}])):
+        assert list(paged.records_of(text)) == rows
+    for text, path in (("1", ""), ("null", ""), ("[1]", ""), ('{"a": 1}\n2', ""), ("[]\n[]", ""), ('{"a": []}\n{"a": []}', "a")):
+        with pytest.raises(ValueError):
+            list(paged.records_of(text, path))
+
+
+def test_larger_tables_are_written_in_more_pages(spark, tmp_path):
+    rows = spark.range(100).selectExpr("nullif(id, 3) AS id", "nullif(id % 2, 1) AS b")
+
+    def pages(name, df, **options):
+        names = write_pages(df, str(tmp_path / name), **options)
+        assert all((tmp_path / name / n).is_file() for n in names)
+        return [[json.loads(line) for line in (tmp_path / name / n).read_text().splitlines()] for n in names]
+
+    for n_parts in (1, 3):
+        found = pages(f"rows-{n_parts}", rows.repartition(n_parts), n_rows=7)
+        assert max(map(len, found)) == 7 and all(set(r) == {"id", "b"} for p in found for r in p)
+        assert sorted((repr(r["id"]), repr(r["b"])) for p in found for r in p) == sorted((repr(i), repr(b)) for i, b in rows.collect())
+    assert len(pages("few", rows.coalesce(1))) >= 8
+    # The first of Spark's tasks has no row here: its empty file would end the search for the last page.
+    behind = spark.range(0, 100, 1, 4).filter("id >= 50")
+    assert [len(p) for p in pages("behind", behind, n_rows=25, least=1)] == [25, 25]
+    assert pages("none", rows.limit(0)) == []
+
+
+@pytest.mark.parametrize("query, column", [(storage.paged_source, "o_orderstatus")])
+def test_pages_of_a_larger_table_are_as_long(spark, tmp_path, query, column):
+    orders = spark.range(200_000).selectExpr(
+        "id AS o_orderkey", "IF(id % 3 = 0, NULL, 'F') AS o_orderstatus", "id / 4 AS o_totalprice"
+    )
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    df = query(spark, str(tmp_path))
+    most = df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert most <= 2 * PAGE_ROWS  # two pages a task
+    assert df.count() == 200_000 and df.exceptAll(orders.select("o_orderkey", column)).isEmpty()
+
+
 def test_pages_without_an_end():
     with pytest.raises(ValueError):
         paged.last_page(lambda n: True, 1)

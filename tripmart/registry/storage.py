@@ -16,7 +16,7 @@ from tripmart.registry import feeds
 from tripmart.registry.base import registry
 from tripmart.registry.feeds import plain, table
 from tripmart.session import work_folder
-from tripmart.sinks import write_day, write_layout, write_parquet, write_partitioned
+from tripmart.sinks import write_day, write_layout, write_pages, write_parquet, write_partitioned
 from tripmart.sources import (
     explode_children,
     load_seed,
@@ -299,9 +299,7 @@ def paged_source(spark, sf):
     # The files Spark writes are the resources of the API, one call each.
     folder = work_folder(spark, "pages")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    orders.repartition(8, "o_orderkey").write.json(folder)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(folder)
-    names = [row["path"].rsplit("/", 1)[1] for row in files.select("path").collect()]
+    names = write_pages(orders, folder)
     base = folder if "://" in folder else f"file://{folder}"
     return read_paged(spark, f"{base}/{{key}}", PAGE, "keys", keys=names, pages_per_task=2)
 

@@ -1,6 +1,14 @@
 """Writers: files, partitioned layouts, JDBC, streams."""
 
-from tripmart.sinks.files import interleaved, write_clustered, write_day, write_layout, write_parquet, write_partitioned
+from tripmart.sinks.files import (
+    interleaved,
+    write_clustered,
+    write_day,
+    write_layout,
+    write_pages,
+    write_parquet,
+    write_partitioned,
+)
 from tripmart.sinks.jdbc import write_jdbc
 from tripmart.sinks.streams import (
     append_sink,
@@ -29,6 +37,7 @@ __all__ = [
     "write_day",
     "write_jdbc",
     "write_layout",
+    "write_pages",
     "write_parquet",
     "write_partitioned",
 ]

@@ -26,6 +26,25 @@ def write_day(df: DataFrame, path: str, day: str | dt.date) -> None:
     )
 
 
+PAGE_ROWS = 10_000
+
+
+def write_pages(df: DataFrame, path: str, n_rows: int = PAGE_ROWS, least: int = 8) -> list[str]:
+    """Write JSON files of at most ``n_rows`` records, one a line; the names of those that hold any.
+
+    A larger table gives more files, not longer ones, so whoever reads a file whole holds a bounded part of the
+    table. A small table is spread over ``least`` files; the rows are counted for that.
+    """
+    n_rows = max(1, min(n_rows, df.count() // least))
+    # Every record names its columns, those that are NULL too.
+    df.write.option("maxRecordsPerFile", n_rows).option("ignoreNullFields", "false").json(path)
+    folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).listStatus(folder)
+    # Spark's first task writes a file even if it has no rows.
+    names = [s.getPath().getName() for s in files if s.getLen() > 0]
+    return sorted(n for n in names if n.startswith("part-"))
+
+
 def write_layout(df: DataFrame, root: str, schema: str, table: str, fmt: str = "parquet") -> str:
     """Write below ``<root>/<schema>/<table>.<format>``."""
     path = f"{root}/{schema}/{table}.{fmt}"

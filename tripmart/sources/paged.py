@@ -14,7 +14,7 @@ import re
 import urllib.error
 import urllib.parse
 import urllib.request
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
@@ -33,8 +33,8 @@ class PageMissing(OSError):
 
 def fetch(
     url: str, headers: dict[str, str] | None = None, records_path: str = ""
-) -> tuple[list[dict], str]:
-    """Records of a page and its ``Link`` header."""
+) -> tuple[Iterable[dict], str]:
+    """Records of a page, parsed as they are asked for, and its ``Link`` header."""
     request = urllib.request.Request(url, headers=headers or {})
     try:
         with urllib.request.urlopen(request, timeout=60) as response:
@@ -51,23 +51,23 @@ def fetch(
     return records_of(text, records_path), link
 
 
-def records_of(text: str, records_path: str = "") -> list[dict]:
-    """Records of a JSON array, a single JSON object, or one object per line.
+def records_of(text: str, records_path: str = "") -> Iterator[dict]:
+    """Records of a JSON array, a single JSON object, or one object per line (parsed line by line).
 
     ``records_path`` (``data.items``) names the array inside an object.
     """
     try:
         body = json.loads(text or "[]")
     except json.JSONDecodeError:
-        body = [json.loads(line) for line in text.splitlines() if line.strip()]
+        body = (json.loads(line[0]) for line in re.finditer(r"[^\r\n]+", text) if line[0].strip())
     for step in records_path.split(".") if records_path else ():
         if not isinstance(body, dict) or step not in body:
             raise ValueError(f"a page has no '{records_path}'")
         body = body[step]
-    records = body if isinstance(body, list) else [body]
-    if not all(isinstance(record, dict) for record in records):
-        raise ValueError("a page holds values that are not JSON objects")
-    return records
+    for record in body if isinstance(body, (list, Iterator)) else [body]:
+        if not isinstance(record, dict):
+            raise ValueError("a page holds values that are not JSON objects")
+        yield record
 
 
 def link_target(link: str, relation: str) -> str | None:
@@ -138,19 +138,27 @@ class PagedReader(DataSourceReader):
 
         def has_rows(n: int) -> bool:
             try:
-                return bool(self._records(page(n))[0])
+                return any(self._known(record) for record in self._records(page(n))[0])
             except PageMissing:
                 return False  # a page after the last one may be missing as well as empty
 
         last = last_page(has_rows, self.base_page)
         return self._ranges([page(n) for n in range(self.base_page, last + 1)])
 
-    def _records(self, url: str) -> tuple[list[dict], str]:
+    def _known(self, record: dict) -> bool:
+        return any(name in record for name in self.schema.names)
+
+    def _records(self, url: str) -> tuple[Iterator[dict], str]:
         records, link = fetch(url, self.headers, self.records_path)
-        names = set(self.schema.names)
-        if records and not any(names & record.keys() for record in records):
+        return self._checked(url, records), link
+
+    def _checked(self, url: str, records: Iterable[dict]) -> Iterator[dict]:
+        some = known = False
+        for record in records:
+            some, known = True, known or self._known(record)
+            yield record
+        if some and not known:
             raise ValueError(f"no record of {url} has a column of the schema: set records_path?")
-        return records, link
 
     def read(self, partition: UrlRange) -> Iterator[tuple]:
         names = self.schema.names
@@ -184,7 +192,8 @@ class PagedStreamReader(DataSourceStreamReader):
     def latestOffset(self) -> dict:
         def is_full(n: int) -> bool:
             try:
-                return len(self.pages._records(self.pages.url.replace("{page}", str(n)))[0]) >= max(1, self.page_size)
+                records, _ = self.pages._records(self.pages.url.replace("{page}", str(n)))
+                return sum(1 for _ in records) >= max(1, self.page_size)
             except PageMissing:
                 return False
 
