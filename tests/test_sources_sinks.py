@@ -8,7 +8,7 @@ from pyspark.sql import functions as F, types as T
 
 from tests.conftest import plan, values
 from tripmart.quality import not_null, unique
-from tripmart.registry import storage
+from tripmart.registry import messages, storage
 from tripmart.schemas import INGESTED, YELLOW_RAW, ZONES
 from tripmart.sinks import write_day, write_layout, write_pages, write_parquet, write_partitioned
 from tripmart.sinks.files import PAGE_ROWS, write_bucketed
@@ -247,7 +247,9 @@ def test_larger_tables_are_written_in_more_pages(spark, tmp_path):
     assert pages("none", rows.limit(0)) == []
 
 
-@pytest.mark.parametrize("query, column", [(storage.paged_source, "o_orderstatus")])
+@pytest.mark.parametrize(
+    "query, column", [(storage.paged_source, "o_orderstatus"), (messages.paged_numbers, "o_totalprice")]
+)
 def test_pages_of_a_larger_table_are_as_long(spark, tmp_path, query, column):
     orders = spark.range(200_000).selectExpr(
         "id AS o_orderkey", "IF(id % 3 = 0, NULL, 'F') AS o_orderstatus", "id / 4 AS o_totalprice"

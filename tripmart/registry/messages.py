@@ -12,7 +12,7 @@ from tripmart.registry.base import registry
 from tripmart.registry.events import _SESSIONS, _TUMBLING, PAYLOAD
 from tripmart.registry.feeds import plain, table
 from tripmart.session import work_folder
-from tripmart.sinks import upsert_sink, write_partitioned
+from tripmart.sinks import upsert_sink, write_pages, write_partitioned
 from tripmart.sources import child_tables, read_paged, read_trip_stream, trip_events
 from tripmart.streaming import LateRows, session_count, tumbling_count, watermarked
 from tripmart.tables import SnapshotTable, create_table_ddl
@@ -141,12 +141,10 @@ def paged_numbers(spark, sf):
     # Files page-1.json, page-2.json, ... until there is no more; executors must share the folder.
     folder = work_folder(spark, "numbered-pages")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    orders.repartition(8, "o_orderkey").write.json(folder)
+    names = write_pages(orders, folder)
     path = spark._jvm.org.apache.hadoop.fs.Path
     files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    names = sorted(s.getPath().getName() for s in files.listStatus(path(folder)))
-    parts = [n for n in names if n.startswith("part-")]
-    for number, name in enumerate(parts, 1):
+    for number, name in enumerate(names, 1):
         files.rename(path(f"{folder}/{name}"), path(f"{folder}/page-{number}.json"))
     base = folder if "://" in folder else f"file://{folder}"
     return read_paged(spark, f"{base}/page-{{page}}.json", PAGE, pages_per_task=2)
