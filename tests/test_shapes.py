@@ -11,7 +11,9 @@ from pyspark.sql import functions as F, types as T
 from tests.conftest import plan, values
 from tripmart.functions import decode_json, encode_json
 from tripmart.quality import differing_buckets, parity, parity_in_buckets, scanned_partitions
+from tripmart.registry import shapes
 from tripmart.sinks import append_sink, interleaved, write_clustered
+from tripmart.sinks.files import PAGE_ROWS
 from tripmart.sources import explode_documents, field_kinds, parse_documents, read_documents, shape_of, split_kinds, stream_paged
 from tripmart.tables import SnapshotTable, append, common_type, merge
 
@@ -256,3 +258,14 @@ def test_pages_as_a_stream(spark, tmp_path):
         spark.readStream.format("paged_json").schema(schema).options(url="file:///x", mode="keys").load().writeStream.format("noop").option(
             "checkpointLocation", str(tmp_path / "d")
         ).start().processAllAvailable()
+
+
+@pytest.mark.parametrize("n", [1, 200_000])
+def test_pages_of_the_stream_stay_as_long(spark, tmp_path, monkeypatch, n):
+    monkeypatch.setattr(shapes, "work_folder", lambda _, name: str(tmp_path / name))
+    orders = spark.range(n).selectExpr("id AS o_orderkey", "IF(id % 3 = 0, NULL, 'F') AS o_orderstatus")
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    df = shapes.paged_stream(spark, str(tmp_path))
+    assert df.count() == n and df.exceptAll(orders).isEmpty()
+    lengths = [len(p.read_text().splitlines()) for p in (tmp_path / "added-pages").glob("page-*.json")]
+    assert sum(lengths) == n and max(lengths) <= PAGE_ROWS

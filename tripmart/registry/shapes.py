@@ -13,7 +13,7 @@ from tripmart.registry.base import registry
 from tripmart.registry.feeds import plain, table
 from tripmart.schemas import payment_lookup
 from tripmart.session import work_folder
-from tripmart.sinks import append_sink, write_clustered, write_partitioned
+from tripmart.sinks import append_sink, write_clustered, write_pages, write_partitioned
 from tripmart.sources import explode_documents, field_kinds, read_documents, split_kinds, stream_paged
 from tripmart.tables import SnapshotTable, append, create_table_ddl, merge
 
@@ -78,12 +78,10 @@ def paged_stream(spark, sf):
     schema = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_orderstatus", T.StringType())])
     given, pages = work_folder(spark, "given"), work_folder(spark, "added-pages")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    orders.repartition(9, "o_orderkey").write.json(given)
+    names = write_pages(orders, given)
     path = spark._jvm.org.apache.hadoop.fs.Path
     files = path(given).getFileSystem(spark._jsc.hadoopConfiguration())
     files.mkdirs(path(pages))
-    names = sorted(s.getPath().getName() for s in files.listStatus(path(given)))
-    names = [n for n in names if n.startswith("part-")]
     base = pages if "://" in pages else f"file://{pages}"
     found, checkpoint = SnapshotTable(spark, work_folder(spark, "fetched")), work_folder(spark, "fetched-checkpoint")
     for added in (range(0, len(names) // 2), range(len(names) // 2, len(names))):
